@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from anaquel.sources.writers import materialise
+from anaquel.sources.writers import materialise, materialise_by_series
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -61,3 +61,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage, survives lost executors, and keeps column pruning for the readers.
     """
     return materialise(df, scratch_path(df.sparkSession, name))
+
+
+def stage_by_series(df: DataFrame, name: str) -> DataFrame:
+    """Like ``stage``, for day-by-series tables: stored so that work by series needs no shuffle."""
+    spark = df.sparkSession
+    return materialise_by_series(df, scratch_path(spark, name), series_partitions(spark))

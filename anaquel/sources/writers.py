@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from hashlib import sha1
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anaquel.settings import SERIE, SERIE_DIA
+
 
 def save(df: DataFrame, path: str) -> None:
     """Overwrite a Parquet table."""
@@ -18,6 +22,25 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise_by_series(df: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Overwrite a Parquet table bucketed by (tienda_id, sku) and return the frame that reads it.
+
+    Readers that work by series (trailing windows, per-series aggregates) then start without a
+    shuffle. Buckets need a catalog entry; it is named after the path and only points to the files.
+    """
+    spark = df.sparkSession
+    name = "anaquel_" + sha1(path.encode()).hexdigest()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (
+        df.write.mode("overwrite")
+        .bucketBy(buckets, *SERIE)
+        .sortBy(*SERIE_DIA)
+        .option("path", path)
+        .saveAsTable(name, format="parquet")
+    )
+    return spark.table(name)
+
+
 def save_partitioned(df: DataFrame, path: str, column: str = "horizonte") -> DataFrame:
     """Overwrite a Parquet table with one folder per value of ``column``; return its reader."""
     df.write.mode("overwrite").partitionBy(column).parquet(path)

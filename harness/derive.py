@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from anaquel import schemas
 from anaquel.functions.numeric import rnd
 from anaquel.operators import features, forecast, model, risk, season, silver, star
-from anaquel.session import configure, stage
+from anaquel.session import configure, stage, stage_by_series
 from anaquel.settings import SERIE, SERIE_DIA
 from anaquel.sources import readers
 
@@ -158,7 +158,7 @@ class Domain:
             })
         )
         typed = (F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.INVENTARIO.fields)
-        return stage(rows.select(*typed), "inventario")
+        return stage_by_series(rows.select(*typed), "inventario")
 
     @cached_property
     def inventory_live(self) -> DataFrame:
@@ -224,7 +224,7 @@ class Domain:
     @cached_property
     def fact(self) -> DataFrame:
         """The dense fact, stored."""
-        return stage(self.fact_query, "hecho_ventas")
+        return stage_by_series(self.fact_query, "hecho_ventas")
 
     # --- Forecast, classifier, risk ---------------------------------------
 
@@ -253,7 +253,7 @@ class Domain:
     @cached_property
     def features(self) -> DataFrame:
         """Feature rows, stored."""
-        return stage(self.feature_query, "variables")
+        return stage_by_series(self.feature_query, "variables")
 
     @cached_property
     def test_rows(self) -> DataFrame:
