@@ -40,8 +40,8 @@ def lookup(
     side = dim.select(*on, *columns)
     if fits(dim, max_rows):
         return fact.join(F.broadcast(side), on, how)
-    salted = fact.withColumn("_sal", F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)))
-    copies = side.withColumn("_sal", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+    salted = fact.withColumn("_sal", F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)).cast("int"))
+    copies = side.withColumn("_sal", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [*on, "_sal"], how).drop("_sal")
 
 

@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import math
+import statistics
+
+import pytest
+
+from anaquel.operators import model, risk, star
+from anaquel.settings import Z_POR_NIVEL, Params
+from tests.conftest import day, rows
+
+UNITS = [3, 0, 5, 2, 9]
+
+
+@pytest.fixture
+def fact(spark):
+    data = [(day(n + 1), "T02", "A", u, 7 + n, n) for n, u in enumerate(UNITS)]
+    data += [(day(n + 1), "T01", "B", 0, 4, 0) for n in range(5)]
+    data += [(day(1), "T01", "A", 1, 1, 1)]  # a series without a row on the last day
+    return spark.createDataFrame(
+        data,
+        "fecha date, tienda_id string, sku string, unidades long, stock int, en_camino int",
+    )
+
+
+@pytest.fixture
+def calendar(spark):
+    return spark.createDataFrame([(day(n),) for n in range(1, 6)], "fecha date")
+
+
+def situation(fact, calendar, two_stores, catalog, params=Params()):
+    return risk.current_situation(
+        fact, calendar, star.dim_store(two_stores), star.dim_product(catalog), params
+    )
+
+
+def test_situation_is_the_last_day_with_safety_stock(fact, calendar, two_stores, catalog):
+    got = {(r.tienda_id, r.sku): r for r in situation(fact, calendar, two_stores, catalog).collect()}
+    assert set(got) == {("T02", "A"), ("T01", "B")}
+    a = got["T02", "A"]
+    assert (a.tienda, a.producto, a.lead_time, a.stock, a.en_camino) == ("Norte", "Pan", 4, 11.0, 4.0)
+    assert a.desviacion == pytest.approx(statistics.stdev(UNITS))
+    assert a.stock_seguridad == round(1.65 * statistics.stdev(UNITS) * math.sqrt(4), 2)
+    assert got["T01", "B"].stock_seguridad == 0
+
+
+def test_other_service_levels(fact, calendar, two_stores, catalog):
+    bolder = situation(fact, calendar, two_stores, catalog, Params(z_servicio=Z_POR_NIVEL["90"]))
+    got = {r.sku: r.stock_seguridad for r in bolder.collect()}
+    assert got["A"] == round(1.28 * statistics.stdev(UNITS) * 2, 2)
+
+
+@pytest.fixture
+def scored(spark, catalog):
+    """Demand 10 and safety stock 4 at every horizon; the stock decides the level."""
+    stocks = {"S1": 10.0, "S2": 10.01, "S3": 13.99, "S4": 14.0, "S5": 23.99, "S6": 24.0, "S7": 40.0}
+    now = spark.createDataFrame(
+        [(s, "A", s, 3, "Pan", "comida", x, 0.0, 1.0, 4.0) for s, x in stocks.items()],
+        "tienda_id string, sku string, tienda string, lead_time int, producto string, "
+        "categoria string, stock double, en_camino double, desviacion double, "
+        "stock_seguridad double",
+    )
+    future = spark.createDataFrame(
+        [(s, "A", h, 10.0) for s in stocks for h in range(1, 15)],
+        "tienda_id string, sku string, horizonte int, demanda_acumulada double",
+    )
+    chance = spark.createDataFrame(
+        [("S1", "A", 0.5)], "tienda_id string, sku string, probabilidad double"
+    )
+    found = risk.alerts(now, future, chance)
+    return risk.risk_fact(found, star.dim_product(catalog))
+
+
+def test_level_bounds(scored):
+    week = scored.where("horizonte = 7").orderBy("tienda_id")
+    assert rows(week, "tienda_id", "nivel", "proyectado") == [
+        ("S1", "CRITICO", 0.0),   # exactly nothing left
+        ("S2", "ALTO", 0.01),
+        ("S3", "ALTO", 3.99),
+        ("S4", "MEDIO", 4.0),     # exactly the safety stock
+        ("S5", "MEDIO", 13.99),
+        ("S6", "OK", 14.0),       # exactly demand plus safety stock
+        ("S7", "OK", 30.0),
+    ]
+
+
+def test_only_the_alert_horizons(scored):
+    assert {r[0] for r in rows(scored, "horizonte")} == {1, 3, 7, 14}
+    assert scored.count() == 4 * 7
+
+
+def test_quantity_value_and_priority(scored):
+    got = {r.tienda_id: r for r in scored.where("horizonte = 7").collect()}
+    # Missing 14 - 10 = 4, but the supplier sells no less than 6.
+    assert (got["S1"].punto_pedido, got["S1"].cantidad_sugerida, got["S1"].valor_en_riesgo) == (
+        14.0, 6, 12.0,
+    )
+    assert got["S1"].prioridad == 1000 + 0.5 * 90
+    assert got["S2"].prioridad == 500 and got["S2"].probabilidad == 0.0
+    assert got["S5"].prioridad == 100
+    assert (got["S6"].cantidad_sugerida, got["S6"].valor_en_riesgo, got["S6"].prioridad) == (0, 0, 0)
+
+
+def test_quantity_is_rounded_up(spark, catalog):
+    alert = spark.createDataFrame(
+        [("T01", "B", "MEDIO", 10.01, 3.0, 0.0, 0.0)],
+        "tienda_id string, sku string, nivel string, punto_pedido double, stock double, "
+        "en_camino double, probabilidad double",
+    )
+    got = risk.risk_fact(alert, star.dim_product(catalog)).first()
+    assert (got.cantidad_sugerida, got.valor_en_riesgo) == (8, 80.0)
+
+
+def test_without_a_model_the_probability_is_zero(spark, fact, calendar, two_stores, catalog):
+    future = spark.createDataFrame(
+        [("T02", "A", 7, 1.0)],
+        "tienda_id string, sku string, horizonte int, demanda_acumulada double",
+    )
+    found = risk.alerts(
+        situation(fact, calendar, two_stores, catalog), future, model.no_probability(spark)
+    )
+    assert rows(found, "probabilidad") == [(0.0,)]
+
+
+def test_histogram(scored):
+    assert sorted(rows(risk.risk_by_level(scored))) == [
+        ("ALTO", 2), ("CRITICO", 1), ("MEDIO", 2), ("OK", 2),
+    ]
+
+
+def test_dispersion_of_a_single_day_is_unknown(spark):
+    one = spark.createDataFrame([("T01", "A", 5)], "tienda_id string, sku string, unidades long")
+    assert risk.demand_dispersion(one).first().desviacion is None
