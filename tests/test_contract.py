@@ -1,0 +1,40 @@
+"""Every registered query against its SQL twin on the smallest test tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as contract
+from harness.check import compare, connect
+
+SF_DIR = contract.SMOKE_DIR
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+QUERIES = contract.queries()
+TWINS = contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+def test_every_twin_has_a_query():
+    assert set(TWINS) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(TWINS))
+def test_query_equals_its_twin(spark, duck, name):
+    df = QUERIES[name](spark, SF_DIR)
+    assert compare(df, df.collect(), duck.execute(TWINS[name])) is None
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(TWINS)))
+def test_query_without_twin_has_rows(spark, name):
+    assert QUERIES[name](spark, SF_DIR).count() > 0
+
+
+def test_entry(spark):
+    assert contract.entry(spark).columns[:4] == ["tienda", "producto", "sku", "nivel"]

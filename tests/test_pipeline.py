@@ -1,0 +1,163 @@
+"""A whole cycle over files in the input formats, run twice."""
+
+from __future__ import annotations
+
+import json
+import math
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from anaquel import schemas
+from anaquel.operators import model
+from anaquel.plans import pipeline
+from anaquel.settings import Params
+from anaquel.sources import readers
+from tests.conftest import CATALOG_ROWS, day, moment, rows
+
+DAYS = 40
+SMALL = Params(arboles=5, profundidad=4)
+
+
+def units(n, store, sku):
+    return (n * 3 + store * 5 + len(sku) * ord(sku)) % 7
+
+
+@pytest.fixture(scope="module")
+def bronze(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("bronce")
+    names = schemas.PRODUCTO.fieldNames()
+    (root / "catalogo.json").write_text(
+        json.dumps({"products": [dict(zip(names, r)) for r in CATALOG_ROWS]})
+    )
+    (root / "ine.json").write_text(json.dumps({
+        "Data": [{"FK_Periodo": m, "Valor": 100.0 + 10 * (m % 3)} for m in range(1, 13)]
+    }))
+    sales, stock = [], []
+    for n in range(1, DAYS + 1):
+        for store in range(1, 6):
+            for _, _, sku, _, _, price, _, _ in CATALOG_ROWS:
+                u = units(n, store, sku)
+                sales.append((f"{n}-{store}-{sku}", moment(n), f"T0{store}", sku, u, price, u * price))
+                left = 0 if (n + 4 * store + ord(sku)) % 17 == 0 else 3 + units(n + 1, store, sku)
+                stock.append(
+                    (day(n), f"T0{store}", sku, left, u, left == 0, u, u, 0, 0.0)
+                )
+    sales.append(sales[7])
+    spark.createDataFrame(sales, schemas.VENTA).write.csv(
+        str(root / "ventas_historico.csv"), header=True
+    )
+    spark.createDataFrame(stock, schemas.INVENTARIO).write.csv(
+        str(root / "inventario.csv"), header=True
+    )
+    pipeline.refresh_seasonality(spark, str(root))
+    return str(root)
+
+
+def cycle(spark, bronze, out):
+    inputs = pipeline.read_bronze(spark, bronze)
+    return pipeline.run_cycle(spark, inputs, out, SMALL, F.lit(moment(DAYS, 12)))
+
+
+@pytest.fixture(scope="module")
+def out(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("salida"))
+
+
+@pytest.fixture(scope="module")
+def tables(spark, bronze, out):
+    return cycle(spark, bronze, out)
+
+
+def test_seasonality_and_its_manifest(spark, bronze):
+    factors = dict(rows(readers.read_month_factors(spark, f"{bronze}/factores_mes.json")))
+    assert len(factors) == 12
+    assert math.isclose(sum(factors.values()), 12, abs_tol=1e-3)
+    assert rows(readers.read_manifest(spark, f"{bronze}/_manifiesto"), "fichero", "registros") == [
+        ("ine.json", 12)
+    ]
+
+
+def test_cycle_invariants(tables):
+    quality = tables["calidad"].first()
+    lines = DAYS * 5 * 2
+    idle = sum(
+        units(n, s, sku) == 0 for n in range(1, DAYS + 1) for s in range(1, 6) for sku in "AB"
+    )
+    assert quality.entradas == lines + 1
+    assert quality.rechazadas >= idle
+    assert quality.duplicadas + quality.rechazadas == idle + 1
+    assert quality.entradas == quality.validas + quality.rechazadas + quality.duplicadas
+    assert tables["control_malla"].first().cuadra
+    assert tables["hecho_ventas"].count() == lines
+    assert tables["prevision"].count() == 5 * 2 * 14
+    assert tables["hecho_riesgo"].count() == 5 * 2 * 4
+    assert tables["probabilidad"].where("probabilidad BETWEEN 0 AND 1").count() == 10
+    assert tables["importancia"].count() == 9
+    assert tables["kpis"].first().fecha == day(DAYS)
+    m = tables["metricas_modelo"].first()
+    assert m.vp + m.fp + m.fn + m.vn == 7 * 10
+    assert 0 <= m.auc <= 1
+
+
+def test_probability_reaches_the_priority(tables):
+    wrong = (
+        tables["hecho_riesgo"].alias("r")
+        .join(tables["probabilidad"].alias("p"), ["tienda_id", "sku"])
+        .where("r.probabilidad <> p.probabilidad")
+    )
+    assert wrong.count() == 0
+
+
+@pytest.fixture(scope="module")
+def rerun(spark, bronze, tmp_path_factory):
+    """A folder that a cycle has written twice."""
+    folder = str(tmp_path_factory.mktemp("repetida"))
+    cycle(spark, bronze, folder)
+    return folder, cycle(spark, bronze, folder)
+
+
+def test_second_cycle_gives_the_same_tables(tables, rerun):
+    _, again = rerun
+    assert set(again) == set(tables)
+    for name, table in again.items():
+        assert table.columns == tables[name].columns
+        assert sorted(map(str, rows(table))) == sorted(map(str, rows(tables[name]))), name
+
+
+def test_export_and_model_are_saved(spark, out, tables):
+    exported = spark.read.csv(f"{out}/salida/alertas", header=True)
+    expected = tables["hecho_riesgo"].where("horizonte = 7 AND nivel <> 'OK'").count()
+    assert exported.count() == expected
+    loaded = PipelineModel.load(f"{out}/modelo")
+    scored = model.score(loaded, tables["variables"], F.lit(day(DAYS)))
+    assert sorted(rows(scored)) == sorted(rows(tables["probabilidad"]))
+
+
+def test_result_does_not_depend_on_the_input_partitioning(spark, tables):
+    mixed = tables["variables"].repartition(7, "fecha")
+    got = model.train(mixed, SMALL)
+    assert tuple(got.metrics.first()) == tuple(tables["metricas_modelo"].first())
+
+
+def test_cycle_without_stock_outs_has_no_model_and_no_stale_probability(spark, bronze, rerun):
+    folder, _ = rerun
+    inputs = pipeline.read_bronze(spark, bronze)
+    calm = inputs.inventory_history.withColumn("quiebre", F.lit(False))
+    got = pipeline.run_cycle(
+        spark,
+        pipeline.Inputs(**{**vars(inputs), "inventory_history": calm}),
+        folder, SMALL, F.lit(moment(DAYS, 12)),
+    )
+    assert "metricas_modelo" not in got
+    assert got["probabilidad"].count() == 0
+    assert got["hecho_riesgo"].where("probabilidad <> 0").count() == 0
+
+
+def test_impact_report(spark, bronze):
+    report = pipeline.impact_report(pipeline.read_bronze(spark, bronze))
+    totals = report["totales"].first()
+    assert (totals.dias, totals.tiendas, totals.productos) == (DAYS, 5, 2)
+    assert report["perdida_por_tienda"].count() == 5
+    assert report["quiebres"].first().observaciones == DAYS * 10
