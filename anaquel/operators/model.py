@@ -24,7 +24,6 @@ from anaquel.operators.features import (
     weighted,
 )
 from anaquel.operators.star import by_series
-from anaquel.session import stage
 from anaquel.settings import SERIE, VARIABLES, Params
 
 
@@ -57,19 +56,9 @@ def train(features: DataFrame, params: Params = Params()) -> Trained | None:
         cache_nodes=facts.entrenamiento <= CACHE_NODES_MAX_ROWS,
     )
 
-    # Scored once, read twice: by the evaluator and by the confusion counts.
-    predictions = stage(
-        model.transform(test_rows).select(
-            "etiqueta", "prediction", "rawPrediction", "dias_cobertura", "lead_time"
-        ),
-        "predicciones",
-    )
-    auc = BinaryClassificationEvaluator(
-        labelCol="etiqueta", metricName="areaUnderROC"
-    ).evaluate(predictions)
     return Trained(
         model,
-        _metrics(predictions, auc, facts.peso_positivos),
+        _metrics(model.transform(test_rows), facts.peso_positivos),
         _importance(spark, model),
     )
 
@@ -107,17 +96,29 @@ def _fit(rows: DataFrame, params: Params, cache_nodes: bool) -> PipelineModel:
     return PipelineModel(stages=[index, assemble, forest])
 
 
-def _metrics(predictions: DataFrame, auc: float, weight: float) -> DataFrame:
-    warned = F.col("prediction") == 1
-    return (
-        predictions.agg(*confusion(warned), *confusion(rule_warns(), "_regla"))
-        .select(rnd(F.lit(auc), 4).alias("auc"), "*", *hit_rates(), *hit_rates("_regla"))
-        .select(
-            "auc", "precision", "recall", "precision_regla", "recall_regla",
-            "vp", "fp", "fn", "vn",
-            rnd(F.lit(weight), 2).alias("peso_positivos"),
+def _metrics(scored: DataFrame, weight: float) -> DataFrame:
+    """Quality of the scored test rows, which are kept for the two passes over them."""
+    predictions = scored.select(
+        "etiqueta", "prediction", "rawPrediction", "dias_cobertura", "lead_time"
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        auc = BinaryClassificationEvaluator(
+            labelCol="etiqueta", metricName="areaUnderROC"
+        ).evaluate(predictions)
+        row = (
+            predictions.agg(
+                *confusion(F.col("prediction") == 1), *confusion(rule_warns(), "_regla")
+            )
+            .select(rnd(F.lit(auc), 4).alias("auc"), "*", *hit_rates(), *hit_rates("_regla"))
+            .select(
+                "auc", "precision", "recall", "precision_regla", "recall_regla",
+                "vp", "fp", "fn", "vn",
+                rnd(F.lit(weight), 2).alias("peso_positivos"),
+            )
         )
-    )
+        return scored.sparkSession.createDataFrame(row.collect(), row.schema)
+    finally:
+        predictions.unpersist()
 
 
 def _importance(spark: SparkSession, model: PipelineModel) -> DataFrame:

@@ -62,13 +62,24 @@ def review_sales(raw: DataFrame, catalog: DataFrame) -> DataFrame:
     return checked.select(*raw.columns, reason.alias("motivo_rechazo"))
 
 
+def review_counts(reviewed: DataFrame) -> DataFrame:
+    """Rows per outcome (a NULL reason is a valid row) and the last day of the history among them.
+
+    A handful of rows from one pass; a cycle stores them and takes its reports from there.
+    """
+    history_day = F.when(F.col("origen") == HISTORICO, F.to_date("momento"))
+    return reviewed.groupBy("motivo_rechazo").agg(
+        F.count("*").alias("registros"), F.max(history_day).alias("ultima")
+    )
+
+
 def rejects_by_reason(reviewed: DataFrame) -> DataFrame:
     """Rejected rows per reason."""
-    return (
-        reviewed.where(F.col("motivo_rechazo").isNotNull())
-        .groupBy("motivo_rechazo")
-        .agg(F.count("*").alias("registros"))
-    )
+    return rejects_from_counts(review_counts(reviewed))
+
+
+def rejects_from_counts(counts: DataFrame) -> DataFrame:
+    return counts.where(F.col("motivo_rechazo").isNotNull()).select("motivo_rechazo", "registros")
 
 
 def clean_sales(reviewed: DataFrame) -> DataFrame:
@@ -102,14 +113,15 @@ def quality_report(reviewed: DataFrame) -> DataFrame:
     return _with_residual(counts)
 
 
-def quality_from_layers(reviewed: DataFrame, clean: DataFrame) -> DataFrame:
-    """The same report when the clean layer is already stored: no distinct count is needed."""
+def quality_from_layers(counts: DataFrame, clean: DataFrame) -> DataFrame:
+    """The same report from stored outcome counts and the stored clean layer."""
+    rejected = F.when(F.col("motivo_rechazo").isNotNull(), F.col("registros"))
     valid = clean.agg(F.count("*")).scalar()
-    counts = reviewed.agg(
-        F.count("*").alias("entradas"),
-        count_if(F.col("motivo_rechazo").isNotNull()).alias("rechazadas"),
-    ).select("entradas", valid.alias("validas"), "rechazadas")
-    return _with_residual(counts)
+    totals = counts.agg(
+        F.coalesce(F.sum("registros"), F.lit(0)).alias("entradas"),
+        F.coalesce(F.sum(rejected), F.lit(0)).alias("rechazadas"),
+    )
+    return _with_residual(totals.withColumn("validas", valid))
 
 
 def _with_residual(counts: DataFrame) -> DataFrame:
@@ -123,9 +135,15 @@ def _with_residual(counts: DataFrame) -> DataFrame:
 
 def feed_freshness(history: DataFrame, as_of: Column) -> DataFrame:
     """Days between ``as_of`` and the last raw history sale, with a warning beyond one day."""
-    last = history.agg(F.max(F.to_date("momento")).alias("ultima"))
+    return freshness_from_days(history.select(F.to_date("momento").alias("ultima")), as_of)
+
+
+def freshness_from_days(days: DataFrame, as_of: Column) -> DataFrame:
+    """The same from any frame whose ``ultima`` holds the days, such as the outcome counts."""
     gap = F.date_diff(as_of.cast("date"), F.col("ultima"))
-    return last.select("ultima", gap.alias("dias"), (gap > 1).alias("aviso"))
+    return days.agg(F.max("ultima").alias("ultima")).select(
+        "ultima", gap.alias("dias"), (gap > 1).alias("aviso")
+    )
 
 
 def merge_inventory(history: DataFrame, live: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anaquel.functions.joins import BROADCAST_MAX_ROWS, fits
 from anaquel.functions.numeric import rnd
 from anaquel.session import series_partitions
 from anaquel.settings import SERIE, SERIE_DIA
@@ -71,16 +72,27 @@ def sales_daily(sales: DataFrame) -> DataFrame:
 def series_grid(calendar: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
     """Every day of every store and product, placed by (tienda_id, sku).
 
-    Days and stores are short lists, so they are exploded on the product rows: nothing is joined,
-    and only one row per series is shuffled, before its days are unfolded in place.
+    Days and the shorter of the two lists are exploded on the rows of the longer one: nothing is
+    joined, and only one row per series is shuffled, before its days are unfolded in place.
     """
-    all_stores = stores.agg(F.collect_list("tienda_id")).scalar()
     all_days = calendar.agg(F.collect_list("fecha")).scalar()
-    series = products.select("sku", F.explode(all_stores).alias("tienda_id")).select(*SERIE)
-    placed = by_series(series)
+    placed = by_series(_all_series(stores, products))
     return placed.select(*SERIE, F.explode(all_days).alias("fecha"))
 
 
+def _all_series(stores: DataFrame, products: DataFrame) -> DataFrame:
+    """Every store with every product; one of the two lists must be of a broadcastable size."""
+    for short, key, long in ((stores, "tienda_id", products), (products, "sku", stores)):
+        if fits(short):
+            keys = short.agg(F.collect_list(key)).scalar()
+            other = "sku" if key == "tienda_id" else "tienda_id"
+            return long.select(other, F.explode(keys).alias(key)).select(*SERIE)
+    raise ValueError(
+        f"stores and products both exceed {BROADCAST_MAX_ROWS} rows; "
+        "build the fact for one group of stores at a time"
+    )
+
+
 def dense_fact(
     calendar: DataFrame,
     stores: DataFrame,

@@ -82,9 +82,10 @@ def run_cycle(
         silver.unify_sales(inputs.history, inputs.landed), inputs.catalog
     )
     sales = keep("ventas", silver.clean_sales(reviewed), "plata")
-    keep("rechazos", silver.rejects_by_reason(reviewed))
-    quality = keep("calidad", silver.quality_from_layers(reviewed, sales))
-    keep("frescura", silver.feed_freshness(inputs.history, now))
+    counts = keep("revision", silver.review_counts(reviewed), "plata")
+    keep("rechazos", silver.rejects_from_counts(counts))
+    quality = keep("calidad", silver.quality_from_layers(counts, sales))
+    keep("frescura", silver.freshness_from_days(counts, now))
 
     # Star schema
     products = keep("dim_producto", star.dim_product(inputs.catalog))

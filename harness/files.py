@@ -15,10 +15,12 @@ from harness.oracle import TABLES
 
 
 def scan_catalog(d: Domain) -> DataFrame:
-    """One JSON document per category, each holding an array of products."""
+    """JSON documents that each hold an array of at most ten products."""
     path = scratch_path(d.spark, "catalogo")
     product = F.struct(*schemas.PRODUCTO.fieldNames())
-    pages = d.catalog.groupBy("category").agg(F.collect_list(product).alias("products"))
+    pages = d.catalog.groupBy(F.floor(F.col("id") / 10)).agg(
+        F.collect_list(product).alias("products")
+    )
     pages.select("products").write.option("maxRecordsPerFile", 1).json(path)
     return readers.read_catalog(d.spark, path)
 

@@ -91,8 +91,11 @@ def test_quality_report_conserves_rows(reviewed):
     report = silver.quality_report(reviewed).first()
     assert tuple(report) == (13, 3, 8, 2, 23.08)
     assert report.entradas == report.validas + report.rechazadas + report.duplicadas
-    stored = silver.quality_from_layers(reviewed, silver.clean_sales(reviewed)).first()
-    assert stored == report
+    counts = silver.review_counts(reviewed)
+    assert silver.quality_from_layers(counts, silver.clean_sales(reviewed)).first() == report
+    assert sorted(rows(silver.rejects_from_counts(counts))) == sorted(
+        rows(silver.rejects_by_reason(reviewed))
+    )
 
 
 def test_quality_of_nothing(spark, catalog):
@@ -104,6 +107,8 @@ def test_quality_of_nothing(spark, catalog):
         catalog,
     )
     assert tuple(silver.quality_report(empty).first()) == (0, 0, 0, 0, 0.0)
+    stored = silver.quality_from_layers(silver.review_counts(empty), silver.clean_sales(empty))
+    assert tuple(stored.first()) == (0, 0, 0, 0, 0.0)
     assert silver.clean_sales(empty).count() == 0
 
 
@@ -135,6 +140,12 @@ def test_freshness(spark):
     assert tuple(silver.feed_freshness(history, at(5)).first()) == (day(3), 2, True)
 
 
+def test_freshness_from_counts_ignores_the_stream(reviewed):
+    at = F.lit(moment(4))
+    got = silver.freshness_from_days(silver.review_counts(reviewed), at).first()
+    assert tuple(got) == (day(3), 1, False)
+
+
 def test_live_inventory_beats_history(spark):
     def stock(n, units, empty=False):
         return (day(n), "T01", "A", units, 0, empty, 0, 0, 0, 0.0)
