@@ -60,17 +60,17 @@ def scan_inventory_csv(d: Domain) -> DataFrame:
     return readers.read_inventory_history(d.spark, path)
 
 
-def sink_parquet(d: Domain) -> DataFrame:
+def sink_roundtrip(d: Domain) -> DataFrame:
     return writers.materialise(d.daily, scratch_path(d.spark, "ventas_dia"))
 
 
-def sink_json(d: Domain) -> DataFrame:
+def sink_json_roundtrip(d: Domain) -> DataFrame:
     path = scratch_path(d.spark, "productos")
     writers.save_json(d.catalog, path)
     return d.spark.read.schema(schemas.PRODUCTO).json(path)
 
 
-def sink_csv(d: Domain) -> DataFrame:
+def sink_csv_roundtrip(d: Domain) -> DataFrame:
     path = scratch_path(d.spark, "alertas")
     alerts = serving.open_alerts(d.risk())
     writers.export_csv(alerts, path)

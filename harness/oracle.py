@@ -292,9 +292,9 @@ QUERIES = {
     "weekday_factor": """
         SELECT dia, factor, CAST(sum(unidades) AS BIGINT) AS unidades
         FROM limpias JOIN semana ON dia = dayofweek(fecha) + 1 GROUP BY ALL""",
-    "sink_parquet": "SELECT * FROM diarias",
-    "sink_json": "SELECT * FROM catalogo",
-    "sink_csv": f"SELECT {_ALERT_COLS} FROM riesgo WHERE horizonte = 7 AND nivel <> 'OK'",
+    "sink_roundtrip": "SELECT * FROM diarias",
+    "sink_json_roundtrip": "SELECT * FROM catalogo",
+    "sink_csv_roundtrip": f"SELECT {_ALERT_COLS} FROM riesgo WHERE horizonte = 7 AND nivel <> 'OK'",
     "risk_partitioned": "SELECT * FROM riesgo",
     "lineage_latest": f"SELECT fecha, origen, fichero, registros FROM ({_LOADS}) "
                       f"ORDER BY fecha DESC LIMIT 30",
