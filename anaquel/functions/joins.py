@@ -7,19 +7,31 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension row here is an id and a few short columns, so 200,000 rows stay near 20 MB.
-BROADCAST_MAX_ROWS = 200_000
+# Every executor holds a broadcast side in memory next to its tasks; a few of this size are safe.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
-_verdicts: WeakKeyDictionary[DataFrame, dict[int, bool]] = WeakKeyDictionary()
+_sizes: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 
-def fits(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Whether a frame has at most ``max_rows`` rows, by counting no further than that."""
-    known = _verdicts.setdefault(dim, {})
-    if max_rows not in known:
-        known[max_rows] = dim.limit(max_rows + 1).count() <= max_rows
-    return known[max_rows]
+def measured_bytes(dim: DataFrame) -> int:
+    """Size of a frame from its actual values: their text length and 16 bytes each.
+
+    Planner estimates are no bound for derived frames, so the rows are measured, by one distributed
+    aggregate per frame. In a cycle the dimensions are stored tables and this reads no lineage.
+    """
+    if dim not in _sizes:
+        width = F.lit(0).cast("bigint")
+        for name in dim.columns:
+            text = F.octet_length(F.col(name).cast("string"))
+            width = width + F.coalesce(text, F.lit(0)) + 16
+        _sizes[dim] = dim.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return _sizes[dim]
+
+
+def fits(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether a frame is small enough to be broadcast or held as one array."""
+    return measured_bytes(dim) <= max_bytes
 
 
 def lookup(
@@ -28,17 +40,17 @@ def lookup(
     on: list[str],
     columns: list[str] | list[Column],
     how: str = "inner",
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Add ``columns`` of ``dim`` to ``fact`` by equality on ``on``; ``how`` is inner or left.
 
-    A dimension whose counted size is within ``max_rows`` is broadcast and the fact does not move.
-    A larger one is joined by shuffle with the fact's keys salted, so that one key holding a large
-    share of all rows is spread over ``SALTS`` tasks. The salt is a hash of the row, never a random
-    number, so a task that is run again sends every row to the same place.
+    A dimension within ``max_bytes`` is broadcast and the fact does not move. A larger one is
+    joined by shuffle with the fact's keys salted, so that one key holding a large share of all
+    rows is spread over ``SALTS`` tasks. The salt is a hash of the row, never a random number, so a
+    task that is run again sends every row to the same place.
     """
     side = dim.select(*on, *columns)
-    if fits(dim, max_rows):
+    if fits(dim, max_bytes):
         return fact.join(F.broadcast(side), on, how)
     salted = fact.withColumn("_sal", F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)).cast("int"))
     copies = side.withColumn("_sal", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anaquel.functions.joins import BROADCAST_MAX_ROWS, fits
+from anaquel.functions.joins import BROADCAST_MAX_BYTES, fits
 from anaquel.functions.numeric import rnd
 from anaquel.session import series_partitions
 from anaquel.settings import SERIE, SERIE_DIA
@@ -88,7 +88,7 @@ def _all_series(stores: DataFrame, products: DataFrame) -> DataFrame:
             other = "sku" if key == "tienda_id" else "tienda_id"
             return long.select(other, F.explode(keys).alias(key)).select(*SERIE)
     raise ValueError(
-        f"stores and products both exceed {BROADCAST_MAX_ROWS} rows; "
+        f"stores and products both exceed {BROADCAST_MAX_BYTES} bytes; "
         "build the fact for one group of stores at a time"
     )
 

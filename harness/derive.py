@@ -25,8 +25,9 @@ AS_OF = "2001-12-01 00:00:00"
 class Domain:
     """Lazy frames over one folder of test tables.
 
-    The frames that the pipeline stores between its layers are stored here as well, on first use:
-    clean sales, inventory, the dense fact, the features. All else is recomputed by each query.
+    What a cycle finds as files or stores between its layers is stored here as well, on first use:
+    catalogue, month factors, inventory; clean sales, calendar, dense fact, features. All else is
+    recomputed by each query.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
@@ -82,7 +83,7 @@ class Domain:
     @cached_property
     def catalog(self) -> DataFrame:
         number = F.substring_index("p_brand", "#", -1).cast("int")
-        return (
+        products = (
             self.table("part")
             .groupBy("p_brand")
             .agg(rnd(F.avg("p_retailprice"), 2).alias("price"), F.count("*").alias("n"))
@@ -97,6 +98,7 @@ class Domain:
                 F.when(number % 5 != 0, number % 4 + 1).alias("minimumOrderQuantity"),
             )
         )
+        return stage(products, "catalogo")
 
     @cached_property
     def stores(self) -> DataFrame:
@@ -185,7 +187,7 @@ class Domain:
 
     @cached_property
     def month_factor(self) -> DataFrame:
-        return season.seasonal_index(self.index_series)
+        return stage(season.seasonal_index(self.index_series), "factores_mes")
 
     @cached_property
     def weekday_factor(self) -> DataFrame:

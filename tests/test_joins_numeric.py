@@ -16,7 +16,7 @@ def test_salted_lookup_equals_broadcast_lookup(spark, how):
     )
     dim = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("doble"))
     small = joins.lookup(fact, dim, ["k"], ["doble"], how)
-    large = joins.lookup(fact, dim, ["k"], ["doble"], how, max_rows=10)
+    large = joins.lookup(fact, dim, ["k"], ["doble"], how, max_bytes=10)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert "_sal" in large._jdf.queryExecution().optimizedPlan().toString()
     assert large.columns == small.columns
@@ -31,9 +31,12 @@ def test_salt_spreads_a_hot_key(spark):
     assert max(sizes) < 3 * 3_200 / joins.SALTS
 
 
-def test_size_check_counts_no_further_than_needed(spark):
-    assert joins.fits(spark.range(10), 10)
-    assert not joins.fits(spark.range(11), 10)
+def test_size_is_measured_from_the_values(spark):
+    text = spark.createDataFrame([("abc", 12), ("ñ", None)], "a string, b int")
+    assert joins.measured_bytes(text) == (3 + 2 + 2 + 0) + 4 * 16
+    assert joins.fits(text, 71)
+    assert not joins.fits(text, 70)
+    assert joins.fits(text.where("1 = 0"), 0)
 
 
 def test_rounding_is_half_up_and_ignores_float_noise(spark):
