@@ -25,6 +25,7 @@ from anaquel.operators.features import (
 )
 from anaquel.operators.star import by_series
 from anaquel.settings import SERIE, VARIABLES, Params
+from anaquel.sources.literals import local_frame
 
 
 # Remembering each row's node per tree saves a third of the fit at the price of four bytes per row
@@ -116,7 +117,7 @@ def _metrics(scored: DataFrame, weight: float) -> DataFrame:
                 rnd(F.lit(weight), 2).alias("peso_positivos"),
             )
         )
-        return scored.sparkSession.createDataFrame(row.collect(), row.schema)
+        return local_frame(scored.sparkSession, row.collect(), row.schema)
     finally:
         predictions.unpersist()
 
@@ -124,9 +125,8 @@ def _metrics(scored: DataFrame, weight: float) -> DataFrame:
 def _importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     names = [*VARIABLES, "categoria"]
     weights = model.stages[-1].featureImportances.toArray()
-    return spark.createDataFrame(
-        [(n, round(float(w), 4)) for n, w in zip(names, weights)],
-        "variable string, importancia double",
+    return local_frame(
+        spark, [(n, round(float(w), 4)) for n, w in zip(names, weights)], schemas.IMPORTANCIA
     )
 
 
@@ -139,7 +139,7 @@ def score(model: PipelineModel, features: DataFrame, day: Column) -> DataFrame:
 
 def no_probability(spark: SparkSession) -> DataFrame:
     """The empty probability table that risk reads while no model exists."""
-    return spark.createDataFrame([], schemas.PROBABILIDAD)
+    return local_frame(spark, [], schemas.PROBABILIDAD)
 
 
 def model_vs_rule(metrics: DataFrame) -> DataFrame:

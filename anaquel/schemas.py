@@ -53,4 +53,5 @@ INVENTARIO = _struct(
     valor_no_atendido=_NUMBER,
 )
 PROBABILIDAD = _struct(tienda_id=_TEXT, sku=_TEXT, probabilidad=_NUMBER)
+IMPORTANCIA = _struct(variable=_TEXT, importancia=_NUMBER)
 CARGA = _struct(fecha=_TEXT, origen=_TEXT, fichero=_TEXT, registros=_LONG)

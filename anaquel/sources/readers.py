@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from anaquel import schemas
 from anaquel.settings import FACTOR_DIA, TIENDAS
+from anaquel.sources.literals import local_frame
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -31,13 +32,13 @@ def read_month_factors(spark: SparkSession, path: str) -> DataFrame:
 
 def stores(spark: SparkSession) -> DataFrame:
     """The fixed list of stores."""
-    return spark.createDataFrame(list(TIENDAS), schemas.TIENDA)
+    return local_frame(spark, TIENDAS, schemas.TIENDA)
 
 
 def weekday_factors(spark: SparkSession) -> DataFrame:
     """Weekday factors keyed like ``dayofweek``: Sunday is 1, Monday 2."""
     rows = [((monday_based + 1) % 7 + 1, f) for monday_based, f in enumerate(FACTOR_DIA)]
-    return spark.createDataFrame(rows, schemas.FACTOR_DIA)
+    return local_frame(spark, rows, schemas.FACTOR_DIA)
 
 
 def read_sales_history(spark: SparkSession, path: str) -> DataFrame:
@@ -102,4 +103,4 @@ def _or_empty(spark: SparkSession, schema: StructType, read) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
