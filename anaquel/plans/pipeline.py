@@ -23,7 +23,7 @@ from anaquel.operators import (
     silver,
     star,
 )
-from anaquel.session import configure, series_partitions
+from anaquel.session import configure, series_partitions, stage
 from anaquel.settings import Params
 from anaquel.sources import readers, writers
 
@@ -161,8 +161,11 @@ def refresh_seasonality(spark: SparkSession, root: str, as_of: Column | None = N
 
 
 def impact_report(inputs: Inputs) -> dict[str, DataFrame]:
-    """The business-impact summary over the inventory history and the raw sales history."""
-    inventory = inputs.inventory_history
+    """The business-impact summary over the inventory history and the raw sales history.
+
+    The inventory text is parsed once and stored; the four reports read columns of that table.
+    """
+    inventory = stage(inputs.inventory_history, "inventario")
     return {
         "totales": impact.impact_totals(
             inventory, inputs.history, inputs.stores, inputs.catalog
