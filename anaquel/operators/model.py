@@ -23,11 +23,10 @@ from anaquel.operators.features import (
     split_summary,
     weighted,
 )
-from anaquel.operators.star import by_series
-from anaquel.settings import SERIE, VARIABLES, Params
+from anaquel.session import series_partitions
+from anaquel.settings import SERIE, SERIE_DIA, VARIABLES, Params
 from anaquel.sources.literals import local_frame
 
-
 # Remembering each row's node per tree saves a third of the fit at the price of four bytes per row
 # and tree; the trees are the same. Beyond this many rows the cluster's storage matters more.
 CACHE_NODES_MAX_ROWS = 100_000_000
@@ -68,9 +67,10 @@ def _fit(rows: DataFrame, params: Params, cache_nodes: bool) -> PipelineModel:
     """Index the category, assemble the vector and grow the weighted forest.
 
     The forest draws its samples by partition and position. Its input is therefore placed and
-    ordered by series, which gives the same trees for the same data whatever the cluster layout,
-    and lets a lost task draw the same sample again. That one shuffle is kept for the several
-    passes of the fit; the category index needs a single column and reads the table itself.
+    ordered by series and day, which gives even partitions, the same trees for the same data
+    whatever the cluster layout, and lets a lost task draw the same sample again. That one shuffle
+    is kept for the several passes of the fit; the category index needs a single column and reads
+    the table itself.
     """
     index = StringIndexer(
         inputCol="categoria", outputCol="_categoria", handleInvalid="keep"
@@ -78,9 +78,11 @@ def _fit(rows: DataFrame, params: Params, cache_nodes: bool) -> PipelineModel:
     assemble = VectorAssembler(
         inputCols=[*VARIABLES, "_categoria"], outputCol="features", handleInvalid="skip"
     )
-    ordered = by_series(
-        rows.select("fecha", *SERIE, "categoria", *VARIABLES, "etiqueta", "peso")
-    ).sortWithinPartitions(*SERIE, "fecha")
+    ordered = (
+        rows.select(*SERIE_DIA, "categoria", *VARIABLES, "etiqueta", "peso")
+        .repartition(series_partitions(rows.sparkSession), *SERIE_DIA)
+        .sortWithinPartitions(*SERIE_DIA)
+    )
     training = assemble.transform(index.transform(ordered)).select("features", "etiqueta", "peso")
     training.persist(StorageLevel.MEMORY_AND_DISK)
     try:
