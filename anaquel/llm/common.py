@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import anaquel
+
 from anaquel.session import scratch_path
 
 SPACE = "\t\n\x0b\x0c\r "
@@ -44,3 +51,17 @@ def parts_for(df: DataFrame, total_bytes: int, each: int) -> int:
 def text_bytes(df: DataFrame, text: str) -> int:
     """UTF-8 bytes of a text column, summed where the rows are."""
     return df.agg(F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0))).first()[0]
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_anaquel_shipped", False):
+        return
+    root = Path(anaquel.__file__).parent
+    handle, path = tempfile.mkstemp(prefix="anaquel-", suffix=".zip")
+    with os.fdopen(handle, "wb") as file, zipfile.ZipFile(file, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, str(Path("anaquel") / source.relative_to(root)))
+    sc.addPyFile(path)
+    sc._anaquel_shipped = True

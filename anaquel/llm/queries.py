@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import linededup, mixing
+from anaquel.llm import linededup, mixing, neardup, substrings
 from anaquel.llm.common import documents, pages
 
 
@@ -15,6 +15,16 @@ def _sha256(text: str):
     return F.sha2(F.col(text), 256)
 
 
+def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.drop_repeated_passages(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256")
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", _sha256("kept").alias("kept_sha256")
@@ -28,6 +38,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_neardup": op2_minhash_neardup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
 }
