@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import linededup, mixing, neardup, substrings
+from anaquel.llm import decontaminate, linededup, mixing, neardup, substrings
 from anaquel.llm.common import documents, pages
 
 
@@ -15,6 +15,11 @@ def _sha256(text: str):
     return F.sha2(F.col(text), 256)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.find_leaks(documents(spark, sf_dir), benchmark).drop("_row")
+
+
 def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id")
 
@@ -38,6 +43,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_minhash_neardup": op2_minhash_neardup,
     "op3_substring_dedup": op3_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
