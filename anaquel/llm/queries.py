@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import decontaminate, linededup, mixing, neardup, substrings
+from anaquel.llm import decontaminate, linededup, mixing, neardup, substrings, warc
 from anaquel.llm.common import documents, pages
 
 
@@ -30,6 +30,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(pages(spark, sf_dir)).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", _sha256("kept").alias("kept_sha256")
@@ -46,11 +53,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_neardup": op2_minhash_neardup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_warc": op5_warc,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
 }
 
 SQL: dict[str, str] = {
+    "op5_warc": r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS hex FROM pages
+), f AS (
+  SELECT hex, min(page_id) AS first FROM p GROUP BY hex
+), n AS (
+  SELECT p.*, f.first, CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
+  FROM p JOIN f USING (hex)
+), d AS (
+  -- base32: forty hex digits are eight groups of five, each of which makes four letters
+  SELECT *, list_transform(range(0, 8), lambda g: ('0x' || substr(hex, (5 * g + 1)::INT, 5))::BIGINT) AS v
+  FROM n
+)
+SELECT page_id, octet_length(body)::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((v[i // 4 + 1] >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM d
+""",
     "op7_line_dedup": r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts

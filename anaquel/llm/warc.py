@@ -178,8 +178,9 @@ def _writer(folder: str):
         for batch in batches:
             for page_id, url, html, digest, refers_to in zip(*[batch.column(i) for i in range(5)]):
                 payload = html.as_buffer().to_pybytes()
+                base32 = base64.b32encode(bytes.fromhex(digest.as_py())).decode()
                 records.append(write_record(
-                    page_id.as_py(), url.as_py(), payload, digest.as_py(), refers_to.as_py()
+                    page_id.as_py(), url.as_py(), payload, base32, refers_to.as_py()
                 ))
                 size += len(records[-1])
                 if size >= ARCHIVE_BYTES:
@@ -189,3 +190,100 @@ def _writer(folder: str):
             yield archive(records)
 
     return write
+
+
+def _reader(with_payload: bool):
+    def read(batches):
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows, held = [], 0
+                for headers, block in read_archive(content.as_buffer()):
+                    revisit = headers["warc-type"] == "revisit"
+                    full = headers.get("x-payload-length")
+                    digest = headers.get("warc-payload-digest", "").removeprefix("sha1:")
+                    rows.append((
+                        name, headers["warc-type"], headers.get("x-page-id") or None,
+                        headers.get("warc-target-uri"), int(full) if revisit and full else len(block),
+                        digest if revisit else payload_digest(block),
+                        headers.get("x-refers-to-page-id"), headers, block if with_payload else None,
+                    ))
+                    held += len(block) if with_payload else 0
+                    if len(rows) >= 1000 or held >= ARCHIVE_BYTES:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES
+                        )
+                        rows, held = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES
+                    )
+
+    return read
+
+
+_NAMES = [
+    "archive", "record_type", "page_id", "url", "payload_bytes", "payload_digest", "refers_to",
+    "headers", "payload",
+]
+_TYPES = [
+    pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(),
+    pa.map_(pa.string(), pa.string()), pa.binary(),
+]
+_READ_DDL = (
+    "archive string, record_type string, page_id string, url string, payload_bytes long, "
+    "payload_digest string, refers_to string, headers map<string,string>, payload binary"
+)
+
+
+def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_DUPLICATE_BYTES) -> DataFrame:
+    """Write a record per page to archives in ``folder``; returns ``name, bytes, records`` per archive.
+
+    The payload is the html in UTF-8, a null html is empty. Of the pages whose payloads are equal and
+    have at least ``min_bytes`` bytes the one with the least page_id is a response, the others revisit
+    it; all other pages are responses. Pages without page_id are responses that nothing refers to.
+    A null url leaves the target out. Rows that repeat a page are written again.
+    """
+    ship(pages.sparkSession)
+    html = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+        html.alias("payload"),
+    ).withColumn("hex", F.sha1("payload"))
+    seen = rows.where("page_id IS NOT NULL").select(
+        "page_id", "hex", F.octet_length("payload").alias("size")
+    ).where(F.col("size") >= min_bytes)
+    seen = stored(seen, "payloads")
+    first = seen.groupBy("hex").agg(F.min("page_id").alias("refers_to"))
+    revisits = stored(
+        seen.select("page_id", "hex").distinct().join(first, "hex")
+        .where("page_id <> refers_to").select("page_id", "hex", "refers_to"),
+        "revisits",
+    )
+    records = (
+        rows.join(revisits, ["page_id", "hex"], "left")
+        .select("page_id", "url", "payload", F.col("hex").alias("digest"), "refers_to")
+        .sortWithinPartitions("page_id", "digest", "url")  # a task that runs again writes the same bytes
+    )
+    manifest = records.mapInArrow(_writer(folder), "name string, bytes long, records long")
+    return stored(manifest, "manifest")
+
+
+def read_archives(spark, folder: str, with_payload: bool = True) -> DataFrame:
+    """A row per record of the archives in a folder, read by Spark's own file source.
+
+    Lengths and digests are those of the whole payload, also for revisits. Any record that fails
+    validation raises ``WarcError`` and with it the query.
+    """
+    ship(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
+    return files.select("path", "content").mapInArrow(_reader(with_payload), _READ_DDL)
+
+
+def round_trip(pages: DataFrame, with_payload: bool = False) -> DataFrame:
+    """Write the pages as archives in the shared folder and read them back."""
+    spark = pages.sparkSession
+    folder = scratch_path(spark, "warc")
+    manifest = write_archives(pages, folder)
+    if not manifest.head(1):  # no pages, so no archive and no folder
+        return spark.createDataFrame([], _READ_DDL)
+    return read_archives(spark, folder, with_payload)
