@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import decontaminate, linededup, mixing, neardup, substrings, warc
+from anaquel.llm import decontaminate, fingerprints, linededup, mixing, neardup, substrings, warc
 from anaquel.llm.common import documents, pages
 
 
@@ -49,6 +49,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints_of_edits(documents(spark, sf_dir)).drop("only_text", "only_edited")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_neardup": op2_minhash_neardup,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 SQL: dict[str, str] = {
