@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import decontaminate, fingerprints, linededup, mixing, neardup, substrings, warc
+from anaquel.llm import decontaminate, fingerprints, htmltext, linededup, mixing, neardup, substrings, warc
 from anaquel.llm.common import documents, pages
 
 
@@ -30,6 +30,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(pages(spark, sf_dir)).withColumn(
+        "n_chars", F.char_length("text").cast("long")
+    )
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(pages(spark, sf_dir)).select(
         F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_neardup": op2_minhash_neardup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_html": op4_html,
     "op5_warc": op5_warc,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
