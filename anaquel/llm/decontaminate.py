@@ -330,9 +330,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
+    """The rows of ``docs`` that hold no benchmark item, with their columns as they are."""
     leaks = find_leaks(docs, benchmark).select(
-        F.col("doc_id").alias("_leak_doc"), F.col("_row").alias("_leak_row")
+        F.col("doc_id").alias("_d"), F.col("_row").alias("_t")
     ).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_leak_doc")) & (text_key("text") == F.col("_leak_row"))
-    return docs.join(leaks, same, "left_anti")
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("_doc"), text_key("text").alias("_text")
+    )
+    same = F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t"))
+    return rows.join(leaks, same, "left_anti").select("row.*")

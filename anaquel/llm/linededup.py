@@ -23,19 +23,8 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(SPACE)), ascii_uppercase, ascii_lowercase)
 
 
-def drop_repeated_lines(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
-) -> DataFrame:
-    """One row per input row: ``doc_id, n_lines, n_dropped, kept``.
-
-    Keys of at least ``min_chars`` code points found in at least ``min_docs`` documents lose all
-    their lines except those in the largest ``doc_id`` holding them. A null or empty text is one
-    empty line. A row without ``doc_id`` counts for no key and keeps all its lines. Rows with the same
-    ``doc_id`` count as one document; each is cut by its own lines. Other columns are not read.
-    """
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "_row", text_key("text")
-    )
+def _dropped(base: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """``doc_id, _row, _dropped``: positions of the lines that go, of ``doc_id, text, _row``."""
     key = F.col("_key")
     lines = (
         base.where(F.col("doc_id").isNotNull())
@@ -54,12 +43,30 @@ def drop_repeated_lines(
         .where(F.col("_docs") >= min_docs)
         .select("_h1", "_h2", "_keeper")
     )
-    dropped = (
+    return (
         lines.join(shared, ["_h1", "_h2"])
         .where(F.col("doc_id") != F.col("_keeper"))
         .select("doc_id", "_row", "_pos").distinct()
         .groupBy("doc_id", "_row").agg(F.collect_set("_pos").alias("_dropped"))
     )
+
+
+def drop_repeated_lines(
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
+) -> DataFrame:
+    """One row per input row: ``doc_id, n_lines, n_dropped, kept, row`` (the whole input row).
+
+    Keys of at least ``min_chars`` code points found in at least ``min_docs`` documents lose all
+    their lines except those in the largest ``doc_id`` holding them. A null or empty text is one
+    empty line. A row without ``doc_id`` counts for no key and keeps all its lines. Rows with the same
+    ``doc_id`` count as one document; each is cut by its own lines. Other columns pass in ``row``,
+    whatever their names.
+    """
+    base = docs.select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key("text").alias("_row"),
+        F.struct("*").alias("row"),
+    )
+    dropped = _dropped(base.drop("row"), min_chars, min_docs)
     kept = F.filter(
         F.split("text", "\n", -1), lambda _, i: ~F.array_contains(F.col("_dropped"), i)
     )
@@ -69,4 +76,20 @@ def drop_repeated_lines(
         F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("_dropped").isNull(), F.col("text"))
         .otherwise(F.array_join(kept, "\n")).alias("kept"),
+        "row",
     )
+
+
+def without_repeated_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with the shared lines taken out of ``text``, and ``n_chars``, if there, counted anew.
+
+    Every row stays; a text that loses nothing, null included, is as it was.
+    """
+    cut = drop_repeated_lines(docs)
+    changed = F.col("n_dropped") > 0
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept")}
+    return cut.select(*[
+        F.when(changed, new[f.name].cast(f.dataType)).otherwise(F.col(f"row.`{f.name}`")).alias(f.name)
+        if f.name in new else F.col(f"row.`{f.name}`")
+        for f in docs.schema
+    ])

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anaquel.llm.common import WORD, stored
+from anaquel.llm.common import WORD, stored, text_key
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -30,10 +30,10 @@ _KEY_BITS = 60
 
 @dataclass
 class Mix:
-    """``draws``: one row per block drawn: doc_id, copy, source, block, pass, words, shard, order.
+    """``draws``: one row per block drawn: doc_id, text_hash, copy, source, block, pass, words, shard, order.
 
-    ``documents``: one row per input row: doc_id, copy, source, size, source_size, target, taken.
-    ``quotas``: blocks by source and shard. ``copy`` tells rows with equal doc_id, source, size apart.
+    ``documents``: one row per input row: doc_id, text_hash, copy, source, size, source_size, target,
+    taken. ``quotas``: blocks by source and shard. ``copy`` tells equal rows apart.
     """
 
     documents: DataFrame
@@ -137,14 +137,15 @@ def mix(
 ) -> Mix:
     """Mix documents by source. Equal input and seed give equal draws.
 
-    A null text has size 0 and gives no block; a null source is a source of its own. Rows that
-    agree in doc_id, source and size are told apart by ``copy``. An empty table gives empty frames.
+    A null text has size 0 and gives no block; a null source is a source of its own. Equal rows
+    are told apart by ``copy``. An empty table gives empty frames.
     """
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    sizes = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("_copies"))
-    sizes = sizes.select(
-        "doc_id", "source", "size", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("copy")
+    sizes = docs.select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"), text_key("text").alias("text_hash")
     )
+    row = ["doc_id", "source", "size", "text_hash"]
+    sizes = sizes.groupBy(*row).agg(F.count("*").alias("_copies"))
+    sizes = sizes.select(*row, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("copy"))
     sizes = stored(sizes, "sizes")
     goals = stored(
         targets(sizes).withColumn(
@@ -169,7 +170,7 @@ def mix(
         .withColumn("_key", _key(F.col("doc_id"), F.col("copy"), F.col("block"), F.lit(seed)))
     )
     permuted = _ranked(
-        blocks, ["source"], "_key", ["doc_id", "copy", "block"], _width(rows), words=True
+        blocks, ["source"], "_key", ["doc_id", "copy", "block", "text_hash"], _width(rows), words=True
     )
     # A last, partial pass takes the blocks whose middle lies below the words still to give.
     rest = F.col("target") - F.col("_passes") * F.col("source_size")
@@ -180,7 +181,7 @@ def mix(
         permuted.join(goal, of_source)
         .withColumn("_n", passes).where("_n > 0")
         .select(
-            "doc_id", "copy", "source", "block", "words", "_rank",
+            "doc_id", "text_hash", "copy", "source", "block", "words", "_rank",
             F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("pass"),
         )
         .withColumn(
@@ -192,8 +193,8 @@ def mix(
 
     total = slots.count()
     urn = _ranked(
-        slots.select("source", "_urn", "doc_id", "copy", "block", "pass"),
-        [], "_urn", ["doc_id", "copy", "block", "pass"], _width(total), words=False,
+        slots.select("source", "_urn", "doc_id", "copy", "block", "pass", "text_hash"),
+        [], "_urn", ["doc_id", "copy", "block", "pass", "text_hash"], _width(total), words=False,
     )
     shard = F.floor(F.col("_rank") * F.lit(shards) / F.lit(max(total, 1))).cast("int")
     quotas = stored(
@@ -215,18 +216,18 @@ def mix(
         .withColumn("_slot", slot)
         .join(ends, of_source)
         .select(
-            "doc_id", "copy", "source", "block", "pass", "words",
+            "doc_id", "text_hash", "copy", "source", "block", "pass", "words",
             run["shard"].alias("shard"), F.col("_urn").alias("order"),
         )
     )
-    taken = draws.groupBy("doc_id", "copy", "source").agg(F.sum("words").alias("taken"))
+    taken = draws.groupBy("doc_id", "text_hash", "copy", "source").agg(F.sum("words").alias("taken"))
     taken = taken.select(*[F.col(c).alias(f"_t{c}") for c in taken.columns])
-    same = [F.col(c).eqNullSafe(F.col(f"_t{c}")) for c in ("doc_id", "copy", "source")]
+    same = [F.col(c).eqNullSafe(F.col(f"_t{c}")) for c in ("doc_id", "text_hash", "copy", "source")]
     mixed = (
         sizes.join(goal, of_source)
         .join(taken, on=same, how="left")
         .select(
-            "doc_id", "copy", "source", "size", "source_size", "target",
+            "doc_id", "text_hash", "copy", "source", "size", "source_size", "target",
             F.coalesce("_ttaken", F.lit(0)).cast("long").alias("taken"),
         )
     )
@@ -240,3 +241,24 @@ def write_shards(mixed: Mix, path: str) -> None:
         .sortWithinPartitions("shard", "order")
         .write.partitionBy("shard").parquet(path)
     )
+
+
+def mixed_rows(docs: DataFrame, shards: int = SHARDS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents of the mix, with all their columns and ``size, source_size, target, taken``.
+
+    A document of which the mix takes nothing is left out. Columns of ``docs`` that have one of the
+    four names give way.
+    """
+    added = ["size", "source_size", "target", "taken"]
+    mixed = stored(mix(docs, shards, block_words).documents, "mix").where("taken > 0")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added]).alias("row"),
+        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), text_key("text").alias("_t"),
+    )
+    if mixed.where("copy > 1").head(1):  # equal rows: one of them meets all copies
+        rows = rows.groupBy("_d", "_s", "_t").agg(F.any_value("row").alias("row"))
+    same = (
+        F.col("_d").eqNullSafe(F.col("doc_id")) & F.col("_s").eqNullSafe(F.col("source"))
+        & (F.col("_t") == F.col("text_hash"))
+    )
+    return rows.join(mixed, same).select("row.*", *added)

@@ -388,18 +388,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without all but one document of each class: that with the least doc_id.
 
-    Of rows that repeat a doc_id and its text one stays; rows without doc_id all stay.
+    Of rows that repeat a doc_id and its text one stays; rows without doc_id all stay. Other columns
+    pass, whatever their names.
     """
     classes = near_duplicates(docs, threshold)
-    gone = classes.where("doc_id <> class_id").select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash_1").alias("_h1")
-    ).distinct()
-    text = F.coalesce("text", F.lit(""))
-    rest = docs.join(
-        gone, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64(text) == F.col("_h1")), "left_anti"
+    seen = stored(classes.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_d"), F.col("text_hash_1").alias("_t"), "class_id"
+    ), "classes")
+    gone = seen.where("_d <> class_id").select("_d", "_t").distinct()
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("_doc"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"),
     )
-    repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n"))
-    if not repeated.where("_n > 1").head(1):
-        return rest
-    whole = rest.where("doc_id IS NOT NULL").withColumn("_h1", F.xxhash64(text))
-    return whole.dropDuplicates(["doc_id", "_h1"]).drop("_h1").union(rest.where("doc_id IS NULL"))
+    rest = rows.join(gone, (F.col("_doc") == F.col("_d")) & (F.col("_text") == F.col("_t")), "left_anti")
+    if seen.groupBy("_d", "_t").agg(F.count("*").alias("_n")).where("_n > 1").head(1):
+        named = rest.where("_doc IS NOT NULL").groupBy("_doc", "_text").agg(F.any_value("row").alias("row"))
+        rest = named.select("row").union(rest.where("_doc IS NULL").select("row"))
+    return rest.select("row.*")

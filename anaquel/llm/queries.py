@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import decontaminate, fingerprints, htmltext, linededup, mixing, neardup, substrings, warc
+from anaquel.llm import decontaminate, fingerprints, htmltext, linededup, mixing, neardup, substrings, toxicity, warc
 from anaquel.llm.common import documents, pages
 
 
@@ -55,6 +55,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.classify(documents(spark, sf_dir), labels)
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints_of_edits(documents(spark, sf_dir)).drop("only_text", "only_edited")
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_fingerprints": op10_fingerprints,
 }
 

@@ -72,15 +72,18 @@ def blocks(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         row = stop
 
 
-def word_spans(raw: np.ndarray, start: int, end: int, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(
+    raw: np.ndarray, start: int, end: int, inner: np.ndarray, outside: np.ndarray = _IS_SPACE
+) -> tuple[np.ndarray, np.ndarray]:
     """First and past-the-last byte of each word in raw[start:end]; no word crosses ``inner``.
 
-    ``inner`` are the positions, sorted, where one text ends and the next begins.
+    ``inner`` are the positions, sorted, where one text ends and the next begins; ``outside`` says for
+    each byte value whether it separates words.
     """
     if end <= start:
         empty = np.zeros(0, np.int64)
         return empty, empty
-    solid = ~_IS_SPACE[raw[start:end]]
+    solid = ~outside[raw[start:end]]
     opens = solid.copy()
     opens[1:] &= ~solid[:-1]
     closes = solid.copy()
