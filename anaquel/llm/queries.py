@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import decontaminate, fingerprints, htmltext, linededup, mixing, neardup, substrings, toxicity, warc
+from anaquel.llm import decontaminate, fingerprints, htmltext, licenses, linededup, mixing, neardup, substrings, toxicity, warc
 from anaquel.llm.common import documents, pages
 
 
@@ -43,6 +43,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(documents(spark, sf_dir))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", _sha256("kept").alias("kept_sha256")
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_html": op4_html,
     "op5_warc": op5_warc,
+    "op6_license_scan": op6_license_scan,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
