@@ -3,11 +3,12 @@
 1. One pass counts in how many documents each shingle occurs, in a counting sketch of fixed size.
 2. A second pass gives every document its samples (improved consistent weighted sampling) and hashes
    them to band values.
-3. Texts that are equal form one node. Nodes that share a band value are compared with one leader of
-   that value; what the leader does not settle is compared pairwise, as far as the triangle
-   inequality of the weighted Jaccard distance leaves it open.
-4. Every pair is verified by the weighted Jaccard similarity of the whole texts; verified links make
-   connected components.
+3. Texts that are equal form one node. Nodes that share a band value are compared with the most central
+   of them, that which shares most values with others; the verified links make components.
+4. What this leaves open, members of one value in different components, is compared in blocks of
+   bounded size inside the tasks; only links that join components leave a block, never pairs.
+
+Every link is verified by the weighted Jaccard similarity of the whole texts.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ SKETCH_BITS = 22
 CELLS = 1 << 12  # counters per row while the sketch is summed
 RARE = 1e-3  # share of all documents below which a shingle counts as equally rare
 SUB = 1 << 15  # shingles sampled at once
+BLOCK = 512  # nodes on each side of a block of comparisons
 
 _U32 = np.uint32
 
@@ -257,6 +259,76 @@ def _verify(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
     )
 
 
+def _profiles(texts: DataFrame) -> DataFrame:
+    """``node, codes, times``: the distinct shingles of a text and how often each occurs, as bytes."""
+
+    def describe(batches):
+        for batch, row, stop, (codes, times, edges) in _rows(batches, "text"):
+            at = list(zip(edges[:-1], edges[1:]))
+            yield pa.RecordBatch.from_pydict({
+                "node": batch.column("node").slice(row, stop - row),
+                "codes": pa.array([codes[a:z].tobytes() for a, z in at], pa.binary()),
+                "times": pa.array([times[a:z].astype(np.int32).tobytes() for a, z in at], pa.binary()),
+            })
+
+    return texts.select("node", "text").mapInArrow(describe, "node long, codes binary, times binary")
+
+
+def similarities(codes: list[np.ndarray], weights: list[np.ndarray], n_left: int) -> np.ndarray:
+    """Weighted Jaccard similarities of the first ``n_left`` texts (rows) with the others (columns).
+
+    A shingle that occurs t times is given as t codes of its own, so the least of two weights is the weight
+    of the codes that both texts have, and the sums are a product of matrices.
+    """
+    owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+    joined, weight = np.concatenate(codes), np.concatenate(weights).astype(np.float64)
+    total = np.bincount(owner, weights=weight, minlength=len(codes))
+    known, column, count = np.unique(joined, return_inverse=True, return_counts=True)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    here = shared[column]
+    left, right = here & (owner < n_left), here & (owner >= n_left)
+    a = np.zeros((n_left, max(int(shared.sum()), 1)))
+    b = np.zeros((len(codes) - n_left, a.shape[1]))
+    a[owner[left], number[column[left]]] = weight[left]
+    b[owner[right] - n_left, number[column[right]]] = 1.0
+    low = a @ b.T
+    high = total[:n_left, None] + total[None, n_left:] - low
+    return np.divide(low, high, out=np.ones_like(low), where=high > 0)
+
+
+def _compare_blocks(weights, threshold: float):
+    def unary(codes: bytes, times: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        code, n = np.frombuffer(codes, np.uint64), np.frombuffer(times, np.int32)
+        copy = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        out = np.repeat(code, n)
+        return np.where(copy > 0, W.mix(out + copy.astype(np.uint64)), out), np.repeat(table[_cell(code)], n)
+
+    def compare(block: pa.Table) -> pa.Table:
+        table = weights.value
+        block = block.sort_by("side")
+        side, node, root = (block[c].to_numpy() for c in ("side", "node", "root"))
+        n_left = int((side == 0).sum())
+        links: list[tuple[int, int]] = []
+        if 0 < n_left < len(side):
+            parts = [
+                unary(c.as_buffer(), t.as_buffer(), table) for c, t in zip(block["codes"], block["times"])
+            ]
+            like = similarities([p[0] for p in parts], [p[1] for p in parts], n_left)
+            x, y = np.nonzero((like >= threshold - 1e-6) & (root[:n_left, None] != root[None, n_left:]))
+            y += n_left
+            # One link per pair of components is enough: which ones, is the same every time.
+            _, first = np.unique(
+                np.column_stack([np.minimum(root[x], root[y]), np.maximum(root[x], root[y])]), axis=0, return_index=True
+            )
+            links = list(zip(node[x[first]].tolist(), node[y[first]].tolist()))
+        return pa.table({
+            "a": pa.array([p[0] for p in links], pa.int64()), "b": pa.array([p[1] for p in links], pa.int64())
+        })
+
+    return compare
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root``: the least node of each connected component of ``a, b`` links.
 
@@ -330,48 +402,59 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
 
     values = signed.select("node", F.explode("bands").alias("value"))
+    sizes = values.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(values.join(sizes, "value"), "shared")
+    central = shared.groupBy("node").agg(F.sum("n").alias("centrality"))
+    members = shared.join(central, "node")
+    leaders = members.groupBy("value").agg(F.max("centrality").alias("centrality"))
     leaders = (
-        values.groupBy("value").agg(F.min("node").alias("leader"), F.count("*").alias("_n"))
-        .where("_n > 1").drop("_n")
+        members.join(leaders, ["value", "centrality"]).groupBy("value").agg(F.min("node").alias("leader"))
     )
-    members = stored(
-        values.join(leaders, "value").select("value", "leader", "node"), "members"
+    members = stored(shared.join(leaders, "value").select("value", "leader", "node"), "members")
+    texts = stored(
+        identified.join(named.join(members.select("node").distinct(), "node", "left_semi"), row)
+        .dropDuplicates(["node"]).select("node", "text"), "compared",
     )
     star = members.where("leader <> node").select(
         F.col("leader").alias("a"), F.col("node").alias("b")
     ).distinct()
-    compared = members.select("node").distinct()
-    texts = stored(
-        identified.join(named.join(compared, "node", "left_semi"), row)
-        .dropDuplicates(["node"]).select("node", "text"), "compared",
-    )
-    measured = stored(_verify(star, texts, weights), "distances")
-    limit = 1.0 - threshold + 1e-9
-    links = measured.where(F.col("distance") <= limit)
+    links = stored(_verify(star, texts, weights), "distances").where(F.col("distance") <= 1.0 - threshold + 1e-6)
     roots = components(links)
 
-    # Members of a value that are still in different components, and may be closer than the limit:
-    # |d(x, leader) - d(y, leader)| <= d(x, y), and a leader within the limit settles its own side.
-    around = (
-        members.join(measured, (F.col("leader") == F.col("a")) & (F.col("node") == F.col("b")), "left")
-        .select("value", "leader", "node", F.coalesce("distance", F.lit(0.0)).alias("d"))
-        .join(roots, "node", "left")
-        .select("value", "leader", "node", "d", F.coalesce("root", "node").alias("root"))
-    )
-    outside = around.where((F.col("d") > limit)).select(
-        "value", F.col("node").alias("x"), F.col("d").alias("dx"), F.col("root").alias("rx")
+    # A value is open if two of its members that are no leaders lie in different components.
+    lead = roots.select(F.col("node").alias("leader"), F.col("root").alias("lead_root"))
+    around = stored(
+        members.where("leader <> node").join(roots, "node", "left").join(lead, "leader", "left").select(
+            "value", "node", F.coalesce("root", "node").alias("root"),
+            F.coalesce("lead_root", "leader").alias("lead_root"),
+        ), "around",
     )
-    open_pairs = (
-        around.where("leader <> node").join(outside, "value")
-        .where(
-            (F.col("root") != F.col("rx")) & (F.abs(F.col("d") - F.col("dx")) <= limit)
-            & ((F.col("d") <= limit) | (F.col("node") < F.col("x")))
+    outside = F.col("root") != F.col("lead_root")
+    blocks_of = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    open_values = (
+        around.groupBy("value").agg(
+            F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"),
+            F.count(F.when(outside, True)).alias("n_out"), F.bit_xor(F.xxhash64("node", "lead_root")).alias("set"),
         )
-        .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
+        .where("least <> most AND n_out > 0")
+        # Values with the same members need one comparison.
+        .groupBy("set", "n").agg(F.min("value").alias("value"), F.max("n_out").alias("n_out"))
+        .select("value", blocks_of(F.col("n_out")).alias("k_out"), blocks_of(F.col("n")).alias("k"))
+    )
+    opened = around.join(open_values, "value")
+    each = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    own = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
+    sides = (
+        opened.where(outside).select("value", "node", "root", F.lit(0).alias("side"), own("k_out").alias("i"), each("k").alias("j"))
+        .union(opened.select("value", "node", "root", F.lit(1).alias("side"), each("k_out").alias("i"), own("k").alias("j")))
+    )
+    profiles = _profiles(texts.join(opened.select("node").distinct(), "node", "left_semi"))
+    more = stored(
+        sides.join(profiles, "node").groupBy("value", "i", "j")
+        .applyInArrow(_compare_blocks(weights, threshold), "a long, b long"), "more",
     )
-    more = stored(_verify(open_pairs, texts, weights), "more").where(F.col("distance") <= limit)
     joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    roots = components(joined.union(more.select("a", "b")))
+    roots = components(joined.union(more))
 
     classed = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classed.groupBy("root").agg(F.min("least_id").alias("class_id"))
