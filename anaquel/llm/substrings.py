@@ -163,6 +163,9 @@ _EDGE_COLUMNS = (
 )
 _EDGES = pa.schema([("bucket", pa.int32()), *[(name, pa.binary()) for name in _EDGE_COLUMNS]])
 _EDGES_DDL = "bucket int, " + ", ".join(f"{name} binary" for name in _EDGE_COLUMNS)
+_SOURCED_DDL = (
+    "bucket int, docs binary, rows binary, places binary, source_docs binary, sources binary"
+)
 _REPEATS_DDL = "doc_id long, _row long, places binary, source_docs binary, sources binary"
 
 
@@ -236,21 +239,39 @@ def _send_edges(buckets: int):
     return send
 
 
-def _join_sources(table: pa.Table) -> pa.Table:
-    """From one bucket: every occurrence that has an earlier one, by document, with its source."""
-    kinds = {"keys": np.uint64, "checks": np.uint32, "docs": np.int64, "rows": np.int64, "places": np.uint32}
-    _, _, doc, row, place, source = _sourced(*[_values(table[n], k) for n, k in kinds.items()])
-    # Rows that repeat a document with its text are that document, not copies of it.
-    again = (doc != doc[source]) | (row != row[source]) | (place != place[source])
-    docs = np.append(doc[again], _values(table["sure_docs"], np.int64))
-    rows = np.append(row[again], _values(table["sure_rows"], np.int64))
-    places = np.append(place[again], _values(table["sure_places"], np.uint32))
-    source_docs = np.append(doc[source][again], _values(table["sure_source_docs"], np.int64))
-    sources = np.append(place[source][again], _values(table["sure_sources"], np.uint32))
-    order = np.lexsort((places, rows, docs))
-    docs, rows, places, source_docs, sources = (
-        v[order] for v in (docs, rows, places, source_docs, sources)
-    )
+def _join_sources(buckets: int):
+    """From one bucket of edges: every occurrence that has an earlier one, with its source, by bucket
+    of its document."""
+
+    def join(table: pa.Table) -> pa.Table:
+        kinds = {"keys": np.uint64, "checks": np.uint32, "docs": np.int64, "rows": np.int64, "places": np.uint32}
+        _, _, doc, row, place, source = _sourced(*[_values(table[n], k) for n, k in kinds.items()])
+        # Rows that repeat a document with its text are that document, not copies of it.
+        again = (doc != doc[source]) | (row != row[source]) | (place != place[source])
+        columns = {
+            "docs": np.append(doc[again], _values(table["sure_docs"], np.int64)),
+            "rows": np.append(row[again], _values(table["sure_rows"], np.int64)),
+            "places": np.append(place[again], _values(table["sure_places"], np.uint32)),
+            "source_docs": np.append(doc[source][again], _values(table["sure_source_docs"], np.int64)),
+            "sources": np.append(place[source][again], _values(table["sure_sources"], np.uint32)),
+        }
+        dealt = list(_deal(columns["docs"] % buckets, columns))
+        return pa.table({
+            "bucket": pa.array([b for b, _ in dealt], pa.int32()),
+            **{n: pa.array([part[n].tobytes() for _, part in dealt], pa.binary()) for n in columns},
+        })
+
+    return join
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """From one bucket of documents: a row per document with its repeated windows and their sources."""
+    kinds = {
+        "docs": np.int64, "rows": np.int64, "places": np.uint32, "source_docs": np.int64, "sources": np.uint32,
+    }
+    docs, rows, places, source_docs, sources = (_values(table[n], k) for n, k in kinds.items())
+    order = np.lexsort((rows, docs))
+    docs, rows, places, source_docs, sources = (v[order] for v in (docs, rows, places, source_docs, sources))
     new = np.append(True, (docs[1:] != docs[:-1]) | (rows[1:] != rows[:-1]))[: len(docs)]
     cuts = np.append(np.flatnonzero(new), len(docs))
     parts = list(zip(cuts[:-1], cuts[1:]))
@@ -342,7 +363,8 @@ def drop_repeated_passages(docs: DataFrame) -> DataFrame:
     repeats = (
         base.join(places, "doc_id", "left")
         .mapInArrow(_send_edges(buckets), _EDGES_DDL)
-        .groupBy("bucket").applyInArrow(_join_sources, _REPEATS_DDL)
+        .groupBy("bucket").applyInArrow(_join_sources(buckets), _SOURCED_DDL)
+        .groupBy("bucket").applyInArrow(_by_document, _REPEATS_DDL)
         .groupBy("doc_id").agg(
             F.collect_list(F.struct("_row", "places", "source_docs", "sources")).alias("repeats")
         )
