@@ -29,6 +29,7 @@ ARCHIVE_BYTES = 16 << 20  # payload of an archive; a larger single record makes
 DICTIONARY_BYTES = 16 << 10
 SAMPLE_BYTES = 1 << 20  # leading payload of an archive that its dictionary is trained on
 LEVEL = 3
+READ_BYTES = 1 << 14  # compressed bytes fed to a frame at once; what is behind its end is read again
 
 # Fixed values of the formats.
 _DICTIONARY_FRAME = 0x184D2A5D
@@ -145,15 +146,17 @@ def read_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             dictionary, at = zstandard.ZstdCompressionDict(raw), 8 + size
     decompressor = zstandard.ZstdDecompressor(dict_data=dictionary)
     while at < len(view):
-        frame = decompressor.decompressobj()
+        frame, parts, begin = decompressor.decompressobj(), [], at
         try:
-            record = frame.decompress(view[at:])
+            while not frame.eof and at < len(view):
+                parts.append(frame.decompress(view[at:at + READ_BYTES]))
+                at += READ_BYTES
         except zstandard.ZstdError as error:
-            raise WarcError(f"frame at byte {at}: {error}") from error
+            raise WarcError(f"frame at byte {begin}: {error}") from error
         if not frame.eof:
-            raise WarcError(f"cut off in the frame at byte {at}")
-        at = len(view) - len(frame.unused_data)
-        yield read_record(record)
+            raise WarcError(f"cut off in the frame at byte {begin}")
+        at = min(at, len(view)) - len(frame.unused_data)
+        yield read_record(b"".join(parts))
 
 
 def _writer(folder: str):
