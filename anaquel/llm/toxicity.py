@@ -115,7 +115,7 @@ class Chain:
         out = np.zeros((n, len(self.categories)))
         for c in range(len(self.categories)):
             score = np.bincount(owner, weights=self.weights[c, ids], minlength=n)
-            score += self.intercept[c] + out[:, :c] @ self.before[c, :c]
+            score = score + self.intercept[c] + out[:, :c] @ self.before[c, :c]
             out[:, c] = 1.0 / (1.0 + np.exp(-np.clip(score, -500, 500)))
         return out
 

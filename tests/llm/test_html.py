@@ -1,0 +1,63 @@
+"""Main-text extraction on pages with known articles, and its corner cases."""
+
+from __future__ import annotations
+
+import pytest
+
+from anaquel.llm import htmltext as H
+from tests.llm.conftest import prose
+
+PAGES = "page_id long, url string, html string"
+LONG, MORE = prose(1, 30), prose(2, 30)
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><h1>Title</h1><p>One &amp; two&nbsp;x</p></article>", "Title One & two x"),
+    ("<article><p><b>Open<p>Next<br>line</article><footer>no</footer>", "Open Next line"),
+    ("<nav>menu</nav><main>Text</main><aside>side</aside>", "Text"),
+    ("<article>a<script>if (a < b) x('</p>')</script><style>p{}</style>b</article>", "ab"),
+    ("<article><p>a</p><!-- <p>no</p> --><p>b</p></article>", "a b"),
+    ("<article><p>in</p><section class='comments'><article class='comment'><p>c</p></article></section></article>",
+     "in"),
+    ("<header>top</header><article><header><h1>T</h1></header><p>x</p></article>", "T x"),
+    ("<article><p>x</p><div class='cookie-notice'>c</div><form>f</form><p>y</p></article>", "x y"),
+    ("<div class='ad'>buy</div><article><p>x</article>", "x"),
+    ("<article>a <i>b</i>c\n\t d</article>", "a bc d"),
+    (f"<ul><li><a href=a>One</a><li><a href=b>Two</a></ul><div><h2>Head</h2><p>{LONG}</p><p>short</p>"
+     f"<p>{MORE}</p></div><p>(c) 2020</p>", f"Head {LONG} short {MORE}"),
+    ("plain text only", "plain text only"),
+    ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"),
+    ("<article>cut off <b", "cut off"),
+    ("<article><p title='a>b'>x</p></article>", "x"),
+    ("<div hidden>h</div><article>x<span style='display: none'>y</span>z</article>", "x z"),
+    ("", ""), ("<html></html>", ""), ("<script>x", ""), ("<!-- open", ""),
+])
+def test_pages(page, text):
+    assert H.main_text(page) == text
+
+
+def test_all_of_a_marked_article_stays():
+    """However short or far apart its blocks are, and whatever stands between."""
+    blocks = [f"b{i}" for i in range(40)]
+    page = "<article>" + "<aside>a</aside>".join(f"<div>{b}</div>" + "<p></p>" * 9 for b in blocks) + "</article>"
+    assert H.main_text(page) == " ".join(blocks)
+
+
+def test_surge_and_dive():
+    assert H.passages([0, 5, 90, 0, 3, 0, 0, 0, 2, 70, 20], 80) == [(1, 5), (9, 11)]
+    assert H.passages([], 80) == []
+
+
+def test_very_long_page_in_linear_time():
+    page = "<article>" + f"<p class='x>{prose(1, 5)}</p>" * 200 + "<p>'</p>" + f"<p>{prose(2, 9)}</p>" * 60_000
+    assert len(H.main_text(page)) > 1_000_000
+    assert H.main_text("<" * 200_000) == "<" * 200_000
+
+
+def test_rows(spark, with_clashes):
+    rows = [(1, "u", "<article>x</article>"), (1, "u", "<article>x</article>"), (None, None, None), (2, None, "")]
+    got = H.extract(with_clashes(spark.createDataFrame(rows, PAGES))).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        [(1, "u", "x"), (1, "u", "x"), (None, None, ""), (2, None, "")], key=repr
+    )
+    assert H.extract(spark.createDataFrame([], PAGES)).collect() == []

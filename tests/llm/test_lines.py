@@ -1,0 +1,73 @@
+"""Line dedup against a plain Python version, and its corner cases."""
+
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+from anaquel.llm import linededup
+from tests.llm.conftest import CLASHING, prose
+
+LINE = "This line is long enough to be counted, %d."
+
+
+def brute(rows, min_chars=40, min_docs=5):
+    key = lambda line: re.sub("[A-Z]", lambda m: m[0].lower(), line.strip("\x20\t\n\x0b\x0c\r"))
+    holders = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= min_chars and doc_id is not None:
+                holders[key(line)].add(doc_id)
+    out = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = [
+            line for line in lines
+            if doc_id is None or len(holders[key(line)]) < min_docs or max(holders[key(line)]) == doc_id
+        ]
+        out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def ours(docs):
+    got = linededup.drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept").collect()
+    return sorted(map(tuple, got), key=repr)
+
+
+def test_matches_brute_force(docs_of):
+    rows = []
+    for i in range(60):
+        lines = [prose(i, 5), LINE % (i % 4), "  " + (LINE % (i % 7)).upper() + "\t", "short", LINE % (i % 4)]
+        rows.append((i, "\n".join(lines[i % 2:])))
+    assert ours(docs_of(rows)) == brute(rows)
+    assert sum(r[2] for r in brute(rows)) > 50
+
+
+def test_odd_rows(odd_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    assert ours(odd_docs) == brute(rows)
+
+
+def test_threshold_counts_documents_not_lines(docs_of):
+    rows = [(i, "\n".join([LINE % 0] * 3)) for i in range(4)]
+    assert ours(docs_of(rows)) == brute(rows)
+    assert all(r[2] == 0 for r in ours(docs_of(rows)))
+    rows += [(4, LINE % 0), (4, LINE % 0)]  # a repeated row is one document
+    got = {(r[0], r[2]) for r in ours(docs_of(rows))}
+    assert got == {(0, 3), (1, 3), (2, 3), (3, 3), (4, 0)}
+
+
+def test_stage_keeps_columns_and_counts_characters(docs_of, with_clashes):
+    rows = [(i, f"{prose(i, 4)}\n{LINE % 0}") for i in range(6)] + [(9, None)]
+    docs = with_clashes(docs_of(rows))
+    out = linededup.without_repeated_lines(docs)
+    assert out.schema == docs.schema
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[0].text == prose(0, 4) and got[0].n_chars == len(prose(0, 4))
+    assert got[5].text == rows[5][1] and got[9].text is None
+    assert all(r[c] == f"own {c}" for r in got.values() for c in CLASHING)
+
+
+def test_empty_table(docs_of):
+    assert ours(docs_of([])) == []
+    assert linededup.without_repeated_lines(docs_of([])).collect() == []
