@@ -29,7 +29,7 @@ BANDS = 12
 ROWS = 3  # samples per band: a pair at 0.8 shares no band with probability 0.488**12 < 0.0002
 SKETCH_BITS = 22
 CELLS = 1 << 12  # counters per row while the sketch is summed
-RARE = 1e-3  # share of all documents below which a shingle counts as equally rare
+RARE = 0.1  # share of all documents below which all shingles count as equally rare
 SUB = 1 << 15  # shingles sampled at once
 BLOCK = 512  # nodes on each side of a block of comparisons
 
@@ -90,8 +90,8 @@ def _rows(batches: Iterator[pa.RecordBatch], text: str):
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """The sketch of document counts by shingle cell, and the number of documents.
 
-    The sketch has 2**22 counters whatever the corpus; a rare shingle shares its counter with a
-    share of about (shingles per text) / 2**22 of the documents, a tenth of ``RARE``.
+    The sketch has 2**22 counters whatever the corpus; a shingle shares its counter with others that
+    occur in a share of about (shingles per text) / 2**22 of the documents, far below ``RARE``.
     """
 
     def count(batches):
@@ -137,7 +137,11 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def idf(frequencies: np.ndarray, n_docs: int) -> np.ndarray:
-    """log(1 + N / df) with df at least ``RARE`` of all documents and at least 2."""
+    """log(1 + N / df) with df at least ``RARE`` of all documents and at least 2.
+
+    So boilerplate counts less, but the shingles of a group of copies, however many of the corpus' texts
+    below that share belong to it, do not count less than the edits that tell the copies apart.
+    """
     least = max(2.0, RARE * n_docs)
     return np.log1p(max(n_docs, 1) / np.maximum(frequencies, least)).astype(np.float32)
 
