@@ -27,6 +27,7 @@ from anaquel.llm.common import ship, stored
 MAX_TRAINING = 20_000
 FOLDS = 3
 THRESHOLD = 0.5
+MAX_ITERATIONS = 20
 BITS = 18
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning
 MIN_CHI2 = 30.0  # by chance one in 20 million features gets there
@@ -196,7 +197,7 @@ def train(
                 -500.0 if not positive else float(np.log(positive / (total - positive)))
             )
         return LogisticRegression(
-            featuresCol="input", labelCol=categories[c], maxIter=50, regParam=1e-3, tol=1e-5,
+            featuresCol="input", labelCol=categories[c], maxIter=MAX_ITERATIONS, regParam=1e-3, tol=1e-4,
             probabilityCol="probability",
         ).fit(data), 0.0
 
