@@ -13,7 +13,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from anaquel.plans import pipeline
-from anaquel.session import configure
+from anaquel.session import clear_scratch, configure
 from anaquel.sources import writers
 from anaquel.streaming import ingest
 
@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--out", required=True)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--seconds", type=int, default=60)
+    stream.add_argument("--dedupe", metavar="DELAY", help="drop deliveries repeated within e.g. '10 minutes'")
     args = parser.parse_args(argv)
 
     spark = configure(SparkSession.builder.appName("anaquel").getOrCreate())
@@ -45,11 +46,12 @@ def main(argv: list[str] | None = None) -> None:
         inputs = pipeline.read_bronze(spark, args.bronze, args.stream_format)
         for name, report in pipeline.impact_report(inputs).items():
             writers.save(report, f"{args.out}/{name}")
+        clear_scratch(spark)
     else:
-        messages = ingest.kafka_messages(spark, args.servers, args.topic)
-        ingest.land(
-            ingest.parse_sales(messages), args.out, args.checkpoint, args.seconds
-        ).awaitTermination()
+        sales = ingest.parse_sales(ingest.kafka_messages(spark, args.servers, args.topic))
+        if args.dedupe:
+            sales = ingest.dedupe_deliveries(sales, args.dedupe)
+        ingest.land(sales, args.out, args.checkpoint, args.seconds).awaitTermination()
 
 
 if __name__ == "__main__":

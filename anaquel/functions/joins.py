@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # Every executor holds a broadcast side in memory next to its tasks; a few of this size are safe.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 _sizes: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
@@ -45,18 +44,16 @@ def lookup(
     """Add ``columns`` of ``dim`` to ``fact`` by equality on ``on``; ``how`` is inner or left.
 
     A dimension within ``max_bytes`` is broadcast and the fact does not move. A larger one is
-    joined by shuffle with the fact's keys salted, so that one key holding a large share of all
-    rows is spread over ``SALTS`` tasks. The salt is a hash of the row, never a random number, so a
-    task that is run again sends every row to the same place.
+    joined by shuffle. There adaptive execution splits a partition that one key fills, by the map tasks
+    its rows come from, so copies of one and the same row are spread as well (a salt made from the row
+    would send them all one way), and no other key pays for it.
     """
     side = dim.select(*on, *columns)
     if fits(dim, max_bytes):
         return fact.join(F.broadcast(side), on, how)
-    salted = fact.withColumn("_sal", F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)).cast("int"))
-    copies = side.withColumn("_sal", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*on, "_sal"], how).drop("_sal")
+    return fact.join(side.hint("merge"), on, how)
 
 
 def with_calendar(df: DataFrame, calendar: DataFrame, columns: list[str]) -> DataFrame:
-    """Join by day to a calendar, whose length the calendar builder itself bounds."""
-    return df.join(F.broadcast(calendar.select("fecha", *columns)), "fecha")
+    """Join by day to a calendar; one too long to be broadcast is joined by shuffle."""
+    return lookup(df, calendar, ["fecha"], columns)

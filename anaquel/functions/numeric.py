@@ -10,10 +10,11 @@ def rnd(value: Column | str, digits: int) -> Column:
     """Round half up after settling the value on eight decimals.
 
     The sum of doubles depends on task order in its last bits; settling first keeps a value that
-    sits on a rounding tie from flipping between two runs.
+    sits on a rounding tie from flipping between two runs. What is no number, or too large to settle,
+    becomes NULL; sales with such numbers are rejected, and counted, before any sum.
     """
     col = F.col(value) if isinstance(value, str) else value
-    return F.round(col.cast("decimal(28,8)"), digits).cast("double")
+    return F.round(col.try_cast("decimal(28,8)"), digits).cast("double")
 
 
 def flag(condition: Column) -> Column:

@@ -27,9 +27,7 @@ from anaquel.session import series_partitions
 from anaquel.settings import SERIE, SERIE_DIA, VARIABLES, Params
 from anaquel.sources.literals import local_frame
 
-# Remembering each row's node per tree saves a third of the fit at the price of four bytes per row
-# and tree; the trees are the same. Beyond this many rows the cluster's storage matters more.
-CACHE_NODES_MAX_ROWS = 100_000_000
+_DRAWS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -50,11 +48,11 @@ def train(features: DataFrame, params: Params = Params()) -> Trained | None:
         return None
 
     train_rows, test_rows = split(features, F.lit(facts.corte), params)
-    model = _fit(
-        weighted(train_rows, facts.peso_positivos),
-        params,
-        cache_nodes=facts.entrenamiento <= CACHE_NODES_MAX_ROWS,
-    )
+    if params.filas_entrenamiento:
+        share = min(1.0, params.filas_entrenamiento / facts.entrenamiento)
+        draw = F.pmod(F.xxhash64(*SERIE_DIA), F.lit(_DRAWS))
+        train_rows = train_rows.where(draw < round(share * _DRAWS))
+    model = _fit(weighted(train_rows, facts.peso_positivos), params)
 
     return Trained(
         model,
@@ -63,7 +61,7 @@ def train(features: DataFrame, params: Params = Params()) -> Trained | None:
     )
 
 
-def _fit(rows: DataFrame, params: Params, cache_nodes: bool) -> PipelineModel:
+def _fit(rows: DataFrame, params: Params) -> PipelineModel:
     """Index the category, assemble the vector and grow the weighted forest.
 
     The forest draws its samples by partition and position. Its input is therefore placed and
@@ -92,7 +90,9 @@ def _fit(rows: DataFrame, params: Params, cache_nodes: bool) -> PipelineModel:
             numTrees=params.arboles,
             maxDepth=params.profundidad,
             seed=params.semilla,
-            cacheNodeIds=cache_nodes,
+            cacheNodeIds=params.guardar_nodos,
+            # A split can tell all categories and the one for unknown values apart.
+            maxBins=max(32, len(index.labels) + 1),
         ).fit(training)
     finally:
         training.unpersist()

@@ -124,9 +124,14 @@ def panel_alerts(risk: DataFrame, nivel: str = "Todos", horizonte: int = 7) -> D
     )
 
 
-def alerts_by_store_level(found: DataFrame) -> DataFrame:
-    """Alerts per store and level."""
-    return found.groupBy("tienda", "nivel").agg(F.count("*").alias("alertas"))
+def alerts_by_store_level(
+    risk: DataFrame, nivel: str = "Todos", horizonte: int = 7
+) -> DataFrame:
+    """Open alerts per store and level, all of them: the panel's list has a limit, its totals none."""
+    wanted = (F.col("horizonte") == horizonte) & (F.col("nivel") != OK)
+    if nivel != "Todos":
+        wanted &= F.col("nivel") == nivel
+    return risk.where(wanted).groupBy("tienda", "nivel").agg(F.count("*").alias("alertas"))
 
 
 def ranked_rejects(rejects: DataFrame) -> DataFrame:
@@ -139,6 +144,35 @@ def ranked_importance(importance: DataFrame) -> DataFrame:
     return importance.orderBy(F.desc("importancia"), "variable")
 
 
+def model_report(
+    rule: DataFrame, backtest: DataFrame, balance: DataFrame,
+    metrics: DataFrame | None = None, importance: DataFrame | None = None,
+) -> DataFrame:
+    """All that is known about a cycle's models, as rows (parte, nombre, valor).
+
+    Parts: the rule's counts and ratios, the forecast's back-test, the weight of the positive class, and,
+    where a forest was trained, its metrics and the importance of its variables.
+    """
+
+    def part(name: str, row: DataFrame) -> DataFrame:
+        pairs = F.array(*[
+            F.struct(F.lit(c).alias("nombre"), F.col(c).cast("double").alias("valor")) for c in row.columns
+        ])
+        return row.select(F.lit(name).alias("parte"), F.inline(pairs))
+
+    report = (
+        part("regla", rule).union(part("pronostico", backtest))
+        .union(part("clases", balance.select("peso_positivos")))
+    )
+    if metrics is not None:
+        report = report.union(part("modelo", metrics))
+    if importance is not None:
+        report = report.union(
+            importance.select(F.lit("importancia"), "variable", F.col("importancia").cast("double"))
+        )
+    return report.orderBy("parte", "nombre")
+
+
 def latest_loads(manifest: DataFrame, limite: int = 30) -> DataFrame:
     """The last ``limite`` loads, newest first."""
     if not 1 <= limite <= 500:

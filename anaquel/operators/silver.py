@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from anaquel import schemas
 from anaquel.functions.joins import lookup
 from anaquel.functions.numeric import count_if, rnd
+from anaquel.session import series_partitions
 from anaquel.settings import (
     HISTORICO,
+    IMPORTE_MAXIMO,
+    IMPORTE_NO_VALIDO,
     PRECIO_NO_VALIDO,
+    SERIE,
     SERIE_DIA,
     SIN_IDENTIFICADOR,
     SKU_NO_CATALOGADO,
@@ -51,13 +55,18 @@ def review_sales(raw: DataFrame, catalog: DataFrame) -> DataFrame:
     def not_positive(column: str) -> Column:
         return F.col(column).isNull() | (F.col(column) <= 0)
 
+    def no_amount(column: str) -> Column:
+        """Too large to be an amount; NaN compares as larger than any number."""
+        return F.abs(F.col(column)) >= IMPORTE_MAXIMO
+
     known = catalog.select("sku").distinct()
     checked = lookup(raw, known, ["sku"], [F.lit(True).alias("_catalogado")], how="left")
     reason = (
         F.when(F.col("venta_id").isNull(), SIN_IDENTIFICADOR)
         .when(F.col("_catalogado").isNull(), SKU_NO_CATALOGADO)
         .when(not_positive("unidades"), UNIDADES_NO_VALIDAS)
-        .when(not_positive("precio"), PRECIO_NO_VALIDO)
+        .when(not_positive("precio") | no_amount("precio"), PRECIO_NO_VALIDO)
+        .when(no_amount("importe"), IMPORTE_NO_VALIDO)
     )
     return checked.select(*raw.columns, reason.alias("motivo_rechazo"))
 
@@ -147,7 +156,11 @@ def freshness_from_days(days: DataFrame, as_of: Column) -> DataFrame:
 
 
 def merge_inventory(history: DataFrame, live: DataFrame) -> DataFrame:
-    """One inventory row per day, store and product; the live feed beats the history."""
+    """One inventory row per day, store and product; the live feed beats the history.
+
+    The union is placed by series, which also serves the rank by series and day and the dense fact above
+    it: the largest input of a cycle is shuffled once.
+    """
     columns = [*SERIE_DIA, "stock", "en_camino", "quiebre"]
     both = history.select(*columns, F.lit(1).alias("_prioridad")).unionByName(
         live.select(*columns, F.lit(2).alias("_prioridad"))
@@ -157,7 +170,8 @@ def merge_inventory(history: DataFrame, live: DataFrame) -> DataFrame:
         *(F.col(c).asc_nulls_first() for c in ("stock", "en_camino", "quiebre")),
     )
     return (
-        both.withColumn("_puesto", F.row_number().over(live_first))
+        both.repartition(series_partitions(history.sparkSession), *SERIE)
+        .withColumn("_puesto", F.row_number().over(live_first))
         .where("_puesto = 1")
         .select("fecha", "tienda_id", "sku", "stock", "en_camino", "quiebre")
     )

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anaquel.functions.joins import BROADCAST_MAX_BYTES, fits
+from anaquel.functions.joins import fits, lookup
 from anaquel.functions.numeric import rnd
 from anaquel.session import series_partitions
 from anaquel.settings import SERIE, SERIE_DIA
 
-# The calendar is broadcast and held as one array of days, so its length is bounded here.
-# 100,000 days are 273 years: a longer span means that a sale carries a broken date.
-MAX_DIAS = 100_000
+# Keys of the shorter list that are put together in one array.
+CLAVES_POR_BLOQUE = 4096
 
 
 def dim_product(catalog: DataFrame) -> DataFrame:
@@ -36,15 +35,8 @@ def dim_date(sales: DataFrame, month_factor: DataFrame, weekday_factor: DataFram
     ``sales`` is any frame with the valid sales' ``fecha``; the daily totals do as well.
     """
     span = sales.agg(F.min("fecha").alias("primera"), F.max("fecha").alias("ultima"))
-    too_long = F.raise_error(
-        F.concat(F.lit("calendar too long: "), F.col("primera"), F.lit(" to "), F.col("ultima"))
-    ).cast("array<date>")
-    days = F.when(
-        F.date_diff("ultima", "primera") >= MAX_DIAS, too_long
-    ).otherwise(F.sequence("primera", "ultima"))
-    return add_factors(
-        span.select(F.explode(days).alias("fecha")), month_factor, weekday_factor
-    ).select(
+    days = span.select(F.explode(F.sequence("primera", "ultima")).alias("fecha"))
+    return add_factors(days, month_factor, weekday_factor).select(
         "fecha",
         F.month("fecha").alias("mes"),
         F.date_format("fecha", "EEEE").alias("nombre_dia"),
@@ -72,25 +64,34 @@ def sales_daily(sales: DataFrame) -> DataFrame:
 def series_grid(calendar: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
     """Every day of every store and product, placed by (tienda_id, sku).
 
-    Days and the shorter of the two lists are exploded on the rows of the longer one: nothing is
-    joined, and only one row per series is shuffled, before its days are unfolded in place.
+    The calendar has no gaps, so its first and last day stand for it: only one row per series is
+    shuffled, and its days are unfolded in place.
     """
-    all_days = calendar.agg(F.collect_list("fecha")).scalar()
+    first = calendar.agg(F.min("fecha")).scalar()
+    last = calendar.agg(F.max("fecha")).scalar()
     placed = by_series(_all_series(stores, products))
-    return placed.select(*SERIE, F.explode(all_days).alias("fecha"))
+    return placed.select(*SERIE, F.explode(F.sequence(first, last)).alias("fecha"))
 
 
 def _all_series(stores: DataFrame, products: DataFrame) -> DataFrame:
-    """Every store with every product; one of the two lists must be of a broadcastable size."""
-    for short, key, long in ((stores, "tienda_id", products), (products, "sku", stores)):
-        if fits(short):
-            keys = short.agg(F.collect_list(key)).scalar()
-            other = "sku" if key == "tienda_id" else "tienda_id"
-            return long.select(other, F.explode(keys).alias(key)).select(*SERIE)
-    raise ValueError(
-        f"stores and products both exceed {BROADCAST_MAX_BYTES} bytes; "
-        "build the fact for one group of stores at a time"
+    """Every store with every product.
+
+    The shorter list is cut into blocks of ``CLAVES_POR_BLOQUE`` keys on average, one array each. Every
+    row of the longer list names all blocks, meets them by an equality join, and unfolds their keys.
+    """
+    counts = [df.agg(F.count("*")).first()[0] for df in (stores, products)]
+    short, key, long, other = (stores, "tienda_id", products, "sku")
+    if counts[1] < counts[0]:
+        short, key, long, other = (products, "sku", stores, "tienda_id")
+    n = max(1, -(-min(counts) // CLAVES_POR_BLOQUE))
+    blocks = short.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).alias("_bloque")).agg(
+        F.collect_list(key).alias("_claves")
+    )
+    named = long.select(
+        other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("_bloque")
     )
+    blocks = F.broadcast(blocks) if fits(short) else blocks
+    return named.join(blocks, "_bloque").select(other, F.explode("_claves").alias(key)).select(*SERIE)
 
 
 def dense_fact(
@@ -103,12 +104,13 @@ def dense_fact(
     """One row per day, store and product; days without sales or inventory count as 0 / false.
 
     All three inputs hold at most one row per series and day by now, so placing them by series
-    cannot pile up on a hot key. Later windows and aggregates by series reuse this placement.
+    cannot pile up on a hot key. ``silver.merge_inventory`` leaves the inventory placed already; later
+    windows and aggregates by series reuse this placement.
     """
     grid = series_grid(calendar, stores, products)
     return (
         grid.join(by_series(daily), SERIE_DIA, "left")
-        .join(by_series(inventory), SERIE_DIA, "left")
+        .join(inventory, SERIE_DIA, "left")
         .select(
             "fecha", "tienda_id", "sku",
             _or_zero("unidades", "bigint"),
@@ -140,6 +142,28 @@ def grid_check(
     )
 
 
+def fact_reconciliation(
+    sales: DataFrame, fact: DataFrame, stores: DataFrame
+) -> DataFrame:
+    """Clean sales and their units by whether the fact can hold them, next to the units it holds.
+
+    ``causa`` is 'en hecho', 'sin fecha' for sales without a readable moment, or 'tienda desconocida'.
+    """
+    known = stores.select("tienda_id").distinct()
+    placed = lookup(sales, known, ["tienda_id"], [F.lit(True).alias("_tienda")], how="left")
+    cause = (
+        F.when(F.col("fecha").isNull(), "sin fecha")
+        .when(F.col("_tienda").isNull(), "tienda desconocida")
+        .otherwise("en hecho")
+    )
+    in_fact = F.when(F.col("causa") == "en hecho", fact.agg(F.sum("unidades")).scalar())
+    return (
+        placed.groupBy(cause.alias("causa"))
+        .agg(F.count("*").alias("ventas"), F.sum("unidades").alias("unidades"))
+        .withColumn("unidades_hecho", in_fact)
+    )
+
+
 def last_date(calendar: DataFrame) -> Column:
     """The last day of the calendar as a scalar; cheaper than reading it off the dense fact."""
     return calendar.agg(F.max("fecha")).scalar()

@@ -23,9 +23,11 @@ from anaquel.operators import (
     silver,
     star,
 )
-from anaquel.session import configure, series_partitions, stage
+from anaquel import schemas
+from anaquel.session import configure, series_partitions, size_series, stage
 from anaquel.settings import Params
 from anaquel.sources import readers, writers
+from anaquel.sources.literals import local_frame
 
 
 @dataclass(frozen=True)
@@ -77,9 +79,12 @@ def run_cycle(
         )
         return tables[name]
 
-    # Silver
-    reviewed = silver.review_sales(
-        silver.unify_sales(inputs.history, inputs.landed), inputs.catalog
+    # Silver. The raw texts are parsed once: all else reads columns of the reviewed rows.
+    products = keep("dim_producto", star.dim_product(inputs.catalog))
+    reviewed = keep(
+        "revisadas",
+        silver.review_sales(silver.unify_sales(inputs.history, inputs.landed), products),
+        "plata",
     )
     sales = keep("ventas", silver.clean_sales(reviewed), "plata")
     counts = keep("revision", silver.review_counts(reviewed), "plata")
@@ -88,17 +93,18 @@ def run_cycle(
     keep("frescura", silver.freshness_from_days(counts, now))
 
     # Star schema
-    products = keep("dim_producto", star.dim_product(inputs.catalog))
     stores = keep("dim_tienda", star.dim_store(inputs.stores))
     calendar = keep(
         "dim_tiempo", star.dim_date(sales, inputs.month_factor, inputs.weekday_factor)
     )
+    size_series(spark, calendar.count(), stores.count(), products.count())
     inventory = silver.merge_inventory(inputs.inventory_history, inputs.inventory_live)
     fact = keep_by_series(
         "hecho_ventas",
         star.dense_fact(calendar, stores, products, star.sales_daily(sales), inventory),
     )
     keep("control_malla", star.grid_check(fact, calendar, stores, products))
+    keep("conciliacion", star.fact_reconciliation(sales, fact, stores))
 
     # Forecast
     daily = keep_by_series(
@@ -117,7 +123,10 @@ def run_cycle(
         "variables", features.feature_rows(fact, products, stores, params), "plata"
     )
     trained = model.train(rows, params)
-    if trained is None:
+    if trained is None:  # nothing of an earlier cycle's model may pass for this cycle's
+        keep("metricas_modelo", local_frame(spark, [], schemas.METRICAS))
+        keep("importancia", local_frame(spark, [], schemas.IMPORTANCIA))
+        writers.remove(spark, f"{out}/modelo")
         probability = keep("probabilidad", model.no_probability(spark))
     else:
         keep("metricas_modelo", trained.metrics)
@@ -147,17 +156,54 @@ def refresh_seasonality(spark: SparkSession, root: str, as_of: Column | None = N
     season.seasonal_index(series).agg(
         F.to_json(F.map_from_entries(entries)).alias("value")
     ).write.mode("overwrite").text(path)
+    log_load(series, root, "ine.json", "indice estacional", as_of)
+    return readers.read_month_factors(spark, path)
+
+
+def log_load(
+    rows: DataFrame, root: str, fichero: str, origen: str, as_of: Column | None = None
+) -> None:
+    """Append an accepted load and its number of rows to the manifest of a bronze folder."""
     now = F.current_timestamp() if as_of is None else as_of
     writers.append_manifest(
-        series.agg(F.count("*").alias("registros")).select(
+        rows.agg(F.count("*").alias("registros")).select(
             F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("fecha"),
-            F.lit("indice estacional").alias("origen"),
-            F.lit("ine.json").alias("fichero"),
+            F.lit(origen).alias("origen"),
+            F.lit(fichero).alias("fichero"),
             "registros",
         ),
         f"{root}/_manifiesto",
     )
-    return readers.read_month_factors(spark, path)
+
+
+def load_snapshot(
+    rows: DataFrame, root: str, fichero: str, origen: str, as_of: Column | None = None
+) -> DataFrame:
+    """Accept a load: its rows as a JSON snapshot in the bronze folder, with a manifest row.
+
+    Returns the snapshot, read back.
+    """
+    path = f"{root}/{fichero}"
+    writers.save_json(rows, path)
+    snapshot = rows.sparkSession.read.schema(rows.schema).json(path)
+    log_load(snapshot, root, fichero, origen, as_of)
+    return snapshot
+
+
+def accept_inputs(
+    inputs: Inputs, index_series: DataFrame, root: str, as_of: Column | None = None
+) -> dict[str, DataFrame]:
+    """Snapshots and manifest rows of catalogue, index series, month factors and stores."""
+    loads = {
+        "catalogo": (inputs.catalog, "catalogo de productos"),
+        "indice": (index_series, "indice estacional"),
+        "factores": (inputs.month_factor, "factores de mes"),
+        "tiendas": (inputs.stores, "tiendas"),
+    }
+    return {
+        name: load_snapshot(rows, root, f"instantanea/{name}", origen, as_of)
+        for name, (rows, origen) in loads.items()
+    }
 
 
 def impact_report(inputs: Inputs) -> dict[str, DataFrame]:

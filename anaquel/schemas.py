@@ -53,5 +53,9 @@ INVENTARIO = _struct(
     valor_no_atendido=_NUMBER,
 )
 PROBABILIDAD = _struct(tienda_id=_TEXT, sku=_TEXT, probabilidad=_NUMBER)
+METRICAS = _struct(
+    auc=_NUMBER, precision=_NUMBER, recall=_NUMBER, precision_regla=_NUMBER, recall_regla=_NUMBER,
+    vp=_LONG, fp=_LONG, fn=_LONG, vn=_LONG, peso_positivos=_NUMBER,
+)
 IMPORTANCIA = _struct(variable=_TEXT, importancia=_NUMBER)
 CARGA = _struct(fecha=_TEXT, origen=_TEXT, fichero=_TEXT, registros=_LONG)

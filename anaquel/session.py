@@ -31,13 +31,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# A cell of the dense fact in memory, and what a partition or bucket of cells should hold.
+BYTES_POR_CELDA = 64
+SERIES_TARGET_BYTES = 256 * 1024 * 1024
+_SERIES = "anaquel.series.partitions"
+
+
+def size_series(spark: SparkSession, days: int, stores: int, products: int) -> int:
+    """Set the partitions of series-keyed frames from the number of cells they unfold to.
+
+    Called once the calendar and the dimensions are stored; all series tables that are written after it
+    share the number, and a bucketed table carries it in its own definition.
+    """
+    cells = days * stores * products
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-cells * BYTES_POR_CELDA // SERIES_TARGET_BYTES))
+    spark.conf.set(_SERIES, str(parts))
+    return parts
+
+
 def series_partitions(spark: SparkSession) -> int:
-    """Partitions for series-keyed frames.
+    """Partitions for series-keyed frames, as ``size_series`` set them.
 
     A fixed number on purpose: the frame is a few bytes per series when it is shuffled and grows
     by the number of days afterwards, so coalescing by shuffled size would starve the next stage.
     """
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(spark.conf.get(_SERIES, spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,8 +72,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/anaquel/{uuid.uuid4().hex}/{name}"
+    """A fresh path below the shared folder, in this application's own part of it."""
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/anaquel/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch tables; call it when no frame that reads them is used any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

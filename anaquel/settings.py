@@ -30,6 +30,11 @@ SIN_IDENTIFICADOR = "sin identificador"
 SKU_NO_CATALOGADO = "sku no catalogado"
 UNIDADES_NO_VALIDAS = "unidades no validas"
 PRECIO_NO_VALIDO = "precio no valido"
+IMPORTE_NO_VALIDO = "importe no valido"
+
+# A price or amount from here on, infinite or not a number is an error of the feed; sums of
+# a hundred million smaller ones can still be rounded.
+IMPORTE_MAXIMO = 1e12
 
 CRITICO, ALTO, MEDIO, OK = "CRITICO", "ALTO", "MEDIO", "OK"
 PUNTOS_NIVEL = {CRITICO: 1000, ALTO: 500, MEDIO: 100, OK: 0}
@@ -58,6 +63,10 @@ class Params:
     arboles: int = 50
     profundidad: int = 8
     semilla: int = 42
+    # Remember each row's node per tree: saves a third of the fit for four bytes per row and tree.
+    guardar_nodos: bool = True
+    # Train on about this many rows, drawn by a hash of series and day; None is all of them.
+    filas_entrenamiento: int | None = None
     # Stricter labelling, off by default
     full_horizon_only: bool = False
     embargo_days: int = 0

@@ -94,7 +94,8 @@ def _documents(spark: SparkSession, path: str, schema: StructType, array: str) -
 
 
 def _csv(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
-    return spark.read.schema(schema).options(**options).csv(path, header=True)
+    """CSV whose header must name the schema's columns in their order; another header is an error."""
+    return spark.read.schema(schema).options(**options).csv(path, header=True, enforceSchema=False)
 
 
 def _or_empty(spark: SparkSession, schema: StructType, read) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from hashlib import sha1
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel.settings import SERIE, SERIE_DIA
@@ -64,5 +64,11 @@ def append_manifest(loads: DataFrame, path: str) -> None:
     ).write.mode("append").json(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table or model that no longer holds, wherever Spark can write."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)

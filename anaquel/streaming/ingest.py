@@ -64,11 +64,20 @@ def parse_sales(messages: DataFrame) -> DataFrame:
 
 
 def dedupe_deliveries(sales: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Drop repeated deliveries that arrive within ``delay`` of each other.
+    """Drop repeated deliveries of a sale that arrive within ``delay`` of each other.
 
-    State is bounded by the watermark, so the batch layer's deduplication stays the authority.
+    Only accepted sales with an id can be copies of each other; any other message counts as itself,
+    by its place in the log. The watermark runs on the time of arrival, so no sale is late, however
+    old it is. State is bounded by it, and the batch layer's deduplication stays the authority.
     """
-    return sales.withWatermark("momento", delay).dropDuplicatesWithinWatermark(["venta_id"])
+    itself = F.concat_ws(":", F.lit("#"), "particion", "offset_kafka")
+    known = (F.col("estado") == ACEPTADA) & F.col("venta_id").isNotNull()
+    return (
+        sales.withColumn("_clave", F.when(known, F.concat(F.lit("="), "venta_id")).otherwise(itself))
+        .withWatermark("recibido", delay)
+        .dropDuplicatesWithinWatermark(["_clave"])
+        .drop("_clave")
+    )
 
 
 def land(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from anaquel import schemas
 from anaquel.functions.numeric import rnd
 from anaquel.operators import features, forecast, model, risk, season, silver, star
-from anaquel.session import configure, stage, stage_by_series
+from anaquel.session import configure, size_series, stage, stage_by_series
 from anaquel.settings import SERIE, SERIE_DIA
 from anaquel.sources import readers
 
@@ -204,7 +204,9 @@ class Domain:
     @cached_property
     def calendar(self) -> DataFrame:
         """Days with factors, stored."""
-        return stage(self.dates(self.sales), "dim_tiempo")
+        days = stage(self.dates(self.sales), "dim_tiempo")
+        size_series(self.spark, days.count(), self.stores.count(), self.catalog.count())
+        return days
 
     def dates(self, sales: DataFrame) -> DataFrame:
         return star.dim_date(sales, self.month_factor, self.weekday_factor)

@@ -79,7 +79,8 @@ CTES = {
                CASE WHEN venta_id IS NULL THEN 'sin identificador'
                     WHEN sku NOT IN (SELECT sku FROM catalogo) THEN 'sku no catalogado'
                     WHEN coalesce(unidades, 0) <= 0 THEN 'unidades no validas'
-                    WHEN coalesce(precio, 0) <= 0 THEN 'precio no valido' END AS motivo_rechazo
+                    WHEN coalesce(precio, 0) <= 0 OR abs(precio) >= 1e12 THEN 'precio no valido'
+                    WHEN abs(importe) >= 1e12 THEN 'importe no valido' END AS motivo_rechazo
         FROM crudas r""",
     "limpias": """
         SELECT venta_id, momento, CAST(momento AS DATE) AS fecha, tienda_id, sku, unidades, precio,
@@ -277,7 +278,7 @@ TABLES = (
 )
 _LOADS = " UNION ALL ".join(
     f"SELECT '{t}' AS origen, '{t}.parquet' AS fichero, count(*) AS registros, "
-    f"strftime(DATE '2001-11-01' + {n}, '%Y-%m-%dT00:00:00Z') AS fecha FROM {t}"
+    f"strftime(DATE '2001-11-01' + {n}, '%Y-%m-%dT00:00:00.000000Z') AS fecha FROM {t}"
     for n, t in enumerate(TABLES)
 )
 
@@ -315,6 +316,14 @@ QUERIES = {
     "dim_date": "SELECT * FROM tiempo",
     "sales_daily": "SELECT * FROM diarias",
     "fact_sales_dense": "SELECT * FROM hecho",
+    "fact_reconciliation": """
+        SELECT CASE WHEN fecha IS NULL THEN 'sin fecha'
+                    WHEN tienda_id NOT IN (SELECT tienda_id FROM locales) THEN 'tienda desconocida'
+                    ELSE 'en hecho' END AS causa,
+               count(*) AS ventas, CAST(sum(unidades) AS BIGINT) AS unidades,
+               CASE WHEN causa = 'en hecho' THEN (SELECT CAST(sum(unidades) AS BIGINT) FROM hecho) END
+                   AS unidades_hecho
+        FROM limpias GROUP BY 1""",
     "fact_grid_check": """
         SELECT f AS filas, e AS esperadas, f = e AS cuadra
         FROM (SELECT (SELECT count(*) FROM hecho) AS f,
@@ -350,6 +359,22 @@ QUERIES = {
         SELECT *, coalesce({rnd('vp_regla / nullif(vp_regla + fp_regla, 0)', 4)}, 0) AS precision_regla,
                coalesce({rnd('vp_regla / nullif(vp_regla + fn_regla, 0)', 4)}, 0) AS recall_regla
         FROM regla""",
+    "model_report_fixed": f"""
+        SELECT 'regla' AS parte, nombre, valor FROM (
+            UNPIVOT (SELECT CAST(vp_regla AS DOUBLE) AS vp_regla, CAST(fp_regla AS DOUBLE) AS fp_regla,
+                CAST(fn_regla AS DOUBLE) AS fn_regla,
+                coalesce({rnd('vp_regla / nullif(vp_regla + fp_regla, 0)', 4)}, 0) AS precision_regla,
+                coalesce({rnd('vp_regla / nullif(vp_regla + fn_regla, 0)', 4)}, 0) AS recall_regla
+              FROM regla) ON COLUMNS(*) INTO NAME nombre VALUE valor)
+        UNION ALL
+        SELECT 'pronostico', nombre, valor FROM (
+            UNPIVOT (SELECT CAST(observaciones AS DOUBLE) AS observaciones, mae_base, mae_modelo, wape_modelo
+              FROM errores) ON COLUMNS(*) INTO NAME nombre VALUE valor)
+        UNION ALL
+        SELECT 'clases', 'peso_positivos',
+               {rnd('CASE WHEN p > 0 AND p < t THEN (t - p) / p END', 6)}
+        FROM (SELECT count(*) AS t, count(*) FILTER (etiqueta = 1) AS p
+              FROM variables, corte WHERE etiqueta IS NOT NULL AND fecha <= c)""",
     "demand_dispersion": f"""
         SELECT tienda_id, sku, {rnd('stddev_samp(unidades)', 6)} AS desviacion
         FROM hecho GROUP BY ALL""",
@@ -372,7 +397,7 @@ QUERIES = {
         ORDER BY prioridad DESC, tienda_id, sku LIMIT 500""",
     "alerts_by_store_level": f"""
         SELECT tienda, nivel, count(*) AS alertas
-        FROM (SELECT * FROM {_FOUND} LIMIT 300) GROUP BY ALL""",
+        FROM riesgo WHERE horizonte = 7 AND nivel <> 'OK' GROUP BY ALL""",
     "impact_totals": f"""
         SELECT dias, (SELECT count(*) FROM locales) AS tiendas,
                (SELECT count(*) FROM catalogo) AS productos, demandadas, vendidas, no_atendidas,
@@ -401,7 +426,15 @@ QUERIES = {
     "stream_ingest": f"""
         SELECT {_SALE_COLS}, particion, offset_kafka FROM eventos WHERE sku <> 'error'""",
     "stream_quarantine": "SELECT particion, offset_kafka FROM eventos WHERE sku = 'error'",
-    "stream_dedup": "SELECT * FROM eventos",
+    "stream_dedup": """
+        SELECT venta_id, momento, sku, precio, 'ok' AS estado, CAST(NULL AS BIGINT) AS offset_kafka
+        FROM eventos WHERE sku <> 'error' AND offset_kafka % 7 <> 0
+        UNION ALL
+        SELECT NULL, CASE WHEN sku <> 'error' THEN momento END,
+               CASE WHEN sku <> 'error' THEN sku END, CASE WHEN sku <> 'error' THEN precio END,
+               CASE WHEN sku = 'error' THEN 'cuarentena' ELSE 'ok' END, o
+        FROM (SELECT *, unnest([offset_kafka, -offset_kafka - 1]) AS o FROM eventos)
+        WHERE sku = 'error' OR offset_kafka % 7 = 0""",
 }
 
 

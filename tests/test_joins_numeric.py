@@ -18,17 +18,40 @@ def test_salted_lookup_equals_broadcast_lookup(spark, how):
     small = joins.lookup(fact, dim, ["k"], ["doble"], how)
     large = joins.lookup(fact, dim, ["k"], ["doble"], how, max_bytes=10)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert "_sal" in large._jdf.queryExecution().optimizedPlan().toString()
+    assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
     assert large.columns == small.columns
     assert sorted(map(str, rows(small))) == sorted(map(str, rows(large)))
 
 
-def test_salt_spreads_a_hot_key(spark):
-    fact = spark.range(3_200).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
-    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(joins.SALTS))
-    sizes = [n for _, n in rows(fact.groupBy(salt.alias("s")).count())]
-    assert len(sizes) == joins.SALTS
-    assert max(sizes) < 3 * 3_200 / joins.SALTS
+def test_copies_of_one_row_are_spread_over_tasks(spark):
+    """A key that holds a third of all rows, all of them equal, does not end in one task."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.col("id") % 3 == 0
+        fact = spark.range(0, 90_000, 1, 12).select(
+            F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+            F.when(hot, F.lit("the same text in every copy of the row")).otherwise(F.col("id").cast("string")).alias("v"),
+        )
+        dim = fact.select("k").distinct().withColumn("x", F.lit(1))
+        joined = joins.lookup(fact, dim, ["k"], ["x"], max_bytes=10)
+        tasks = rows(joined.where("k = 'hot'").groupBy(F.spark_partition_id().alias("t")).count())
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    assert sum(n for _, n in tasks) == 30_000
+    assert len(tasks) > 3
+
+
+def test_rounding_of_what_is_no_number_is_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e21,), (-1e30,), (2.5,)], ["x"])
+    assert [r[0] for r in rows(df.select(rnd("x", 0)))] == [None, None, None, None, 3.0]
 
 
 def test_size_is_measured_from_the_values(spark):

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,13 +90,26 @@ def test_same_trees_from_any_partitioning(table, trained):
     )
 
 
-def test_remembered_nodes_do_not_change_the_trees(table, trained, monkeypatch):
-    monkeypatch.setattr(model, "CACHE_NODES_MAX_ROWS", 0)
-    plain = model.train(table, PARAMS)
+def test_remembered_nodes_do_not_change_the_trees(table, trained):
+    plain = model.train(table, replace(PARAMS, guardar_nodos=False))
     assert rows(plain.importance) == rows(trained.importance)
     assert rows(plain.metrics) == rows(trained.metrics)
 
 
+def test_any_number_of_categories(table):
+    many = table.withColumn("categoria", F.concat(F.lit("c"), F.pmod(F.xxhash64("sku", "fecha"), F.lit(40))))
+    assert many.select("categoria").distinct().count() == 40
+    trained = model.train(many, PARAMS)
+    assert len(trained.model.stages[0].labels) == 40 and trained.metrics.count() == 1
+
+
+def test_training_rows_can_be_bounded(table, trained):
+    some = model.train(table, replace(PARAMS, filas_entrenamiento=table.count() // 3))
+    assert rows(some.importance) != rows(trained.importance)
+    every = model.train(table, replace(PARAMS, filas_entrenamiento=10**9))
+    assert rows(every.importance) == rows(trained.importance)
+
+
 def test_unknown_category_is_still_scored(table, trained):
     strange = table.where(F.col("fecha") == F.lit(day(60))).withColumn("categoria", F.lit("nueva"))
     chances = rows(model.score(trained.model, strange, F.lit(day(60))), "probabilidad")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -160,6 +161,63 @@ def test_cycle_without_stock_outs_has_no_model_and_no_stale_probability(spark, b
         pipeline.Inputs(**{**vars(inputs), "inventory_history": calm}),
         out, SMALL, F.lit(moment(DAYS, 12)),
     )
-    assert "metricas_modelo" not in got
+    assert tables["metricas_modelo"].count() == 0 and tables["importancia"].count() == 0
     assert got["probabilidad"].count() == 0
     assert got["hecho_riesgo"].where("probabilidad <> 0").count() == 0
+
+
+def test_raw_texts_are_parsed_once(spark, bronze, tmp_path):
+    """Only the reviewed rows read the history's text; every other table starts from them."""
+    tables = cycle(spark, bronze, str(tmp_path))
+    assert "revisadas" in tables and "conciliacion" in tables
+    for name in ("ventas", "revision", "rechazos", "calidad", "frescura"):
+        files = " ".join(tables[name].inputFiles())
+        assert "ventas_historico" not in files
+    # The catalogue is stored before the review, which reads the stored dimension.
+    assert tables["revisadas"].count() == 40 * 5 * 2 + 1
+
+
+def test_a_model_of_an_earlier_cycle_does_not_stay(spark, bronze, tmp_path):
+    out = str(tmp_path)
+    cycle(spark, bronze, out)
+    assert spark.read.parquet(f"{out}/oro/metricas_modelo").count() == 1
+    inputs = pipeline.read_bronze(spark, bronze)
+    nothing = replace(inputs, inventory_history=inputs.inventory_history.withColumn("quiebre", F.lit(False)))
+    pipeline.run_cycle(spark, nothing, out, SMALL, F.lit(moment(DAYS, 12)))
+    assert spark.read.parquet(f"{out}/oro/metricas_modelo").count() == 0
+    assert spark.read.parquet(f"{out}/oro/importancia").count() == 0
+    assert not (tmp_path / "modelo").exists()
+
+
+def test_inputs_leave_snapshots_and_manifest_rows(spark, bronze, tmp_path):
+    inputs = pipeline.read_bronze(spark, bronze)
+    series = readers.read_index_series(spark, f"{bronze}/ine.json")
+    saved = pipeline.accept_inputs(inputs, series, str(tmp_path), F.lit(moment(1)))
+    assert sorted(map(str, rows(saved["catalogo"]))) == sorted(map(str, rows(inputs.catalog)))
+    loads = {r.fichero: r.registros for r in readers.read_manifest(spark, f"{tmp_path}/_manifiesto").collect()}
+    assert loads == {
+        "instantanea/catalogo": 2, "instantanea/indice": 12, "instantanea/factores": 12, "instantanea/tiendas": 5,
+    }
+
+
+def test_scratch_is_cleared(spark):
+    from anaquel.session import _scratch_root, clear_scratch, stage
+
+    stage(spark.range(3), "algo")
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert files.exists(root)
+    clear_scratch(spark)
+    assert not files.exists(root)
+
+
+def test_series_partitions_follow_the_cells(spark):
+    from anaquel import session
+
+    before = session.series_partitions(spark)
+    try:
+        assert session.size_series(spark, 1, 1, 1) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert session.size_series(spark, 3650, 10_000, 10_000) == -(-3650 * 10**8 * 64 // (256 << 20))
+        assert session.series_partitions(spark) > 80_000
+    finally:
+        spark.conf.set("anaquel.series.partitions", str(before))

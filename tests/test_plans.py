@@ -75,11 +75,32 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_short_list_is_unfolded_whichever_side_it_is(spark, monkeypatch):
     d = domain(spark, SF_DIR)
     expected = sorted(map(tuple, star._all_series(d.stores, d.catalog).collect()))
-    many_stores = lambda df, *_: df is not d.stores
-    monkeypatch.setattr(star, "fits", many_stores)
-    swapped = star._all_series(d.stores, d.catalog)
-    assert sorted(map(tuple, swapped.collect())) == expected
     assert len(expected) == 5 * d.catalog.count()
+    # Both lists over the limit, and several blocks.
     monkeypatch.setattr(star, "fits", lambda df, *_: False)
-    with pytest.raises(ValueError):
-        star._all_series(d.stores, d.catalog)
+    monkeypatch.setattr(star, "CLAVES_POR_BLOQUE", 2)
+    for stores, catalog in ((d.stores, d.catalog), (d.stores.limit(3), d.catalog.limit(2))):
+        blocked = star._all_series(stores, catalog)
+        plan = plan_of(blocked)
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+        assert blocked.distinct().count() == stores.count() * catalog.count() == blocked.count()
+    assert sorted(map(tuple, star._all_series(d.stores, d.catalog).collect())) == expected
+
+
+def test_inventory_is_shuffled_once(spark):
+    d = domain(spark, SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(star.dense_fact(d.calendar, d.stores, d.catalog, d.daily, d.inventory))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = max(i for i, line in enumerate(lines) if "Union" in line)
+    level, above = depth(lines[at]), []
+    for line in reversed(lines[:at]):
+        if depth(line) < level:
+            level = depth(line)
+            above.append(line)
+    assert sum("Exchange" in line for line in above) == 1
+    assert any("Window" in line for line in above)

@@ -66,8 +66,28 @@ def test_search_is_a_top_k_on_one_partition(spark, risk_rows, tmp_path):
 def test_panel_and_counts(risk_rows):
     assert serving.panel_alerts(risk_rows).count() == 4
     assert serving.panel_alerts(risk_rows, "ALTO").count() == 1
-    counts = serving.alerts_by_store_level(serving.panel_alerts(risk_rows))
+    counts = serving.alerts_by_store_level(risk_rows)
     assert sorted(rows(counts)) == [("nT01", "CRITICO", 2), ("nT02", "ALTO", 1), ("nT02", "CRITICO", 1)]
+    assert rows(serving.alerts_by_store_level(risk_rows, "ALTO")) == [("nT02", "ALTO", 1)]
+
+
+def test_counts_go_beyond_the_panel_list(risk_rows):
+    one = risk_rows.where("nivel = 'ALTO' AND horizonte = 7").limit(1)
+    many = one.crossJoin(one.sparkSession.range(400)).drop("id")
+    assert serving.panel_alerts(many).count() == 300
+    assert [r.alertas for r in serving.alerts_by_store_level(many).collect()] == [400]
+
+
+def test_model_report_holds_all_parts(spark):
+    rule = spark.createDataFrame([(1, 2, 3, 0.5, 0.25)], "vp_regla long, fp_regla long, fn_regla long, p double, r double")
+    back = spark.createDataFrame([(10, 1.5)], "observaciones long, mae_base double")
+    balance = spark.createDataFrame([(2.0,)], "peso_positivos double")
+    metrics = spark.createDataFrame([(0.9, 5)], "auc double, vp long")
+    weights = spark.createDataFrame([("stock", 0.7)], "variable string, importancia double")
+    fixed = rows(serving.model_report(rule, back, balance))
+    assert ("pronostico", "mae_base", 1.5) in fixed and ("clases", "peso_positivos", 2.0) in fixed
+    full = rows(serving.model_report(rule, back, balance, metrics, weights))
+    assert set(full) - set(fixed) == {("modelo", "auc", 0.9), ("modelo", "vp", 5.0), ("importancia", "stock", 0.7)}
 
 
 def test_export_keeps_all_open_alerts_in_order(risk_rows):

@@ -158,3 +158,28 @@ def test_live_inventory_beats_history(spark):
     ]
     alone = silver.merge_inventory(history, spark.createDataFrame([], schemas.INVENTARIO))
     assert alone.count() == 2
+
+
+def test_numbers_that_are_no_amounts_are_rejected_and_counted(spark, catalog, tmp_path):
+    """From CSV and JSON alike; the good sales of the same cell keep their amount."""
+    from anaquel.functions.numeric import rnd
+    from anaquel.sources import readers
+    from anaquel.streaming import ingest
+
+    head = "venta_id,momento,tienda_id,sku,unidades,precio,importe"
+    at = "2024-01-01T10:00:00"
+    (tmp_path / "v.csv").write_text("\n".join([
+        head, f"a,{at},T01,A,1,2.0,2.0", f"b,{at},T01,A,1,NaN,2.0", f"c,{at},T01,A,1,2.0,NaN",
+        f"d,{at},T01,A,1,Infinity,2.0", f"e,{at},T01,A,1,2.0,1e21", f"f,{at},T01,A,1,1e21,2.0",
+    ]))
+    history = readers.read_sales_history(spark, str(tmp_path / "v.csv"))
+    texts = [
+        '{"venta_id":"g","momento":"2024-01-01T10:00:00Z","tienda_id":"T01","sku":"A","unidades":1,'
+        f'"precio":{p},"importe":{i}}}' for p, i in (("NaN", "1.0"), ("2.0", "1e21"))
+    ]
+    sent = spark.createDataFrame([(t, 0, n) for n, t in enumerate(texts)], "value string, partition int, offset long")
+    landed = ingest.parse_sales(sent).where("estado = 'ok'")
+    reviewed = silver.review_sales(silver.unify_sales(history, landed), catalog)
+    assert dict(silver.rejects_by_reason(reviewed).collect()) == {"precio no valido": 4, "importe no valido": 3}
+    total = silver.clean_sales(reviewed).agg(rnd(F.sum("importe"), 2)).first()[0]
+    assert total == 2.0

@@ -183,3 +183,10 @@ def test_stage_by_series_cuts_the_lineage(spark):
         "'T01' AS tienda_id", "'A' AS sku", "date_add(DATE '2024-01-01', int(id)) AS fecha"
     )
     assert stage_by_series(df, "corte").count() == 10
+
+
+def test_another_header_order_is_an_error(spark, tmp_path):
+    path = tmp_path / "ventas.csv"
+    path.write_text(SALES_CSV.replace("precio,importe", "importe,precio", 1))
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_sales_history(spark, str(path)).collect()

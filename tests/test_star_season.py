@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from anaquel import schemas
@@ -59,12 +58,29 @@ def test_no_sales_no_calendar(spark, sales, months):
     assert empty.count() == 0
 
 
-def test_a_broken_date_is_refused_instead_of_unfolded(spark, sales, months):
+def test_a_far_date_makes_a_long_calendar(spark, sales, months):
     broken = sales.withColumn(
-        "fecha", F.when(F.col("sku") == "B", F.lit(dt.date(9999, 1, 1))).otherwise(F.col("fecha"))
+        "fecha", F.when(F.col("sku") == "B", F.lit(dt.date(1700, 1, 1))).otherwise(F.col("fecha"))
     )
-    with pytest.raises(PySparkException, match="calendar too long"):
-        star.dim_date(broken, months, readers.weekday_factors(spark)).count()
+    days = star.dim_date(broken, months, readers.weekday_factors(spark))
+    first, last, n = days.agg(F.min("fecha"), F.max("fecha"), F.count("*")).first()
+    assert first == dt.date(1700, 1, 1) and n == (last - first).days + 1 > 100_000
+    two = spark.createDataFrame([("T01",), ("T02",)], "tienda_id string")
+    products = spark.createDataFrame([("A",)], "sku string")
+    assert star.series_grid(days, two, products).count() == 2 * n
+
+
+def test_reconciliation_names_the_sales_that_no_cell_holds(spark):
+    sales = spark.createDataFrame(
+        [("T01", "A", dt.date(2024, 1, 1), 2), ("T01", "A", None, 3), ("T99", "A", dt.date(2024, 1, 1), 5)],
+        "tienda_id string, sku string, fecha date, unidades int",
+    )
+    fact = spark.createDataFrame([(2,), (0,)], "unidades long")
+    stores = spark.createDataFrame([("T01",)], "tienda_id string")
+    got = {r.causa: tuple(r)[1:] for r in star.fact_reconciliation(sales, fact, stores).collect()}
+    assert got == {
+        "en hecho": (1, 2, 2), "sin fecha": (1, 3, None), "tienda desconocida": (1, 5, None),
+    }
 
 
 def test_daily_totals(sales):

@@ -93,3 +93,25 @@ def test_without_stream_dedupe_the_batch_layer_removes_copies(spark, tmp_path, c
     reviewed = silver.review_sales(silver.unify_sales(none.where("1 = 0"), landed), catalog)
     clean = {r.venta_id: r.momento.day for r in silver.clean_sales(reviewed).collect()}
     assert clean == {"a": 1, "b": 1}
+
+
+def test_stream_dedupe_keeps_what_has_no_id_or_does_not_parse(spark, tmp_path):
+    put(tmp_path / "in", "1.json", [
+        sale("1"), sale("1"), sale("2", 9), missing("x", "venta_id"), missing("y", "venta_id"),
+        sale(None), "{broken", "{broken", "",
+    ])
+    sales = ingest.parse_sales(messages(spark, tmp_path / "in"))
+    path = run(ingest.dedupe_deliveries(sales), tmp_path)
+    landed = readers.read_stream_landed(spark, path)
+    assert sorted(str(r.venta_id) for r in landed.collect()) == ["1", "2", "None", "None", "None"]
+    assert ingest.quarantined(spark, path).count() == 3
+
+
+def test_old_sales_are_not_late(spark, tmp_path):
+    put(tmp_path / "in", "1.json", [sale("new", 9)])
+    sales = lambda: ingest.dedupe_deliveries(ingest.parse_sales(messages(spark, tmp_path / "in")))
+    run(sales(), tmp_path)
+    put(tmp_path / "in", "2.json", [sale("old", 1), "x"], first=5)
+    path = run(sales(), tmp_path)
+    assert {r.venta_id for r in readers.read_stream_landed(spark, path).collect()} == {"new", "old"}
+    assert ingest.quarantined(spark, path).count() == 1
