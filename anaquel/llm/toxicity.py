@@ -26,7 +26,7 @@ from anaquel.llm.common import ship, stored
 
 MAX_TRAINING = 20_000
 FOLDS = 3
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 MAX_ITERATIONS = 20
 BITS = 18
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning

@@ -51,7 +51,7 @@ def test_one_word_in_a_long_text_is_caught(corpus):
     long = prose(77, 4000)
     rows = docs.sparkSession.createDataFrame([(1, long), (2, f"{long} nasty {long}")], "doc_id long, text string")
     got = {r.doc_id: r.p_toxic for r in T.predict(rows, chain).collect()}
-    assert got[2] > 0.5 > got[1]
+    assert got[2] > T.THRESHOLD > got[1]
 
 
 def test_later_models_see_earlier_probabilities(spark, docs_of):
