@@ -2,6 +2,7 @@
 
     python -m anaquel cycle --bronze DIR --out DIR
     python -m anaquel seasonality --bronze DIR
+    python -m anaquel accept --bronze DIR
     python -m anaquel impact --bronze DIR --out DIR
     python -m anaquel ingest --servers HOST:PORT --out DIR --checkpoint DIR
 """
@@ -14,17 +15,17 @@ from pyspark.sql import SparkSession
 
 from anaquel.plans import pipeline
 from anaquel.session import clear_scratch, configure
-from anaquel.sources import writers
+from anaquel.sources import readers, writers
 from anaquel.streaming import ingest
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="anaquel")
     commands = parser.add_subparsers(dest="command", required=True)
-    for name in ("cycle", "seasonality", "impact"):
+    for name in ("cycle", "seasonality", "accept", "impact"):
         command = commands.add_parser(name)
         command.add_argument("--bronze", required=True)
-        if name != "seasonality":
+        if name in ("cycle", "impact"):
             command.add_argument("--out", required=True)
             command.add_argument("--stream-format", choices=("parquet", "csv"), default="parquet")
     stream = commands.add_parser("ingest")
@@ -42,6 +43,9 @@ def main(argv: list[str] | None = None) -> None:
         pipeline.run_cycle(spark, inputs, args.out)
     elif args.command == "seasonality":
         pipeline.refresh_seasonality(spark, args.bronze)
+    elif args.command == "accept":
+        series = readers.read_index_series(spark, f"{args.bronze}/ine.json")
+        pipeline.accept_inputs(pipeline.read_bronze(spark, args.bronze), series, args.bronze)
     elif args.command == "impact":
         inputs = pipeline.read_bronze(spark, args.bronze, args.stream_format)
         for name, report in pipeline.impact_report(inputs).items():
