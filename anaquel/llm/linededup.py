@@ -51,45 +51,57 @@ def _dropped(base: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     )
 
 
+def _kept(text: Column) -> Column:
+    """The text without the lines at the positions in ``_dropped``."""
+    left = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(F.col("_dropped"), i))
+    return F.when(F.col("_dropped").isNull(), text).otherwise(F.array_join(left, "\n"))
+
+
 def drop_repeated_lines(
     docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
 ) -> DataFrame:
-    """One row per input row: ``doc_id, n_lines, n_dropped, kept, row`` (the whole input row).
+    """One row per input row: ``doc_id, n_lines, n_dropped, kept``.
 
     Keys of at least ``min_chars`` code points found in at least ``min_docs`` documents lose all
     their lines except those in the largest ``doc_id`` holding them. A null or empty text is one
     empty line. A row without ``doc_id`` counts for no key and keeps all its lines. Rows with the same
-    ``doc_id`` count as one document; each is cut by its own lines. Other columns pass in ``row``,
-    whatever their names.
+    ``doc_id`` count as one document; each is cut by its own lines. Other columns are not read.
     """
     base = docs.select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key("text").alias("_row"),
-        F.struct("*").alias("row"),
-    )
-    dropped = _dropped(base.drop("row"), min_chars, min_docs)
-    kept = F.filter(
-        F.split("text", "\n", -1), lambda _, i: ~F.array_contains(F.col("_dropped"), i)
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key("text").alias("_row")
     )
+    dropped = _dropped(base, min_chars, min_docs)
     return base.join(dropped, ["doc_id", "_row"], "left").select(
         "doc_id",
         F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("_dropped").isNull(), F.col("text"))
-        .otherwise(F.array_join(kept, "\n")).alias("kept"),
-        "row",
+        _kept(F.col("text")).alias("kept"),
     )
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
+def without_repeated_lines(
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
+) -> DataFrame:
     """``docs`` with the shared lines taken out of ``text``, and ``n_chars``, if there, counted anew.
 
-    Every row stays; a text that loses nothing, null included, is as it was.
+    Every row stays; a text that loses nothing, null included, is as it was. Other columns pass,
+    whatever their names.
     """
-    cut = drop_repeated_lines(docs)
-    changed = F.col("n_dropped") > 0
-    new = {"text": F.col("kept"), "n_chars": F.char_length("kept")}
+    base = docs.select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key("text").alias("_row")
+    )
+    dropped = _dropped(base, min_chars, min_docs).withColumnsRenamed({"doc_id": "_doc"})
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("_d"), text_key("text").alias("_t")
+    )
+    cut = rows.join(
+        dropped, (F.col("_d") == F.col("_doc")) & (F.col("_t") == F.col("_row")), "left"
+    )
+    kept = _kept(F.coalesce(F.col("row.text"), F.lit("")))
+    new = {"text": kept, "n_chars": F.char_length(kept)}
     return cut.select(*[
-        F.when(changed, new[f.name].cast(f.dataType)).otherwise(F.col(f"row.`{f.name}`")).alias(f.name)
+        F.when(F.col("_dropped").isNotNull(), new[f.name].cast(f.dataType))
+        .otherwise(F.col(f"row.`{f.name}`")).alias(f.name)
         if f.name in new else F.col(f"row.`{f.name}`")
         for f in docs.schema
     ])
