@@ -32,6 +32,7 @@ CELLS = 1 << 12  # counters per row while the sketch is summed
 RARE = 0.1  # share of all documents below which all shingles count as equally rare
 SUB = 1 << 15  # shingles sampled at once
 BLOCK = 512  # nodes on each side of a block of comparisons
+SLAB = 4096  # shingles in a matrix of such a block
 
 _U32 = np.uint32
 
@@ -290,13 +291,18 @@ def similarities(codes: list[np.ndarray], weights: list[np.ndarray], n_left: int
     known, column, count = np.unique(joined, return_inverse=True, return_counts=True)
     shared = count > 1
     number = np.cumsum(shared) - 1
-    here = shared[column]
-    left, right = here & (owner < n_left), here & (owner >= n_left)
-    a = np.zeros((n_left, max(int(shared.sum()), 1)))
-    b = np.zeros((len(codes) - n_left, a.shape[1]))
-    a[owner[left], number[column[left]]] = weight[left]
-    b[owner[right] - n_left, number[column[right]]] = 1.0
-    low = a @ b.T
+    here = np.flatnonzero(shared[column])
+    here = here[np.argsort(column[here], kind="stable")]
+    row, at, value = owner[here], number[column[here]], weight[here]
+    low = np.zeros((n_left, len(codes) - n_left))
+    for first in range(0, int(shared.sum()), SLAB):  # so many shared shingles at once
+        a, z = np.searchsorted(at, [first, first + SLAB])
+        left = np.zeros((n_left, SLAB))
+        right = np.zeros((len(codes) - n_left, SLAB))
+        is_left = row[a:z] < n_left
+        left[row[a:z][is_left], at[a:z][is_left] - first] = value[a:z][is_left]
+        right[row[a:z][~is_left] - n_left, at[a:z][~is_left] - first] = 1.0
+        low += left @ right.T
     high = total[:n_left, None] + total[None, n_left:] - low
     return np.divide(low, high, out=np.ones_like(low), where=high > 0)
 

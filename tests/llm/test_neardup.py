@@ -141,3 +141,15 @@ def test_keep_one(docs_of, with_clashes):
 def test_empty_table(docs_of):
     assert neardup.near_duplicates(docs_of([])).collect() == []
     assert neardup.keep_one(docs_of([])).collect() == []
+
+
+def test_blocks_give_the_same_similarities(monkeypatch):
+    monkeypatch.setattr(neardup, "SLAB", 7)
+    rng = np.random.default_rng(0)
+    codes = [np.unique(rng.integers(0, 40, rng.integers(0, 30)).astype(np.uint64)) for _ in range(9)]
+    weights = [c.astype(float) + 1 for c in codes]
+    got = neardup.similarities(codes, weights, 4)
+    for i in range(4):
+        for j in range(5):
+            exact = neardup.similarity((codes[i], weights[i]), (codes[4 + j], weights[4 + j]))
+            assert abs(got[i, j] - exact) < 1e-9
