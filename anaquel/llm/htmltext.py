@@ -136,6 +136,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
                 heading = 0
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
+                    close_line()
                     for entry in stack[depth:]:
                         pop(entry)
                     del stack[depth:]
@@ -158,12 +159,11 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
             pop(stack.pop())
         role = _role(name, attributes, inside > 0)
         if name in _BLOCK or role:
+            close_line()
             stack.append((name, role))
             out += role == "out"
             inside += role == "in"
             marked |= role == "in" and not out
-            if role and name not in _BLOCK:
-                close_line()
     close_line()
     return found, marked
 

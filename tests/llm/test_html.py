@@ -44,7 +44,7 @@ def test_all_of_a_marked_article_stays():
 
 
 def test_surge_and_dive():
-    assert H.passages([0, 5, 90, 0, 3, 0, 0, 0, 2, 70, 20], 80) == [(1, 5), (9, 11)]
+    assert H.passages([0, 5, 90, 0, 3, 0, 0, 0, 2, 70, 20], 80) == [(1, 5), (8, 11)]
     assert H.passages([], 80) == []
 
 
