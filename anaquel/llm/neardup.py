@@ -367,9 +367,12 @@ def components(links: DataFrame) -> DataFrame:
             )).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         )
         small = stored(small, "small")
-        # Stars: no node is both an end and a centre.
-        if not small.join(small.select(F.col("u").alias("v")).distinct(), "v", "left_semi").head(1) \
-                and small.count() == small.select("u").distinct().count():
+        # Stars: every end has one centre, and no node is both an end and a centre.
+        roles = small.select("u", F.lit(1).alias("as_end")).union(small.select("v", F.lit(0))).groupBy("u").agg(
+            F.sum("as_end").alias("centres"), F.min("as_end").alias("only_end")
+        )
+        unfinished = roles.where("centres > 1 OR (centres = 1 AND only_end = 0)")
+        if not unfinished.count():
             return small.select(F.col("u").alias("node"), F.col("v").alias("root"))
         edges = small
 
