@@ -190,7 +190,8 @@ def _send_edges(buckets: int):
         open_ = {name: values[first] for name, values in open_.items()}
         for b, part in _deal((open_["keys"] % np.uint64(buckets)).astype(np.int64), open_):
             rows.setdefault(b, {"bucket": b}).update({n: v.tobytes() for n, v in part.items()})
-        later = ~first
+        # Rows that repeat a document with its text are that document, not copies of it.
+        later = (doc != doc[source]) | (row != row[source]) | (place != place[source])
         sure = {
             "sure_docs": doc[later], "sure_rows": row[later], "sure_places": place[later],
             "sure_source_docs": doc[source[later]], "sure_sources": place[source[later]],
@@ -286,10 +287,14 @@ def _by_document(table: pa.Table) -> pa.Table:
 def compact(places: np.ndarray, source_docs: np.ndarray, sources: np.ndarray) -> np.ndarray:
     """Spans ``start, words, source_doc, source_start`` of a text from its repeated windows.
 
-    Windows that follow one another and whose sources follow one another in one text are one span.
+    Windows that follow one another and whose sources follow one another in one text are one span. Repeated
+    rows name a window more than once: its first source counts.
     """
-    order = np.argsort(places, kind="stable")
+    order = np.lexsort((sources, source_docs, places))
     places, source_docs, sources = places[order].astype(np.int64), source_docs[order], sources[order].astype(np.int64)
+    once = np.ones(len(places), dtype=bool)
+    once[1:] = places[1:] != places[:-1]
+    places, source_docs, sources = places[once], source_docs[once], sources[once]
     new = np.ones(len(places), dtype=bool)
     new[1:] = (
         (places[1:] != places[:-1] + 1) | (source_docs[1:] != source_docs[:-1])

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from anaquel.llm import substrings
 from tests.llm.conftest import prose
@@ -84,6 +85,19 @@ def test_odd_rows(odd_docs, with_clashes):
     assert sum(1 for r in got if r[0] in (1, 2, 3, 8) and r[1:] == (0, 0, "")) == 4
 
 
+@pytest.mark.parametrize("partitions", [1, 2])
+def test_repeated_rows_are_one_document(docs_of, partitions):
+    passage = prose(1, 60)
+    rows = [(1, prose(2, 40)), (4, passage), (4, passage), (6, f"{passage} {prose(3, 9)}"), (6, f"{passage} {prose(3, 9)}")]
+    docs = docs_of(rows).repartition(partitions)
+    assert ours(docs) == sorted([
+        (1, 40, 0, prose(2, 40)), (4, 60, 0, passage), (4, 60, 0, passage),
+        (6, 69, 60, prose(3, 9)), (6, 69, 60, prose(3, 9)),
+    ], key=repr)
+    spans = [r.spans for r in substrings.drop_repeated_passages(docs).where("doc_id = 6").collect()]
+    assert [[tuple(s) for s in found] for found in spans] == [[(0, 60, 4, 0)]] * 2
+
+
 def test_very_long_copy(docs_of):
     text = prose(1, 50_000)
     got = ours(docs_of([(1, text), (2, text)]))
