@@ -1,8 +1,9 @@
 """WARC archives compressed record by record with Zstandard and a shared dictionary.
 
 An archive is a skippable frame that holds the dictionary, then one Zstandard frame per record.
-Tasks write archives of bounded size under names that depend only on the rows, first to a
-temporary name, so a task that runs twice leaves the same files. The reader gets an archive as
+Tasks write archives of bounded size under names made of the partition, a running number and the
+content's digest, first to a temporary name, so a task that runs twice leaves the same files and equal
+archives stay apart. The reader gets an archive as
 bytes, loads the dictionary from its leading frame, decodes one record at a time, and validates
 headers, lengths and digests.
 """
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -168,15 +170,17 @@ def _writer(folder: str):
             stream.write(data)
         system.move(hidden, f"{path}/{name}")
 
-    def archive(records: list[bytes]) -> pa.RecordBatch:
+    def archive(records: list[bytes], part: int, number: int) -> pa.RecordBatch:
         data = write_archive(records)
-        name = f"{hashlib.sha256(data).hexdigest()}.warc.zst"
+        name = f"{part:05d}-{number:05d}-{hashlib.sha256(data).hexdigest()}.warc.zst"
         put(name, data)
         return pa.RecordBatch.from_pydict(
             {"name": [name], "bytes": [len(data)], "records": [len(records)]}
         )
 
     def write(batches):
+        context = TaskContext.get()
+        part, number = context.partitionId() if context else 0, 0
         records, size = [], 0
         for batch in batches:
             for page_id, url, html, digest, refers_to in zip(*[batch.column(i) for i in range(5)]):
@@ -187,10 +191,10 @@ def _writer(folder: str):
                 ))
                 size += len(records[-1])
                 if size >= ARCHIVE_BYTES:
-                    yield archive(records)
-                    records, size = [], 0
+                    yield archive(records, part, number)
+                    records, size, number = [], 0, number + 1
         if records:
-            yield archive(records)
+            yield archive(records, part, number)
 
     return write
 

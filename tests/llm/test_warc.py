@@ -6,6 +6,7 @@ import base64
 import hashlib
 import struct
 
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -64,6 +65,27 @@ def test_writing_again_leaves_the_same_files(spark, tmp_path):
     assert warc.read_archives(spark, folder).count() == 40
 
 
+def test_equal_rows_in_two_partitions(spark):
+    for page_id in (7, None):
+        pages = spark.createDataFrame([(page_id, "u", "same")] * 8, PAGES).repartition(2)
+        got = rows_of(pages)
+        assert len(got) == 8 and len({r.archive for r in got}) == 2
+
+
+def test_equal_archives_of_one_task(tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1)
+    batch = pa.RecordBatch.from_pylist(
+        [{"page_id": None, "url": "u", "payload": b"same", "digest": hashlib.sha1(b"same").hexdigest(), "refers_to": None}] * 3,
+        schema=pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()),
+                          ("digest", pa.string()), ("refers_to", pa.int64())]),
+    )
+    folder = f"file://{tmp_path}/w"
+    for _ in range(2):  # a task that runs again leaves the same files
+        made = list(warc._writer(folder)([batch]))
+        assert sum(m.column("records")[0].as_py() for m in made) == 3
+        assert len(list((tmp_path / "w").iterdir())) == 3
+
+
 @pytest.fixture
 def archive():
     digest = warc.payload_digest(b"hello")
