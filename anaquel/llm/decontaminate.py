@@ -1,9 +1,11 @@
 """Benchmark decontamination by the q-gram lemma, in overlapping diagonal bands, and banded alignment.
 
-Benchmark items are cut into overlapping windows. A window of m characters that occurs in a text with at
+Every place of a benchmark item begins a window. A window of m characters that occurs in a text with at
 most k edits shares at least m - q + 1 - k q of its q-grams with it, on diagonals (text position minus
-window position) that span at most k. So the shared q-grams are counted in bands of 2 k diagonals that
-overlap by k; bands under the bound are out, the others are verified by a banded alignment.
+item position) that span at most k. So the shared q-grams of the whole item are brought together in bands
+of 2 k diagonals that overlap by k; windows that hold fewer of a band than the bound are out, those that
+hold all their q-grams on one diagonal are found, the others are verified by a banded alignment.
+Short items are searched for whole and exactly, by hashes of their lengths.
 
 The benchmark is the query set. It is broadcast in blocks of a fixed size, one pass over the
 texts for each, so its own size has no limit either.
@@ -24,9 +26,9 @@ from anaquel.llm.common import ship, text_key
 
 Q = 10
 WINDOW = 96  # characters; shorter items are one window
-STRIDE = 48
 EDITS = 0.06  # edits per character of a window
-MIN_CHARS = 30  # an item of fewer characters is too common a phrase to tell a leak
+MIN_CHARS = 30  # an item of fewer characters is searched for without edits, as words of their own
+ALIGNED = 1 << 14  # windows aligned at once
 BLOCK_CHARS = 2 << 20  # benchmark text broadcast at once
 CHUNK = 1 << 20  # characters of text searched at once
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -65,7 +67,8 @@ def budget(size: int) -> int:
 
 @dataclass
 class Index:
-    """q-grams of a benchmark block. A window lies at ``begin:begin + size`` of ``points``."""
+    """q-grams of a benchmark block. A window lies at ``begin:begin + size`` of ``points``; the windows of an
+    item begin at each of its places, one after another."""
 
     item: list
     points: np.ndarray
@@ -73,46 +76,97 @@ class Index:
     size: np.ndarray
     edits: np.ndarray
     owner: np.ndarray  # index into ``item``
-    grams: np.ndarray  # sorted hashes, one per q-gram and window
-    window: np.ndarray  # their windows
+    first: np.ndarray  # first window of each item that has windows
+    count: np.ndarray  # and their number
+    grams: np.ndarray  # sorted hashes, one per q-gram and item
+    source: np.ndarray  # their items, as indices into ``first``
     place: np.ndarray  # and their positions in them
     filter: np.ndarray
+    short: dict  # by length: sorted hashes of short items, and their indices into ``item``
 
 
 def index(items: list[tuple[object, str]]) -> Index:
-    begin, size, owner, points, at = [], [], [], [], 0
+    points, begin, size, owner, at = [], [], [], [], 0
+    first, count, grams, source, place = [], [], [], [], []
+    short: dict[int, list[tuple[np.uint64, int]]] = {}
+    windows = 0
     for n, (_, text) in enumerate(items):
         own = characters(text.encode())
-        cuts = [0]
-        if len(own) > WINDOW:
-            cuts = [*range(0, len(own) - WINDOW, STRIDE), len(own) - WINDOW]
-        for cut in cuts:
-            begin.append(at + cut)
-            size.append(min(WINDOW, len(own)))
-            owner.append(n)
+        if len(own) < MIN_CHARS:
+            if len(own):
+                *_, (_, whole) = runs(own, len(own))
+                short.setdefault(len(own), []).append((whole[0], n))
+            continue
+        m = min(WINDOW, len(own))
+        found = q_grams(own)
+        grams.append(found)
+        source.append(np.full(len(found), len(first), dtype=np.int32))
+        place.append(np.arange(len(found), dtype=np.int32))
+        first.append(windows)
+        count.append(len(own) - m + 1)
+        begin.append(at + np.arange(count[-1]))
+        size.append(np.full(count[-1], m, dtype=np.int32))
+        owner.append(np.full(count[-1], n, dtype=np.int32))
         points.append(own)
+        windows += count[-1]
         at += len(own)
-    joined = np.concatenate(points) if points else np.zeros(0, np.uint32)
-    grams, window, place = [], [], []
-    for n, (a, m) in enumerate(zip(begin, size)):
-        found = q_grams(joined[a:a + m])
-        grams.append(found)
-        window.append(np.full(len(found), n))
-        place.append(np.arange(len(found)))
-    empty = [np.zeros(0, np.int64)]
-    all_grams = np.concatenate(grams or [np.zeros(0, np.uint64)])
+
+    def joined(parts, kind):
+        return np.concatenate(parts).astype(kind, copy=False) if parts else np.zeros(0, kind)
+
+    all_grams, sizes = joined(grams, np.uint64), joined(size, np.int32)
     order = np.argsort(all_grams, kind="stable")
     seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
     seen[(all_grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-    sizes = np.array(size, dtype=np.int64)
+    allowed = np.array([budget(m) for m in range(WINDOW + 1)], dtype=np.int32)
+    by_length = {}
+    for length, pairs in short.items():
+        hashes = np.array([h for h, _ in pairs], dtype=np.uint64)
+        sort = np.argsort(hashes, kind="stable")
+        by_length[length] = hashes[sort], np.array([n for _, n in pairs], dtype=np.int64)[sort]
     return Index(
-        [i for i, _ in items], joined, np.array(begin, dtype=np.int64), sizes,
-        np.array([budget(m) for m in size], dtype=np.int64), np.array(owner, dtype=np.int64),
-        all_grams[order], np.concatenate(window or empty)[order],
-        np.concatenate(place or empty)[order], seen,
+        [i for i, _ in items], joined(points, np.uint32), joined(begin, np.int64), sizes, allowed[sizes],
+        joined(owner, np.int32), np.array(first, dtype=np.int64), np.array(count, dtype=np.int64),
+        all_grams[order], joined(source, np.int32)[order], joined(place, np.int32)[order], seen, by_length,
     )
 
 
+def runs(points: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each length up to ``longest``: hashes of the characters from each position."""
+    one = points.astype(np.uint64) + np.uint64(1)
+    found = np.zeros(len(one) + 1, dtype=np.uint64)
+    for length in range(1, min(longest, len(one)) + 1):
+        with np.errstate(over="ignore"):
+            found = found[:-1] * _BASE + one[length - 1:]
+        yield length, W.mix(found)
+
+
+def _wordlike(points: np.ndarray) -> np.ndarray:
+    """ASCII letters, in lower case, and digits."""
+    return (points >= 0x61) & (points <= 0x7A) | (points >= 0x30) & (points <= 0x39)
+
+
+def whole(points: np.ndarray, text: np.ndarray, known: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Short items in ``points``: item, start and end. ``text``: the text each position belongs to.
+
+    A hit does not begin or end inside a run of letters and digits.
+    """
+    none = np.zeros(0, np.int64)
+    found = [(none, none, none)]
+    letter = _wordlike(points)
+    glued = np.concatenate([[False], letter[1:] & letter[:-1] & (text[1:] == text[:-1]), [False]])
+    for length, hashes in runs(points, max(known.short, default=0)):
+        if length not in known.short:
+            continue
+        keys, items = known.short[length]
+        low = np.searchsorted(keys, hashes, side="left")
+        at = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == hashes)
+        at = at[(text[at] == text[at + length - 1]) & ~glued[at] & ~glued[at + length]]
+        entry, source = _ranges(low[at], np.searchsorted(keys, hashes[at], side="right"))
+        found.append((items[entry], at[source], at[source] + length))
+    return tuple(map(np.concatenate, zip(*found)))
+
+
 def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All integers of the ranges low:high, and the range each comes from."""
     count = high - low
@@ -121,25 +175,25 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(count.sum()) - start + low[source], source
 
 
-def candidates(points: np.ndarray, owner_end: np.ndarray, known: Index) -> tuple[np.ndarray, np.ndarray]:
-    """Window and band start (a diagonal) of the bands that meet the bound.
+def shared(points: np.ndarray, owner_end: np.ndarray, known: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """q-grams that texts and items share, where they are dense enough: item, place in it, diagonal.
 
     ``owner_end``: for each position the end of its text; q-grams across texts do not count.
     """
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    none = (np.zeros(0, np.int64),) * 3
     grams = q_grams(points)
     if not len(grams) or not len(known.grams):
         return none
     hit = known.filter[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
     hit &= np.arange(len(grams)) + Q <= owner_end[: len(grams)]
-    bounds = known.size - Q + 1 - known.edits * Q
+    size, edits = known.size[known.first], known.edits[known.first]
     # A region with fewer hits than the least bound cannot hold any window: no pairs are made there.
-    reach = int((known.size + known.edits).max()) - Q + 1
+    reach = int((size + edits).max()) - Q + 1
     total = np.concatenate([[0], np.cumsum(hit)])
     here = np.arange(len(grams))
     ahead = total[np.minimum(here + reach, len(grams))] - total[here]
     dense = np.zeros(len(grams) + 1, dtype=np.int64)
-    starts = np.flatnonzero(ahead >= bounds.min())
+    starts = np.flatnonzero(ahead >= (size - Q + 1 - edits * Q).min())
     if not len(starts):
         return none
     np.add.at(dense, starts, 1)
@@ -148,30 +202,76 @@ def candidates(points: np.ndarray, owner_end: np.ndarray, known: Index) -> tuple
     low = np.searchsorted(known.grams, grams[at], side="left")
     high = np.searchsorted(known.grams, grams[at], side="right")
     entry, source = _ranges(low, high)
-    if not len(entry):
-        return none
-    window, place = known.window[entry], known.place[entry]
-    diagonal = at[source] - place
-    step = np.maximum(known.edits[window], 1)
+    place = known.place[entry].astype(np.int64)
+    return known.source[entry].astype(np.int64), place, at[source] - place
+
+
+def _full(item, group, place, bound, known: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Windows, with their group, that hold ``bound`` of a group's places. A group is of one item; rows are
+    in order of item, group and place, without twins."""
+    none = np.zeros(0, np.int64)
+    last = np.arange(len(item)) + bound - 1
+    row = np.flatnonzero(last < len(item))
+    last = last[row]
+    reach = known.size[known.first[item]].astype(np.int64) - Q
+    row_ok = (item[row] == item[last]) & (group[row] == group[last]) & (place[last] - place[row] <= reach[row])
+    row, last = row[row_ok], last[row_ok]
+    if not len(row):
+        return none, none
+    # Offsets that reach from the last place back to the first; rows of a group only add later ones.
+    low = np.maximum(place[last] - reach[row], 0)
+    high = np.minimum(place[row], known.count[item[row]] - 1) + 1
+    again = (item[row[1:]] == item[row[:-1]]) & (group[row[1:]] == group[row[:-1]])
+    low[1:] = np.where(again, np.maximum(low[1:], high[:-1]), low[1:])
+    offset, source = _ranges(low, np.maximum(high, low))
+    return known.first[item[row[source]]] + offset, group[row[source]]
+
+
+def exact(item, place, diagonal, known: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that a text holds without an edit: all their q-grams on one diagonal. Window and its start."""
+    if not len(item):
+        return item, diagonal
+    order = np.lexsort((place, diagonal, item))
+    item, place, diagonal = item[order], place[order], diagonal[order]
+    window, diagonal = _full(item, diagonal, place, known.size[known.first[item]].astype(np.int64) - Q + 1, known)
+    return window, diagonal + offset_of(known, window)
+
+
+def bands(item, place, diagonal, known: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Window and band start (a diagonal of the window) of the bands that meet the bound."""
+    if not len(item):
+        return item, diagonal
+    step = step_of(known, known.first[item])
     band = np.floor_divide(diagonal, step)
     # Band b holds the diagonals of steps b and b + 1.
-    window = np.concatenate([window, window])
+    item = np.concatenate([item, item])
     band = np.concatenate([band, band - 1])
     place = np.concatenate([place, place])
-    # A q-gram of the window counts once per band.
-    order = np.lexsort((place, band, window))
-    window, band, place = window[order], band[order], place[order]
-    fresh = np.append(True, (window[1:] != window[:-1]) | (band[1:] != band[:-1]))
-    once = fresh | np.append(True, place[1:] != place[:-1])
-    group = np.flatnonzero(fresh)
-    count = np.add.reduceat(once.astype(np.int64), group)
-    window, band = window[group], band[group]
-    good = count >= bounds[window]
-    return window[good], band[good] * step_of(known, window[good])
+    # A q-gram of the item counts once per band.
+    order = np.lexsort((place, band, item))
+    item, band, place = item[order], band[order], place[order]
+    once = np.append(True, (item[1:] != item[:-1]) | (band[1:] != band[:-1]) | (place[1:] != place[:-1]))
+    item, band, place = item[once], band[once], place[once]
+    window = known.first[item]
+    bound = known.size[window].astype(np.int64) - Q + 1 - known.edits[window] * Q
+    window, band = _full(item, band, place, bound, known)
+    return window, band * step_of(known, window) + offset_of(known, window)
+
+
+def candidates(points: np.ndarray, owner_end: np.ndarray, known: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Window and band start (a diagonal) of the bands that meet the bound, those of exact windows too."""
+    return bands(*shared(points, owner_end, known), known)
+
+
+def offset_of(known: Index, window: np.ndarray) -> np.ndarray:
+    """Where in its item a window begins."""
+    if not len(window):
+        return np.zeros(0, np.int64)
+    return window - known.first[np.searchsorted(known.first, window, side="right") - 1]
 
 
 def step_of(known: Index, window: np.ndarray) -> np.ndarray:
-    return np.maximum(known.edits[window], 1)
+    return np.maximum(known.edits[window], 1).astype(np.int64)
 
 
 def align(points: np.ndarray, known: Index, window: np.ndarray, diagonal: np.ndarray, text_start, text_end):
@@ -215,29 +315,42 @@ def align(points: np.ndarray, known: Index, window: np.ndarray, diagonal: np.nda
     return cost, end
 
 
-_DDL = "doc_id long, _row long, item long, edits int, start long, stop long"
+_DDL = "doc_id long, _row long, item long, edits int, windows long, start long, stop long"
 
 
 def _search(known):
     def search(batches: Iterator[pa.RecordBatch]):
         table = known.value
-        overlap = int((table.size + table.edits).max()) if len(table.size) else 0
+        overlap = max(MIN_CHARS, int((table.size + table.edits).max()) if len(table.size) else 0)
         for batch in batches:
             raw, starts, ends = W.utf8(batch.column("text"))
             ids, rows = batch.column("doc_id"), batch.column("_row")
             for row, stop in W.blocks(starts, ends):
                 hits = list(_search_block(raw, starts, ends, row, stop, table, overlap))
                 if hits:
-                    doc, item, edits, begin, end = map(np.concatenate, zip(*hits))
+                    doc, item, edits, windows, begin, end = _by_item(*map(np.concatenate, zip(*hits)))
                     at = pa.array(doc)
                     yield pa.RecordBatch.from_arrays([
                         ids.take(at), rows.take(at), pa.array(item), pa.array(edits.astype(np.int32)),
-                        pa.array(begin), pa.array(end),
-                    ], names=["doc_id", "_row", "item", "edits", "start", "stop"])
+                        pa.array(windows), pa.array(begin), pa.array(end),
+                    ], names=["doc_id", "_row", "item", "edits", "windows", "start", "stop"])
 
     return search
 
 
+def _by_item(doc, item, edits, start, stop):
+    """Per document and item: the least edits, the number of starts, the first start and the last stop."""
+    order = np.lexsort((start, item, doc))
+    doc, item, edits, start, stop = (v[order] for v in (doc, item, edits, start, stop))
+    new = np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))
+    at = np.flatnonzero(new)
+    once = new | np.append(True, start[1:] != start[:-1])
+    return (
+        doc[at], item[at].astype(np.int64), np.minimum.reduceat(edits, at),
+        np.add.reduceat(once.astype(np.int64), at), start[at], np.maximum.reduceat(stop, at),
+    )
+
+
 def _search_block(raw, starts, ends, row, stop, table: Index, overlap: int):
     """Verified windows: row, item, edits, start and end in the text, for the rows of a block."""
     a = int(starts[row])
@@ -250,35 +363,57 @@ def _search_block(raw, starts, ends, row, stop, table: Index, overlap: int):
     for low in range(0, max(1, len(points)), CHUNK):  # a very long text is searched in pieces
         part = points[low:low + CHUNK + overlap]
         text = np.minimum(np.searchsorted(last, np.arange(low, low + len(part)), side="right"), len(last) - 1)
-        window, diagonal = candidates(part, last[text] - low, table)
-        if not len(window):
-            continue
-        # A band may touch two texts, those at its two ends: both are tried, each cut off at its edges.
-        middle = diagonal + step_of(table, window) + low
-        tries = []
-        for probe in (middle, middle + table.size[window] - 1):
-            tries.append(np.clip(np.searchsorted(last, np.clip(probe, 0, None), side="right"), 0, len(last) - 1))
-        again = tries[1] != tries[0]
-        doc = np.concatenate([tries[0], tries[1][again]])
-        window = np.concatenate([window, window[again]])
-        diagonal = np.concatenate([diagonal, diagonal[again]])
-        edits, end = align(
-            part, table, window, diagonal,
-            np.maximum(first[doc] - low, 0), np.minimum(last[doc] - low, len(part)),
-        )
-        good = edits <= table.edits[window]
-        if good.any():
-            doc, window, end = doc[good], window[good], end[good] + low - first[doc[good]]
-            yield (
-                doc + row, table.owner[window], edits[good],
-                np.maximum(end - table.size[window], 0), end,
-            )
+        if table.short:
+            item, begin, end = whole(part, text, table)
+            if len(item):
+                doc = text[begin]
+                yield doc + row, item, np.zeros(len(item), np.int64), begin + low - first[doc], end + low - first[doc]
+        grams = shared(part, last[text] - low, table)
+        window, lies = exact(*grams, table)
+        if len(window):
+            doc = text[lies]
+            begin = lies + low - first[doc]
+            yield doc + row, table.owner[window], np.zeros(len(window), np.int64), begin, begin + table.size[window]
+        # A window that lies there without an edit needs no alignment.
+        window, diagonal = _rest(*bands(*grams, table), window, lies, table)
+        for a in range(0, len(window), ALIGNED):
+            yield from _verify(part, low, row, first, last, window[a:a + ALIGNED], diagonal[a:a + ALIGNED], table)
+
+
+def _rest(window, diagonal, found, start, known: Index):
+    """The bands that no exact place of their window lies in."""
+    step = step_of(known, found)
+    offset = offset_of(known, found)
+    band = np.floor_divide(start - offset, step)
+    key = lambda w, b: w * np.int64(1 << 32) + b
+    mine = np.floor_divide(diagonal - offset_of(known, window), step_of(known, window))
+    left = ~np.isin(key(window, mine), np.concatenate([key(found, band), key(found, band - 1)]))
+    return window[left], diagonal[left]
+
+
+def _verify(part, low, row, first, last, window, diagonal, table: Index):
+    """The hits of a batch of candidate windows."""
+    # A band may touch two texts, those at its two ends: both are tried, each cut off at its edges.
+    middle = diagonal + step_of(table, window) + low
+    tries = []
+    for probe in (middle, middle + table.size[window] - 1):
+        tries.append(np.clip(np.searchsorted(last, np.clip(probe, 0, None), side="right"), 0, len(last) - 1))
+    again = tries[1] != tries[0]
+    doc = np.concatenate([tries[0], tries[1][again]])
+    window = np.concatenate([window, window[again]])
+    diagonal = np.concatenate([diagonal, diagonal[again]])
+    edits, end = align(
+        part, table, window, diagonal,
+        np.maximum(first[doc] - low, 0), np.minimum(last[doc] - low, len(part)),
+    )
+    good = edits <= table.edits[window]
+    if good.any():
+        doc, window, end = doc[good], window[good], end[good] + low - first[doc[good]]
+        yield doc + row, table.owner[window], edits[good].astype(np.int64), np.maximum(end - table.size[window], 0), end
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
-    rows = benchmark.select("item_id", "text").where(
-        F.char_length("text") >= MIN_CHARS
-    ).orderBy("item_id", "text")
+    rows = benchmark.select("item_id", "text").where("text <> ''").orderBy("item_id", "text")
     block, held = [], 0
     for item_id, text in rows.toLocalIterator():
         block.append((item_id, text))
@@ -293,11 +428,12 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, edits, windows, start, stop, _row`` per document and benchmark item found in it.
 
-    A window of an item (``WINDOW`` characters, or the whole of a shorter item) is found if it aligns
-    with a part of the text with at most ``EDITS`` edits per character; the case of letters and the
-    kind of white space do not count. ``edits`` is the least of the windows found, ``windows`` their number,
-    ``start`` and ``stop`` the code points from the first to the last. Null or empty texts hold
-    nothing; items that are null or shorter than ``MIN_CHARS`` are not searched for; equal items
+    A window of an item (``WINDOW`` characters from any place, or the whole of a shorter item) is found if
+    it aligns with a part of the text with at most ``EDITS`` edits per character; the case of letters and
+    the kind of white space do not count. An item shorter than ``MIN_CHARS`` is found without edits, and not
+    inside a longer run of ASCII letters and digits. ``edits`` is the least of the windows found,
+    ``windows`` the number of places where they begin, ``start`` and ``stop`` the code points from the first
+    to the last. Null or empty texts hold nothing; null or empty items are not searched for; equal items
     are each found. Rows that repeat a doc_id and its text count once. ``doc_id`` may be null. No other
     columns are read. An empty benchmark or corpus gives no rows.
     """
@@ -316,7 +452,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             f"item long, item_id {kind.simpleString()}",
         )
         hits = texts.mapInArrow(_search(known), _DDL).groupBy("doc_id", "_row", "item").agg(
-            F.min("edits").alias("edits"), F.countDistinct("start").alias("windows"),
+            F.min("edits").alias("edits"), F.max("windows").alias("windows"),
             F.min("start").alias("start"), F.max("stop").alias("stop"),
         )
         # As many names as the block has items: bounded by the block's size.

@@ -69,6 +69,28 @@ def test_edits_beyond_the_budget_are_not(docs_of, spark):
     assert not pairs(docs_of([(1, f"x {far} y")]), spark.createDataFrame([(1, text)], "item_id long, text string"))
 
 
+def test_excerpts_of_a_long_item_are_found_wherever_they_are_cut(docs_of, spark):
+    text = prose(31, 90)
+    rows = [
+        (at, f"{prose(at, 12)} #{text[at:at + size]}# {prose(900 + at, 12)}")
+        for size, cuts in ((96, range(0, 240, 7)), (100, range(241, 330, 5))) for at in cuts
+    ]
+    got = D.find_leaks(docs_of(rows), spark.createDataFrame([(1, text)], "item_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == [at for at, _ in rows] and {r.edits for r in got} == {0}
+    edited = [(at, f"{prose(at, 12)} {change(text[at:at + 96], 5, at)} {prose(900 + at, 12)}") for at in range(0, 300, 11)]
+    assert len(pairs(docs_of(edited), spark.createDataFrame([(1, text)], "item_id long, text string"))) == len(edited)
+
+
+def test_short_items_are_found_whole(docs_of, spark):
+    items = [(1, "Paris"), (2, "seven times six"), (3, "x²+1 = 0"), (4, "a"), (5, "paris"), (6, "")]
+    rows = [
+        (1, "in PARIS, then"), (2, "comparison"), (3, "Seven\ntimes six"), (4, "so x²+1 = 0"), (5, "seven times sixty"),
+        (6, "parisa"), (7, "paris"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert pairs(docs_of(rows), benchmark) == {(1, 1), (1, 5), (3, 2), (4, 3), (7, 1), (7, 5)}
+
+
 def edit_distance_in(pattern, text):
     """Least edits of the pattern against any part of the text."""
     row = [0] * (len(text) + 1)
