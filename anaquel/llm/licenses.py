@@ -1,9 +1,11 @@
 """License scan: TF-IDF cosine of headers and licence files to templates, then inheritance by directory.
 
-DataFrame functions only. A header is a line with one of the words in ``ANCHORS``, alone and with its
-neighbours, wherever it stands in the text; a text with a header may as a whole be a licence file. Texts
-without such a word are read by one pattern and go no further. A file without a licence of its own takes
-that of the nearest directory above it that holds a licence file.
+DataFrame functions only. A header is a line with one of the templates' anchor words, alone and with its
+neighbours, wherever it stands in the text; a text with a header may as a whole be a licence file. The
+anchors are words of which a text must have one to reach the threshold, so texts without them are read by
+one pattern and go no further. A file without a licence of its own takes that of the nearest directory
+above it that holds a licence file. A notice that reserves all rights is a licence of its own, too, but
+goes behind any that grants some.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from anaquel.llm.common import stored, text_key
 
 THRESHOLD = 0.6
+RESERVED = "LicenseRef-All-Rights-Reserved"
 BEFORE, AFTER = 1, 2  # lines taken with a line that has an anchor
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.\-_][^/]*)?$"
 
@@ -60,12 +63,22 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
      "without fee is hereby granted"),
+    (RESERVED, "All rights reserved."),
+    (RESERVED, "Copyright (c). All rights reserved. All rights reserved."),  # twice: names and years may come too
 )
-ANCHORS = (
-    "license", "licensed", "licenses", "licence", "licenced", "spdx", "permission", "redistribution",
-    "redistribute", "unencumbered", "copyright", "waived", "mpl", "mozilla", "gnu",
-)
-_ANCHOR = r"(?i)(?<![a-z0-9])(" + "|".join(ANCHORS) + r")(?![a-z0-9])"
+# Everyday words: 1 are anchors only where a template has too few others, 2 never.
+_EVERYDAY = {
+    **dict.fromkeys((
+        "any", "associated", "been", "code", "copy", "either", "file", "files", "following", "form", "forms",
+        "general", "if", "into", "january", "later", "law", "made", "may", "met", "obtain", "one", "only", "option",
+        "person", "possible", "program", "provided", "public", "purpose", "related", "released", "rights", "source",
+        "subject", "terms", "under", "use", "version", "without", "work", "your", "1.0", "2.0", "3.0", "4.0", "2004",
+    ), 1),
+    **dict.fromkeys((
+        "a", "all", "and", "are", "as", "at", "by", "c", "can", "for", "free", "from", "has", "in", "is", "it", "not", "of", "or",
+        "that", "the", "this", "to", "v", "was", "with", "you", "2", "3",
+    ), 2),
+}
 _NO_TERM = r"[^a-z0-9.]+"
 
 
@@ -92,6 +105,34 @@ def _weights() -> tuple[dict[str, float], float, list[dict[str, float]]]:
 IDF, IDF_ELSE, VECTORS = _weights()
 
 
+def anchors(threshold: float) -> tuple[str, ...]:
+    """Terms of which any text has one whose cosine to a template reaches the threshold.
+
+    By Cauchy and Schwarz the squared cosine is at most the sum of the squared weights that the template
+    has in the text's terms. So the weightiest terms are taken from each template, everyday words last,
+    until the others' squares sum to less than the squared threshold. Left out are only texts that share
+    nothing with a template but words of which all prose is made ('of the', 'to'): they name no licence.
+    """
+    taken: set[str] = set()
+    for vector in VECTORS:
+        left = sum(w * w for t, w in vector.items() if t not in taken)
+        open_ = [t for t in vector if t not in taken and _EVERYDAY.get(t) != 2]
+        for term in sorted(open_, key=lambda t: (_EVERYDAY.get(t, 0), -vector[t], t)):
+            if left < (threshold - 1e-6) ** 2:
+                break
+            taken.add(term)
+            left -= vector[term] ** 2
+    return tuple(sorted(taken))
+
+
+def _pattern(threshold: float) -> str:
+    return r"(?i)(?<![a-z0-9])(" + "|".join(map(re.escape, anchors(threshold))) + r")(?![a-z0-9])"
+
+
+ANCHORS = anchors(THRESHOLD)
+_ANCHOR = _pattern(THRESHOLD)
+
+
 def _table(spark: SparkSession) -> DataFrame:
     """A row per term of the templates: its idf, and its weight in each template. Fixed size."""
     rows = [
@@ -106,8 +147,27 @@ def _terms(text: Column) -> Column:
     return F.filter(F.transform(parts, lambda w: F.btrim(w, F.lit("."))), lambda w: w != "")
 
 
+def _reachable(text: Column, threshold: float) -> Column:
+    """False for texts whose cosine to every template is under the threshold, seen without counting terms.
+
+    The product with a template is at most the sum, over the text's words, of idf times the greatest weight
+    in any template; the squared norm is at least the sum of the words' squared idf.
+    """
+    top = {t: IDF[t] * max(v.get(t, 0.0) for v in VECTORS) for t in sorted(IDF)}
+    table = F.create_map(*[F.lit(x) for pair in top.items() for x in pair])
+    weights = F.transform(_terms(text), lambda w: F.coalesce(F.try_element_at(table, w), F.lit(0.0)))
+    least, most = F.lit(min(IDF.values()) ** 2), F.lit(IDF_ELSE**2)
+    # One walk over the words: each is looked up once.
+    return F.aggregate(
+        weights, F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2")),
+        lambda a, x: F.struct((a["dot"] + x).alias("dot"), (a["norm2"] + F.when(x > 0, least).otherwise(most)).alias("norm2")),
+        lambda a: a["dot"] * a["dot"] >= a["norm2"] * F.lit((threshold - 1e-6) ** 2),
+    )
+
+
 def _best(units: DataFrame) -> DataFrame:
-    """``file, unit, score, template``: the template with the greatest cosine, of ``file, unit, text``."""
+    """``file, unit, reserved, score, template``: the template with the greatest cosine, of ``file, unit, text``,
+    once of those that grant rights and once of those that reserve them."""
     spark = units.sparkSession
     counted = (
         units.select("file", "unit", F.explode(_terms(F.col("text"))).alias("term"))
@@ -123,10 +183,12 @@ def _best(units: DataFrame) -> DataFrame:
         .agg(F.sum(F.col("w") * F.col("t.weight")).alias("dot"))
     )
     score = F.round(F.col("dot") / F.col("norm"), 9)
+    reserved = F.col("template").isin([i for i, (name, _) in enumerate(TEMPLATES) if name == RESERVED])
     return (
         dots.join(norms, ["file", "unit"])
-        .groupBy("file", "unit").agg(F.max(F.struct(score.alias("score"), (-F.col("template")).alias("t"))).alias("b"))
-        .select("file", "unit", "b.score", (-F.col("b.t")).alias("template"))
+        .groupBy("file", "unit", reserved.alias("reserved"))
+        .agg(F.max(F.struct(score.alias("score"), (-F.col("template")).alias("t"))).alias("b"))
+        .select("file", "unit", "reserved", "b.score", (-F.col("b.t")).alias("template"))
     )
 
 
@@ -140,39 +202,41 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     ``found`` is 'header' for a licence in the text itself, 'inherited' for that of the nearest directory
     above (its own included) with a licence file, with that ``directory``; else all three are null. A licence
-    file is one named so, or one whose whole text reaches the threshold. Of equal scores the
+    file is one named so, or one whose whole text reaches the threshold. A notice that reserves all rights
+    (``RESERVED``) counts only where the text, or the directory's files, grant none; it keeps a file from
+    inheriting, and speaks for a directory only from a file named as licence file. Of equal scores the
     template listed first wins; of several licence files in a directory the best, then the first
     licence by name. ``file`` names a file: rows that share it are one, and return one row. A null text has no licence of its own, a null
     path inherits nothing. Other columns are not read.
     """
-    spark = files.sparkSession
+    spark, pattern = files.sparkSession, _pattern(threshold)
     licences = F.array(*[F.lit(name) for name, _ in TEMPLATES])
     named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     hits = stored(
-        files.where(F.col("text").rlike(_ANCHOR)).select("file", "path", "text", named.alias("named"))
+        files.where(F.col("text").rlike(pattern)).select("file", "path", "text", named.alias("named"))
         .dropDuplicates(["file"]), "anchored",
     )
     split = hits.select("file", F.split("text", "\n", -1).alias("lines"))
-    at = split.select("file", "lines", F.posexplode("lines").alias("i", "line")).where(F.col("line").rlike(_ANCHOR))
+    at = split.select("file", "lines", F.posexplode("lines").alias("i", "line")).where(F.col("line").rlike(pattern))
     first = F.greatest(F.col("i") - BEFORE, F.lit(0))
     around = F.concat_ws(" ", F.slice("lines", first + 1, F.col("i") + AFTER - first + 1))
     units = (
         at.select("file", F.concat_ws(":", F.lit("line"), "i").alias("unit"), F.col("line").alias("text"))
         .union(at.select("file", F.concat_ws(":", F.lit("around"), "i"), around))
         .union(hits.select("file", F.lit("whole"), "text"))
-    )
+    ).where(_reachable(F.col("text"), threshold))
     best = stored(_best(units).where(F.col("score") >= threshold), "scores")
     own = best.groupBy("file").agg(
-        F.max(F.struct("score", (-F.col("template")).alias("t"))).alias("b")
-    ).select("file", "b.score", F.element_at(licences, (1 - F.col("b.t")).cast("int")).alias("license"))
+        F.max(F.struct((~F.col("reserved")).alias("grants"), "score", (-F.col("template")).alias("t"))).alias("b")
+    ).select("file", "b.grants", "b.score", F.element_at(licences, (1 - F.col("b.t")).cast("int")).alias("license"))
 
     licence_files = own.join(
-        hits.where("named").select("file").union(best.where("unit = 'whole'").select("file")).distinct(), "file"
+        hits.where("named").select("file").union(best.where("unit = 'whole' AND NOT reserved").select("file")).distinct(), "file"
     ).join(hits.select("file", "path"), "file").where("path IS NOT NULL")
     of_directory = stored(
-        licence_files.select(parent(F.col("path")).alias("directory"), "score", "license")
+        licence_files.select(parent(F.col("path")).alias("directory"), "grants", "score", "license")
         .groupBy("directory").agg(
-            F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")
+            F.min(F.struct((~F.col("grants")).alias("r"), (-F.col("score")).alias("s"), "license")).alias("b")
         ).select("directory", F.col("b.license").alias("given")), "directories",
     )
     placed = files.select("file", "path").dropDuplicates(["file"]).select("file", "path", parent(F.col("path")).alias("dir"))

@@ -77,6 +77,49 @@ def test_nearest_directory_gives_its_licence(spark):
     }
 
 
+def test_reserved_rights(spark):
+    mit, reserved = "Released under the MIT License.", "All rights reserved."
+    files = [
+        ("root", "LICENSE", mit), ("plain", "a/one.txt", f"{prose(1, 80)}\n{reserved}\n{prose(2, 90)}"),
+        ("named", "a/two.txt", "Copyright (c) 2020 Acme Corp. All rights reserved."), ("beside", "a/three.txt", "code"),
+        ("both", "a/four.txt", f"{reserved}\n{prose(3, 50)}\n{prose(4, 50)}\n{prose(5, 50)}\n# {mit} Details inside."),
+        ("closed", "b/LICENSE", reserved), ("below", "b/c/x.py", "code"),
+        ("grant", "d/COPYING", "# " + mit + " See inside."), ("notice", "d/NOTICE", reserved), ("mixed", "d/x.py", "code"),
+    ]
+    got = {k: (r.license, r.found, r.directory) for k, r in scan(spark, files).items()}
+    none = L.RESERVED
+    assert got == {
+        "root": ("MIT", "header", None), "plain": (none, "header", None), "named": (none, "header", None),
+        "beside": ("MIT", "inherited", ""), "both": ("MIT", "header", None), "closed": (none, "header", None),
+        "below": (none, "inherited", "b"), "grant": ("MIT", "header", None), "notice": (none, "header", None),
+        "mixed": ("MIT", "inherited", "d"),
+    }
+
+
+def test_short_notices(spark):
+    notices = {"CC BY 4.0": "CC-BY-4.0", "GPL-3.0": "GPL-3.0", "Apache 2.0": "Apache-2.0", "CC BY-SA 4.0": "CC-BY-SA-4.0"}
+    got = scan(spark, [(n, f"{i}/f", f"{prose(i, 40)}\n{n}\n{prose(9 + i, 40)}") for i, n in enumerate(notices)])
+    assert {n: r.license for n, r in got.items()} == notices
+
+
+def test_what_reaches_the_threshold_is_never_left_out(spark):
+    from pyspark.sql import functions as F
+
+    texts = [text for _, text in L.TEMPLATES] + [f"{text} {prose(i, n)}" for i, (_, text) in enumerate(L.TEMPLATES)
+                                                 for n in (2, 5, 9, 20)]
+    texts += [" ".join(text.split()[:n]) for _, text in L.TEMPLATES for n in (1, 2, 3, 6)] + [prose(77, 200) + " mit"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    kept = {r.text for r in rows.where(L._reachable(F.col("text"), L.THRESHOLD)).collect()}
+    assert {t for t in texts if cosine(t)[0] >= L.THRESHOLD} <= kept and texts[-1] not in kept
+
+
+def test_no_anchor_no_licence():
+    """What a template has besides the anchors cannot reach the threshold, but for words of all prose."""
+    for vector in L.VECTORS:
+        rest = sum(w * w for t, w in vector.items() if t not in L.ANCHORS and L._EVERYDAY.get(t) != 2)
+        assert rest < L.THRESHOLD ** 2
+
+
 def test_odd_rows(odd_docs, spark, with_clashes):
     assert L.scan_documents(with_clashes(odd_docs)).count() == odd_docs.count()
     files = [("a", None, "Released under the MIT License."), ("b", None, None), ("b", None, None), ("c", "", "x")]
