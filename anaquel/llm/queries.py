@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import decontaminate, fingerprints, htmltext, licenses, linededup, mixing, neardup, substrings, toxicity, warc
+from anaquel.llm import (
+    decontaminate,
+    fingerprints,
+    htmltext,
+    importance,
+    licenses,
+    linededup,
+    mixing,
+    neardup,
+    repair,
+    simhash,
+    substrings,
+    toxicity,
+    warc,
+)
 from anaquel.llm.common import documents, pages
 
 
@@ -68,6 +82,24 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints_of_edits(documents(spark, sf_dir)).drop("only_text", "only_edited")
 
 
+def op11_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).withColumn(
+        "fingerprint", simhash.hexadecimal("fingerprint")
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return importance.resampled(documents(spark, sf_dir), benchmark).select(
+        "doc_id", "n_features", "weight", "score", "rank"
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return repair.repair(damaged, F.col("present"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_neardup": op2_minhash_neardup,
@@ -79,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_fingerprints": op10_fingerprints,
+    "op11_simhash_neardup": op11_simhash_neardup,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL: dict[str, str] = {
