@@ -1,0 +1,119 @@
+"""Importance resampling against a plain Python version, and its corner cases."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections import Counter
+from zlib import crc32
+
+import pytest
+
+from anaquel.llm import importance, queries
+from tests.llm.conftest import prose
+
+
+def features(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    return words, words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def brute(rows, target, percent=25, min_words=20, buckets=10_000, seed=7):
+    def counts(texts):
+        return Counter(crc32(f.encode()) % buckets for t in texts for f in features(t)[1])
+
+    s, t = counts(x for _, x in rows), counts(target)
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets))))
+        for b in range(buckets)
+    ]
+    out = []
+    for doc_id, text in rows:
+        words, found = features(text)
+        weight = sum(gain[crc32(f.encode()) % buckets] for f in found) // len(found) if found else 0
+        name = f"{seed}:{'null' if doc_id is None else doc_id}"
+        h = int(hashlib.sha256(name.encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc_id, len(found), weight, score, None, len(words)])
+    pool = sorted((r for r in out if r[5] >= min_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for i, row in enumerate(pool[:percent * len(pool) // 100]):
+        row[4] = i + 1
+    return sorted((tuple(r[:5]) for r in out), key=repr)
+
+
+def ours(docs, target, **options):
+    got = importance.resampled(docs, target, **options)
+    return sorted(map(tuple, got.select("doc_id", "n_features", "weight", "score", "rank").collect()), key=repr)
+
+
+@pytest.fixture
+def target(spark):
+    return spark.createDataFrame([(1, prose(3, 50)), (2, prose(4, 30)), (3, None)], "item_id long, text string")
+
+
+def texts_of(target):
+    return [r.text for r in target.collect()]
+
+
+@pytest.mark.parametrize("percent", [0, 25, 60, 100])
+def test_matches_brute_force(docs_of, target, percent):
+    rows = [(i * 7 % 300, prose(i % 40, 15 + i % 30).title() + ("." if i % 2 else " 42")) for i in range(300)]
+    assert ours(docs_of(rows), target, percent=percent) == brute(rows, texts_of(target), percent)
+
+
+def test_many_rounds_of_few_pivots(docs_of, target, monkeypatch):
+    rows = [(i, prose(i, 22)) for i in range(150)]
+    monkeypatch.setattr(importance, "kth_key", lambda pool, k, f=importance.kth_key: f(pool, k, pivots=2))
+    assert ours(docs_of(rows), target) == brute(rows, texts_of(target))
+
+
+def test_copies_of_a_row_share_the_last_places(docs_of, target, monkeypatch):
+    """Half the rows are one document; the limit falls among its copies."""
+    monkeypatch.setattr(importance, "COPIES", 3)
+    rows = [(5, prose(1, 25))] * 40 + [(10 + i, prose(i, 25)) for i in range(40)]
+    for percent in (1, 30, 50, 70):
+        expected = brute(rows, texts_of(target), percent)
+        assert ours(docs_of(rows), target, percent=percent) == expected
+        drawn = importance.draw(docs_of(rows), target, percent=percent)
+        assert drawn.columns == docs_of(rows).columns
+        assert sorted(r.doc_id for r in drawn.collect()) == sorted(r[0] for r in expected if r[4])
+
+
+def test_odd_rows(odd_docs, target, with_clashes):
+    rows = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
+    got = ours(with_clashes(odd_docs), target, percent=60)
+    expected = brute(rows, texts_of(target), 60)
+    # One doc_id with two texts: their order among equal scores is by hash.
+    assert [r[:4] for r in got] == [r[:4] for r in expected]
+    assert sorted(r[4] or 0 for r in got) == sorted(r[4] or 0 for r in expected)
+    assert importance.draw(with_clashes(odd_docs), target, percent=60).count() == sum(r[4] is not None for r in got)
+
+
+def test_empty_tables(docs_of, target):
+    none = docs_of([(1, "a")]).limit(0)
+    assert ours(none, target) == []
+    rows = [(i, prose(i, 25)) for i in range(8)]
+    assert ours(docs_of(rows), none) == brute(rows, [])
+
+
+@pytest.mark.parametrize("piece", [1, 13, 100])
+def test_pieces_do_not_matter(piece, monkeypatch):
+    text = "é-Ü, " + prose(7, 200) + "--x\x00y 漢字 "
+    monkeypatch.setattr(importance, "PIECE", piece)
+    got = list(importance.feature_buckets(text.encode()))
+    words, found = features(text)
+    assert sum(n for n, _ in got) == len(words)
+    assert Counter(int(b) for _, a in got for b in a) == Counter(crc32(f.encode()) % 10_000 for f in found)
+
+
+def test_query_over_whole_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    target = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    got = queries.QUERIES["op12_importance_resampling"](spark, sf)
+    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert {t for _, t in got.dtypes} == {"bigint"}
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, target)

@@ -1,0 +1,181 @@
+"""Conversation repair against a search over whole strings, and its corner cases."""
+
+from __future__ import annotations
+
+import heapq
+import random
+import re
+from collections import defaultdict
+from hashlib import sha256
+from zlib import crc32
+
+import pytest
+from pyspark.sql import functions as F
+
+from anaquel.llm import queries, repair
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+SOLID = re.compile(r"[^\x20\x09-\x0D]")
+
+
+def damaged(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        code = crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if code == 1 else re.sub("[.!?]", "", text) if code == 2 else text
+        row = (conv, turn, "user" if code == 4 else role, text)
+        out += [row] * (0 if code == 0 else 2 if code == 3 else 1)
+    return out
+
+
+def cheapest(rows):
+    """Best (cost, edits, roles and texts) by a search over whole edit strings: rows are (role, text, fault)."""
+    after = {"": ("s", "u"), "s": ("u",), "u": ("a",), "a": ("u",)}
+    names = {"u": "user", "a": "assistant"}
+    heap, seen = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, state, done = heapq.heappop(heap)
+        if i == len(rows) and state in ("", "a"):
+            return cost, audit, done
+        if (i, state) in seen:
+            continue
+        seen.add((i, state))
+        for role in after[state]:
+            if role in names:
+                heapq.heappush(heap, (cost + 2, audit + "I", i, role, (*done, f"{names[role]}:")))
+        if i == len(rows):
+            continue
+        role, text, fault = rows[i]
+        heapq.heappush(heap, (cost + 3, audit + "D", i + 1, state, done))
+        if fault in ("blank", "duplicate"):
+            continue
+        more = fault == "truncated"
+        for to in after[state]:
+            if role[:1] == to:
+                heapq.heappush(heap, (cost + more, audit + "K", i + 1, to, (*done, f"{role}:{text}")))
+            if to in names:
+                heapq.heappush(heap, (cost + 2 + more, audit + "R", i + 1, to, (*done, f"{names[to]}:{text}")))
+    raise AssertionError
+
+
+def brute(rows, ids=None):
+    convs = defaultdict(list)
+    for conv, *turn in rows:
+        convs[conv].append(tuple(turn))
+    out = []
+    for conv in convs.keys() | (ids or set()):
+        turns = sorted(convs[conv], key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        seen, faults, parsed = set(), {"blank": 0, "duplicate": 0, "truncated": 0}, []
+        for _, role, text in turns:
+            solid = SOLID.findall(text)
+            fault = "blank" if not solid else "duplicate" if (role, text) in seen else (
+                "truncated" if solid[-1] not in ".!?" else None)
+            seen.add((role, text))
+            if fault:
+                faults[fault] += 1
+            parsed.append((role, text, fault))
+        numbers = {t[0] for t in turns} - {None}
+        gaps = max(numbers) - min(numbers) + 1 - len(numbers) if numbers else 0
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+        cost, audit, done = cheapest(parsed)
+        digest = sha256("\n".join(done).encode()).hexdigest()
+        out.append((conv, gaps, *faults.values(), illegal, cost, audit, digest))
+    return sorted(out, key=repr)
+
+
+def ours(spark, rows):
+    return sorted(map(tuple, repair.repair(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
+
+
+def random_conversations(seed, n, longest):
+    rng = random.Random(seed)
+    for conv in range(n):
+        for _ in range(rng.randint(1, longest)):
+            yield (
+                conv, rng.choice([None, *range(longest)]),
+                rng.choice(["user", "assistant", "system", "user", "assistant", "tool", "", "umpire"]),
+                rng.choice(["a.", "b!", "c?  ", "d", "", " \t", "e. f", *(f"{i}." for i in range(20))]),
+            )
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_matches_brute_force(spark, seed):
+    rows = list(random_conversations(seed, 120, 14))
+    assert ours(spark, rows) == brute(rows)
+
+
+def test_long_runs_of_one_role(spark):
+    """Ties that stay open for long."""
+    rows = [(c, t, role, f"{t}.") for c, role in enumerate(["user", "assistant", "system", "x"]) for t in range(70 + c)]
+    rows += [(9, t, "system" if t < 30 else "user" if t % 3 else "assistant", f"{t}" + "." * (t % 2)) for t in range(90)]
+    assert ours(spark, rows) == brute(rows)
+
+
+def test_edits_give_the_repaired_conversation(spark):
+    rows = list(random_conversations(9, 60, 10))
+    edits = defaultdict(list)
+    for r in repair.repaired_turns(spark.createDataFrame(rows, SCHEMA)).orderBy("conv_id", "position").collect():
+        edits[r.conv_id].append(r)
+    for conv, *_, audit, digest in brute(rows):
+        mine = edits[conv]
+        assert [r.position for r in mine] == list(range(len(audit)))
+        assert "".join(r.edit for r in mine) == audit
+        kept = [f"{r.role}:{r.text}" for r in mine if r.edit != "D"]
+        assert sha256("\n".join(kept).encode()).hexdigest() == digest
+        assert re.fullmatch("(s?(ua)+)?", "".join(k[:1] for k in kept))
+        assert all(r.turn is None for r in mine if r.edit == "I")
+
+
+def test_memory_holds_the_undecided_end_only():
+    rng = random.Random(2)
+    search, most, out = repair.Survivors(lambda *edit: out.append(edit)), 0, []
+    for n in range(20_000):
+        role = rng.choice(["user", "assistant", "assistant", "user", "system"])
+        search.push((n, role, f"{n}."), rng.random() < 0.1, rng.random() < 0.2)
+        most = max(most, search.undecided())
+    assert most < 200
+    open_turns = search.undecided()
+    assert sum(e[0] in "DKR" for e in out) == 20_000 - open_turns
+    search.finish()
+    assert sum(e[0] in "DKR" for e in out) == 20_000
+
+
+def test_nulls_and_odd_rows(spark, with_clashes):
+    rows = [
+        (1, None, None, None), (1, 0, "user", None), (None, 1, "user", "a."), (None, None, "assistant", "b."),
+        (2, 0, "user", "x" * 300_000 + "."), (2, 1, "assistant", "é漢字🎉!"), (3, 0, "", "."), (4, 5, "user", " "),
+        (5, 0, "user", "a."), (5, 0, "user", "a."), (5, 0, "assistant", "b."), (5, 0, "assistant", "b."),
+    ]
+    filled = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+    got = repair.repair(with_clashes(spark.createDataFrame(rows, SCHEMA)))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(filled)
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert repair.repair(none).collect() == []
+    assert repair.repaired_turns(none).collect() == []
+
+
+def test_damage(spark):
+    rows = [(c, t, ["system", "user", "assistant"][t % 3], f"T{t}. Is it? Yes!") for c in range(40) for t in range(9)]
+    rows += [(None, 3, None, None), (50, None, "user", "a.")]
+    got = repair.damage(spark.createDataFrame(rows, SCHEMA)).where("present").drop("present")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(damaged(rows), key=repr)
+
+
+def test_conversation_that_loses_all_rows(spark):
+    rows = [(c, 0, "user", "a.") for c in range(60)]
+    got = repair.damage(spark.createDataFrame(rows, SCHEMA))
+    out = sorted(map(tuple, repair.repair(got, F.col("present")).collect()), key=repr)
+    assert out == brute(damaged(rows), {r[0] for r in rows})
+    assert any(r[1:] == (0, 0, 0, 0, 0, 0, "", sha256(b"").hexdigest()) for r in out)
+
+
+def test_query_over_whole_table(spark):
+    sf = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = [tuple(r) for r in table.collect()]
+    got = queries.QUERIES["op13_conversation_repair"](spark, sf)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(damaged(rows), {r[0] for r in rows})
