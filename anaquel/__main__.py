@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from anaquel.plans import pipeline
 from anaquel.session import clear_scratch, configure
-from anaquel.sources import readers, writers
+from anaquel.sources import readers, snapshots, writers
 from anaquel.streaming import ingest
 
 
@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> None:
         if name in ("cycle", "impact"):
             command.add_argument("--out", required=True)
             command.add_argument("--stream-format", choices=("parquet", "csv"), default="parquet")
+        if name == "cycle":
+            command.add_argument("--keep", type=int, default=3, metavar="N", help="versions to keep for readers")
     stream = commands.add_parser("ingest")
     stream.add_argument("--servers", required=True)
     stream.add_argument("--topic", default="ventas")
@@ -41,6 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "cycle":
         inputs = pipeline.read_bronze(spark, args.bronze, args.stream_format)
         pipeline.run_cycle(spark, inputs, args.out)
+        snapshots.expire(spark, args.out, args.keep)
     elif args.command == "seasonality":
         pipeline.refresh_seasonality(spark, args.bronze)
     elif args.command == "accept":

@@ -7,6 +7,8 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anaquel.session import stage
+
 # Every executor holds a broadcast side in memory next to its tasks; a few of this size are safe.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
@@ -46,12 +48,13 @@ def lookup(
     A dimension within ``max_bytes`` is broadcast and the fact does not move. A larger one is
     joined by shuffle. There adaptive execution splits a partition that one key fills, by the map tasks
     its rows come from, so copies of one and the same row are spread as well (a salt made from the row
-    would send them all one way), and no other key pays for it.
+    would send them all one way), and no other key pays for it. It does so only if both sides come straight from a
+    shuffle of the join's own, which a dimension that is an aggregate by the key does not: so it is stored first.
     """
     side = dim.select(*on, *columns)
     if fits(dim, max_bytes):
         return fact.join(F.broadcast(side), on, how)
-    return fact.join(side.hint("merge"), on, how)
+    return fact.join(stage(side, "dimension").hint("merge"), on, how)
 
 
 def with_calendar(df: DataFrame, calendar: DataFrame, columns: list[str]) -> DataFrame:

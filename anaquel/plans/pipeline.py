@@ -1,8 +1,9 @@
 """The full batch cycle: bronze inputs to gold tables, model, KPIs and export.
 
-A cycle recomputes everything from its inputs and overwrites its outputs, so running it again gives
-the same tables. Five tables are stored on the way and read back; each later step starts from files,
-not from the whole lineage. An outside schedule calls the cycle.
+A cycle recomputes everything from its inputs, so running it again gives the same tables. It writes a
+version of its own and publishes it at its end: readers of earlier versions go on, and a cycle that dies changes
+nothing (``anaquel.sources.snapshots``). Five tables are stored on the way and read back; each later step
+starts from files, not from the whole lineage. An outside schedule calls the cycle.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from anaquel.operators import (
 from anaquel import schemas
 from anaquel.session import configure, series_partitions, size_series, stage
 from anaquel.settings import Params
-from anaquel.sources import readers, writers
+from anaquel.sources import readers, snapshots, writers
 from anaquel.sources.literals import local_frame
 
 
@@ -64,19 +65,22 @@ def run_cycle(
     params: Params = Params(),
     as_of: Column | None = None,
 ) -> dict[str, DataFrame]:
-    """Build and store every table below ``out``; return readers of them by table name."""
+    """Build and store every table as a new version below ``out``; return readers of them by table name.
+
+    The version also holds the model (``modelo``, if there is one) and the export (``alertas``). Readers of
+    other sessions open it with ``snapshots.latest``.
+    """
     configure(spark)
     now = F.current_timestamp() if as_of is None else as_of
+    draft = snapshots.begin(spark, out)
     tables: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame, layer: str = "oro") -> DataFrame:
-        tables[name] = writers.materialise(df, f"{out}/{layer}/{name}")
+        tables[name] = draft.save(name, df, layer)
         return tables[name]
 
     def keep_by_series(name: str, df: DataFrame, layer: str = "oro") -> DataFrame:
-        tables[name] = writers.materialise_by_series(
-            df, f"{out}/{layer}/{name}", series_partitions(spark)
-        )
+        tables[name] = draft.save_by_series(name, df, series_partitions(spark), layer)
         return tables[name]
 
     # Silver. The raw texts are parsed once: all else reads columns of the reviewed rows.
@@ -123,15 +127,14 @@ def run_cycle(
         "variables", features.feature_rows(fact, products, stores, params), "plata"
     )
     trained = model.train(rows, params)
-    if trained is None:  # nothing of an earlier cycle's model may pass for this cycle's
+    if trained is None:  # the version has no model then, whatever earlier ones had
         keep("metricas_modelo", local_frame(spark, [], schemas.METRICAS))
         keep("importancia", local_frame(spark, [], schemas.IMPORTANCIA))
-        writers.remove(spark, f"{out}/modelo")
         probability = keep("probabilidad", model.no_probability(spark))
     else:
         keep("metricas_modelo", trained.metrics)
         keep("importancia", trained.importance)
-        writers.save_model(trained.model, f"{out}/modelo")
+        writers.save_model(trained.model, draft.path("modelo", "modelo"))
         probability = keep(
             "probabilidad", model.score(trained.model, rows, star.last_date(calendar))
         )
@@ -139,11 +142,12 @@ def run_cycle(
     # Risk, KPIs, export
     situation = risk.current_situation(fact, calendar, stores, products, params)
     alerts = risk.alerts(situation, horizon, probability, params)
-    tables["hecho_riesgo"] = writers.save_partitioned(
-        risk.risk_fact(alerts, products), f"{out}/oro/hecho_riesgo"
+    tables["hecho_riesgo"] = draft.save_partitioned(
+        "hecho_riesgo", risk.risk_fact(alerts, products), "horizonte"
     )
     keep("kpis", serving.kpis(calendar, quality, tables["hecho_riesgo"], fact, sales, now))
-    writers.export_csv(serving.open_alerts(tables["hecho_riesgo"]), f"{out}/salida/alertas")
+    writers.export_csv(serving.open_alerts(tables["hecho_riesgo"]), draft.path("alertas", "salida"))
+    draft.commit()
     return tables
 
 

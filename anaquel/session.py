@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,14 +77,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
 
 
+_cleared: Counter[str] = Counter()
+
+
+def scratch_generation(spark: SparkSession) -> int:
+    """How often the scratch space has been cleared: frames of an earlier generation can't be read."""
+    return _cleared[spark.sparkContext.applicationId]
+
+
 def _scratch_root(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/anaquel/{spark.sparkContext.applicationId}"
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/anaquel/{app}/{scratch_generation(spark)}"
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Remove this application's scratch tables; call it when no frame that reads them is used any more."""
+    """Remove this application's scratch tables; what keeps frames of them asks ``scratch_generation``."""
     root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    _cleared[spark.sparkContext.applicationId] += 1
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

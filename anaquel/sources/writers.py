@@ -29,7 +29,7 @@ def materialise_by_series(df: DataFrame, path: str, buckets: int) -> DataFrame:
     shuffle. Buckets need a catalog entry; it is named after the path and only points to the files.
     """
     spark = df.sparkSession
-    name = "anaquel_" + sha1(path.encode()).hexdigest()
+    name = series_table(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     (
         df.write.mode("overwrite")
@@ -41,6 +41,11 @@ def materialise_by_series(df: DataFrame, path: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+def series_table(path: str) -> str:
+    """The catalog name of a table by series."""
+    return "anaquel_" + sha1(path.encode()).hexdigest()
+
+
 def save_partitioned(df: DataFrame, path: str, column: str = "horizonte") -> DataFrame:
     """Overwrite a Parquet table with one folder per value of ``column``; return its reader."""
     df.write.mode("overwrite").partitionBy(column).parquet(path)

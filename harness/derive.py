@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from anaquel import schemas
 from anaquel.functions.numeric import rnd
 from anaquel.operators import features, forecast, model, risk, season, silver, star
-from anaquel.session import configure, size_series, stage, stage_by_series
+from anaquel.session import configure, scratch_generation, size_series, stage, stage_by_series
 from anaquel.settings import SERIE, SERIE_DIA
 from anaquel.sources import readers
 
@@ -283,12 +283,12 @@ class Domain:
         return risk.risk_fact(risk.alerts(self.situation, self.horizon, chance), self.products)
 
 
-_domains: dict[tuple[str, str], Domain] = {}
+_domains: dict[tuple[str, int, str], Domain] = {}
 
 
 def domain(spark: SparkSession, sf_dir: str) -> Domain:
-    """The domain of one folder in one Spark application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The domain of one folder in one Spark application, as long as its stored frames are there."""
+    key = (spark.sparkContext.applicationId, scratch_generation(spark), sf_dir)
     if key not in _domains:
         _domains[key] = Domain(spark, sf_dir)
     return _domains[key]

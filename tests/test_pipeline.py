@@ -14,7 +14,7 @@ from anaquel import schemas
 from anaquel.operators import model
 from anaquel.plans import pipeline
 from anaquel.settings import Params
-from anaquel.sources import readers
+from anaquel.sources import readers, snapshots
 from tests.conftest import CATALOG_ROWS, day, moment, rows
 
 DAYS = 40
@@ -72,7 +72,7 @@ def content(tables):
 
 @pytest.fixture(scope="module")
 def first(spark, bronze, out):
-    """What the first cycle wrote, as plain rows: the second one overwrites the files."""
+    """What the first cycle wrote, as plain rows."""
     return content(cycle(spark, bronze, out))
 
 
@@ -129,10 +129,11 @@ def test_second_cycle_gives_the_same_tables(first, tables):
 
 
 def test_export_and_model_are_saved(spark, out, tables):
-    exported = spark.read.csv(f"{out}/salida/alertas", header=True)
+    version = snapshots.at(spark, out, 2)
+    exported = spark.read.csv(version.path("alertas"), header=True)
     expected = tables["hecho_riesgo"].where("horizonte = 7 AND nivel <> 'OK'").count()
     assert exported.count() == expected
-    loaded = PipelineModel.load(f"{out}/modelo")
+    loaded = PipelineModel.load(version.path("modelo"))
     scored = model.score(loaded, tables["variables"], F.lit(day(DAYS)))
     assert sorted(rows(scored)) == sorted(rows(tables["probabilidad"]))
 
@@ -152,7 +153,7 @@ def test_impact_report(spark, bronze):
 
 
 def test_cycle_without_stock_outs_has_no_model_and_no_stale_probability(spark, bronze, out, tables):
-    """Overwrites the folder of the tests above, so it comes last."""
+    before = content(tables)
     assert tables["probabilidad"].count() > 0
     inputs = pipeline.read_bronze(spark, bronze)
     calm = inputs.inventory_history.withColumn("quiebre", F.lit(False))
@@ -161,8 +162,10 @@ def test_cycle_without_stock_outs_has_no_model_and_no_stale_probability(spark, b
         pipeline.Inputs(**{**vars(inputs), "inventory_history": calm}),
         out, SMALL, F.lit(moment(DAYS, 12)),
     )
-    assert tables["metricas_modelo"].count() == 0 and tables["importancia"].count() == 0
+    assert got["metricas_modelo"].count() == 0 and got["importancia"].count() == 0
     assert got["probabilidad"].count() == 0
+    # The earlier cycle's frames still read their own version.
+    assert content(tables) == before
     assert got["hecho_riesgo"].where("probabilidad <> 0").count() == 0
 
 
@@ -180,13 +183,14 @@ def test_raw_texts_are_parsed_once(spark, bronze, tmp_path):
 def test_a_model_of_an_earlier_cycle_does_not_stay(spark, bronze, tmp_path):
     out = str(tmp_path)
     cycle(spark, bronze, out)
-    assert spark.read.parquet(f"{out}/oro/metricas_modelo").count() == 1
+    assert snapshots.latest(spark, out).table(spark, "metricas_modelo").count() == 1
     inputs = pipeline.read_bronze(spark, bronze)
     nothing = replace(inputs, inventory_history=inputs.inventory_history.withColumn("quiebre", F.lit(False)))
     pipeline.run_cycle(spark, nothing, out, SMALL, F.lit(moment(DAYS, 12)))
-    assert spark.read.parquet(f"{out}/oro/metricas_modelo").count() == 0
-    assert spark.read.parquet(f"{out}/oro/importancia").count() == 0
-    assert not (tmp_path / "modelo").exists()
+    version = snapshots.latest(spark, out)
+    assert version.table(spark, "metricas_modelo").count() == 0
+    assert version.table(spark, "importancia").count() == 0
+    assert "modelo" not in version.entries
 
 
 def test_inputs_leave_snapshots_and_manifest_rows(spark, bronze, tmp_path):
@@ -200,15 +204,37 @@ def test_inputs_leave_snapshots_and_manifest_rows(spark, bronze, tmp_path):
     }
 
 
-def test_scratch_is_cleared(spark):
+def test_a_cycle_that_dies_leaves_the_version_before(spark, bronze, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    before = content(cycle(spark, bronze, out))
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(pipeline.serving, "kpis", die)
+    with pytest.raises(KeyboardInterrupt):
+        cycle(spark, bronze, out)
+    assert snapshots.versions(spark, out) == [1]
+    assert content(snapshots.latest(spark, out).tables(spark)) == before
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    """In a folder of its own: other tests' frames are in the session's."""
+    from anaquel import session
     from anaquel.session import _scratch_root, clear_scratch, stage
+    from harness import derive
 
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    monkeypatch.setattr(session, "_cleared", session.Counter())
+    domain = derive.domain(spark, "/root/testdata/sf0.001")
     stage(spark.range(3), "algo")
     root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
     assert files.exists(root)
     clear_scratch(spark)
     assert not files.exists(root)
+    # What was cached over the cleared folder is not handed out again.
+    assert derive.domain(spark, "/root/testdata/sf0.001") is not domain
 
 
 def test_series_partitions_follow_the_cells(spark):
