@@ -61,16 +61,18 @@ def sales_daily(sales: DataFrame) -> DataFrame:
     )
 
 
-def series_grid(calendar: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
+def series_grid(
+    calendar: DataFrame, stores: DataFrame, products: DataFrame, days: Column | None = None
+) -> DataFrame:
     """Every day of every store and product, placed by (tienda_id, sku).
 
     The calendar has no gaps, so its first and last day stand for it: only one row per series is
-    shuffled, and its days are unfolded in place.
+    shuffled, and its days are unfolded in place. ``days`` is an array of some days instead of all.
     """
-    first = calendar.agg(F.min("fecha")).scalar()
-    last = calendar.agg(F.max("fecha")).scalar()
+    if days is None:
+        days = F.sequence(calendar.agg(F.min("fecha")).scalar(), calendar.agg(F.max("fecha")).scalar())
     placed = by_series(_all_series(stores, products))
-    return placed.select(*SERIE, F.explode(F.sequence(first, last)).alias("fecha"))
+    return placed.select(*SERIE, F.explode(days).alias("fecha"))
 
 
 def _all_series(stores: DataFrame, products: DataFrame) -> DataFrame:
@@ -100,6 +102,7 @@ def dense_fact(
     products: DataFrame,
     daily: DataFrame,
     inventory: DataFrame,
+    days: Column | None = None,
 ) -> DataFrame:
     """One row per day, store and product; days without sales or inventory count as 0 / false.
 
@@ -107,7 +110,7 @@ def dense_fact(
     cannot pile up on a hot key. ``silver.merge_inventory`` leaves the inventory placed already; later
     windows and aggregates by series reuse this placement.
     """
-    grid = series_grid(calendar, stores, products)
+    grid = series_grid(calendar, stores, products, days)
     return (
         grid.join(by_series(daily), SERIE_DIA, "left")
         .join(inventory, SERIE_DIA, "left")

@@ -26,30 +26,33 @@ def test_salted_lookup_equals_broadcast_lookup(spark, how):
 def test_copies_of_one_row_are_spread_over_tasks(spark):
     """A key that holds a third of all rows, all of them equal, does not end in one task."""
     conf = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
     }
     for key, value in conf.items():
         spark.conf.set(key, value)
     try:
         hot = F.col("id") % 3 == 0
-        fact = spark.range(0, 900_000, 1, 12).select(
+        fact = spark.range(0, 90_000, 1, 12).select(
             F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
             F.when(hot, F.lit("the same text in every copy of the row")).otherwise(F.col("id").cast("string")).alias("v"),
         )
         dim = fact.select("k").distinct().withColumn("x", F.lit(1))
         joined = joins.lookup(fact, dim, ["k"], ["x"], max_bytes=10)
-        placed = joined.select("k", F.spark_partition_id().alias("t"))
-        tasks = rows(placed.where("k = 'hot'").groupBy("t").count())
-        joined.collect()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
+        per_task = joined.groupBy(F.spark_partition_id().alias("t")).agg(
+            F.sum((F.col("k") == "hot").cast("int")).alias("n")
+        )
+        tasks = [r for r in rows(per_task) if r[1]]
+        plan = per_task._jdf.queryExecution().executedPlan().toString()
     finally:
         for key in conf:
             spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert "skew=true" in plan
-    assert sum(n for _, n in tasks) == 300_000
+    assert sum(n for _, n in tasks) == 30_000
     assert len(tasks) > 3
 
 
