@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +22,7 @@ from anaquel.operators.features import (
     split_summary,
     weighted,
 )
+from anaquel.operators.ranks import exact_auc
 from anaquel.session import series_partitions
 from anaquel.settings import SERIE, SERIE_DIA, VARIABLES, Params
 from anaquel.sources.literals import local_frame
@@ -102,17 +102,15 @@ def _fit(rows: DataFrame, params: Params) -> PipelineModel:
 def _metrics(scored: DataFrame, weight: float) -> DataFrame:
     """Quality of the scored test rows, which are kept for the two passes over them."""
     predictions = scored.select(
-        "etiqueta", "prediction", "rawPrediction", "dias_cobertura", "lead_time"
+        "etiqueta", "prediction", vector_to_array("probability").getItem(1).alias("p"), "dias_cobertura", "lead_time"
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        auc = BinaryClassificationEvaluator(
-            labelCol="etiqueta", metricName="areaUnderROC"
-        ).evaluate(predictions)
+        auc = exact_auc(predictions, F.col("p"), F.col("etiqueta")).first().auc
         row = (
             predictions.agg(
                 *confusion(F.col("prediction") == 1), *confusion(rule_warns(), "_regla")
             )
-            .select(rnd(F.lit(auc), 4).alias("auc"), "*", *hit_rates(), *hit_rates("_regla"))
+            .select(rnd(F.lit(auc).cast("double"), 4).alias("auc"), "*", *hit_rates(), *hit_rates("_regla"))
             .select(
                 "auc", "precision", "recall", "precision_regla", "recall_regla",
                 "vp", "fp", "fn", "vn",

@@ -155,23 +155,32 @@ def freshness_from_days(days: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def merge_inventory(history: DataFrame, live: DataFrame) -> DataFrame:
+def merge_inventory(history: DataFrame, live: DataFrame, placed: bool = False) -> DataFrame:
     """One inventory row per day, store and product; the live feed beats the history.
 
-    The union is placed by series, which also serves the rank by series and day and the dense fact above
-    it: the largest input of a cycle is shuffled once.
+    Both sides are placed by series and merged there, which also serves the dense fact above: the largest
+    input of a cycle is shuffled once. A history that is stored by series (``placed``) does not move at all: only
+    the live feed goes to its buckets. Rows without store, product or day match nothing.
     """
-    columns = [*SERIE_DIA, "stock", "en_camino", "quiebre"]
-    both = history.select(*columns, F.lit(1).alias("_prioridad")).unionByName(
-        live.select(*columns, F.lit(2).alias("_prioridad"))
+    values = ("stock", "en_camino", "quiebre")
+    past = _one_per_day(history if placed else _by_series(history))
+    fresh = _one_per_day(_by_series(live)).select(
+        *SERIE_DIA, F.struct(*values).alias("_viva")
     )
-    live_first = Window.partitionBy(*SERIE_DIA).orderBy(
-        F.desc("_prioridad"),
-        *(F.col(c).asc_nulls_first() for c in ("stock", "en_camino", "quiebre")),
-    )
-    return (
-        both.repartition(series_partitions(history.sparkSession), *SERIE)
-        .withColumn("_puesto", F.row_number().over(live_first))
-        .where("_puesto = 1")
-        .select("fecha", "tienda_id", "sku", "stock", "en_camino", "quiebre")
+    merged = past.join(fresh, SERIE_DIA, "full")
+    newest = (
+        F.when(F.col("_viva").isNotNull(), F.col(f"_viva.{c}")).otherwise(F.col(c)).alias(c) for c in values
     )
+    return merged.select("fecha", "tienda_id", "sku", *newest)
+
+
+def _by_series(df: DataFrame) -> DataFrame:
+    return df.repartition(series_partitions(df.sparkSession), *SERIE)
+
+
+def _one_per_day(df: DataFrame) -> DataFrame:
+    """Of the rows of a day and series the least; the window runs where the series is."""
+    values = ("stock", "en_camino", "quiebre")
+    least = Window.partitionBy(*SERIE_DIA).orderBy(*(F.col(c).asc_nulls_first() for c in values))
+    rows = df.select(*SERIE_DIA, *values)
+    return rows.withColumn("_puesto", F.row_number().over(least)).where("_puesto = 1").drop("_puesto")

@@ -117,9 +117,8 @@ class Draft:
         path = self.path(name, layer)
         folder = self.entries[name].path
         slot = F.coalesce(F.date_format("fecha", unit), F.lit("sin fecha"))
-        df.withColumn(_SLOT, slot).repartition(_SLOT, F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode(
-            "overwrite"
-        ).partitionBy(_SLOT).parquet(path)
+        # Rebalanced by period: small periods share a task, one that outgrows a task is split.
+        df.withColumn(_SLOT, slot).hint("rebalance", F.col(_SLOT)).write.mode("overwrite").partitionBy(_SLOT).parquet(path)
         kept: dict[str, str] = {}
         if periods is not None and self.base is not None and name in self.base.entries:
             kept = {p: f for p, f in (self.base.entries[name].periods or {}).items() if p not in set(periods)}

@@ -7,6 +7,7 @@ products, bad units and prices); they keep every row. ``harness.oracle`` states
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,10 +15,18 @@ from pyspark.sql import functions as F
 
 from anaquel import schemas
 from anaquel.functions.numeric import rnd
-from anaquel.operators import features, forecast, model, risk, season, silver, star
-from anaquel.session import configure, scratch_generation, size_series, stage, stage_by_series
+from anaquel.operators import features, forecast, model, risk, runs, season, silver, star, trees
+from anaquel.plans import incremental
+from anaquel.session import (
+    configure,
+    scratch_generation,
+    scratch_path,
+    size_series,
+    stage,
+    stage_by_series,
+)
 from anaquel.settings import SERIE, SERIE_DIA
-from anaquel.sources import readers
+from anaquel.sources import readers, snapshots
 
 AS_OF = "2001-12-01 00:00:00"
 
@@ -217,7 +226,42 @@ class Domain:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return silver.merge_inventory(self.inventory_history, self.inventory_live)
+        return silver.merge_inventory(self.inventory_history, self.inventory_live, placed=True)
+
+    @cached_property
+    def runs(self) -> DataFrame:
+        """The fact as runs, stored."""
+        return stage(
+            runs.fact_runs(self.calendar, self.stores, self.catalog, self.daily, self.inventory), "tramos"
+        )
+
+    @cached_property
+    def refreshed(self) -> snapshots.Version:
+        """Daily tables built from what landed until 30 days before the end, then refreshed with the rest.
+
+        One order in 331 lands late, whenever it was made: it changes days long past.
+        """
+        fixed = incremental.Fixed(self.catalog, self.stores, self.month_factor, self.weekday_factor)
+        feed = stage(self.landed, "flujo")
+        end = feed.agg(F.max("recibido")).first()[0]
+        cut = F.lit(end - dt.timedelta(days=30))
+        late = F.floor(F.col("offset_kafka") / 10) % 331 == 5
+        feed = feed.withColumn(
+            "recibido", F.when(late, F.greatest("recibido", cut + F.expr("INTERVAL 1 DAY"))).otherwise(F.col("recibido"))
+        )
+        inventory = stage(self.inventory, "inventario_unico")
+        out = scratch_path(self.spark, "diario")
+        incremental.build(self.spark, out, fixed, self.history, feed.where(F.col("recibido") <= cut), inventory)
+        return incremental.refresh(self.spark, out, fixed, feed)
+
+    @cached_property
+    def stumps(self) -> DataFrame:
+        """Trees of one split, from the training rows, stored."""
+        cut = features.split_summary(self.features).select("corte").scalar()
+        return stage(trees.stump_nodes(features.split(self.features, cut)[0]), "tocones")
+
+    def stump_scores(self, rows: DataFrame) -> DataFrame:
+        return trees.score_nodes(rows, self.stumps, trees.vector_of(), depth=1)
 
     @cached_property
     def fact_query(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from anaquel.settings import FACTOR_DIA, TIENDAS
+from anaquel.settings import FACTOR_DIA, TIENDAS, VARIABLES
 from harness.derive import AS_OF
 
 
@@ -143,10 +143,9 @@ CTES = {
         SELECT * REPLACE (stock + 1 AS stock, false AS quiebre) FROM existencias
         WHERE fecha = (SELECT d FROM ultimo)""",
     "inventario": """
-        SELECT fecha, tienda_id, sku, stock, en_camino, quiebre FROM existencias_hoy
-        UNION ALL
-        SELECT fecha, tienda_id, sku, stock, en_camino, quiebre
-        FROM existencias ANTI JOIN existencias_hoy USING (fecha, tienda_id, sku)""",
+        SELECT fecha, tienda_id, sku, coalesce(h.stock, e.stock) AS stock,
+               coalesce(h.en_camino, e.en_camino) AS en_camino, coalesce(h.quiebre, e.quiebre) AS quiebre
+        FROM existencias e FULL JOIN existencias_hoy h USING (fecha, tienda_id, sku)""",
     "hecho": """
         SELECT g.fecha, g.tienda_id, g.sku, coalesce(v.unidades, 0) AS unidades,
                coalesce(v.importe, 0) AS importe, coalesce(i.stock, 0) AS stock,
@@ -205,6 +204,20 @@ CTES = {
                CASE WHEN media_7 > 0 THEN least(stock / media_7, 999) ELSE 999 END AS dias_cobertura
         FROM ventanas v JOIN producto USING (sku) JOIN locales USING (tienda_id)""",
     "corte": "SELECT max(fecha) - 7 AS c FROM variables WHERE etiqueta IS NOT NULL",
+    "entrena": "SELECT * FROM variables WHERE etiqueta IS NOT NULL AND fecha <= (SELECT c FROM corte)",
+    "prueba": "SELECT * FROM variables WHERE etiqueta IS NOT NULL AND fecha > (SELECT c FROM corte)",
+    "medias": f"""SELECT {", ".join(rnd(f"avg({v})", 6) + f" AS {v}" for v in VARIABLES)} FROM entrena""",
+    "tocones": " UNION ALL ".join(
+        f"""SELECT {i}::INT AS arbol, any_value(m.{v}) AS umbral,
+            {rnd(f"coalesce(avg(etiqueta) FILTER (e.{v} <= m.{v}), avg(etiqueta))", 6)} AS p1,
+            {rnd(f"coalesce(avg(etiqueta) FILTER (NOT e.{v} <= m.{v}), avg(etiqueta))", 6)} AS p2
+            FROM entrena e, medias m""" for i, v in enumerate(VARIABLES)
+    ),
+    "puntuadas": f"""
+        SELECT fecha, tienda_id, sku, etiqueta, {rnd("(" + " + ".join(
+            f"(SELECT CASE WHEN v.{v} <= umbral THEN p1 ELSE p2 END FROM tocones WHERE arbol = {i})"
+            for i, v in enumerate(VARIABLES)) + f") / {len(VARIABLES)}", 6)} AS probabilidad
+        FROM variables v""",
     "regla": """
         SELECT count(*) FILTER (etiqueta = 1 AND dias_cobertura <= lead_time) AS vp_regla,
                count(*) FILTER (etiqueta = 0 AND dias_cobertura <= lead_time) AS fp_regla,
@@ -282,6 +295,16 @@ _LOADS = " UNION ALL ".join(
     for n, t in enumerate(TABLES)
 )
 
+def _auc(rows: str, score: str) -> str:
+    """Mean rank of the positives among all rows; equal scores share theirs."""
+    return f"""
+        SELECT {rnd("(sum(r) FILTER (y = 1) - p * (p + 1) / 2) / (p * n)", 6)} AS auc,
+               p AS positivos, n AS negativos
+        FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS r,
+                     count(*) FILTER (y = 1) OVER () AS p, count(*) FILTER (y = 0) OVER () AS n
+              FROM (SELECT {score} AS s, etiqueta AS y FROM {rows})) GROUP BY p, n"""
+
+
 QUERIES = {
     "scan_catalog": "SELECT * FROM catalogo",
     "scan_index_series": "SELECT * FROM indice",
@@ -316,6 +339,22 @@ QUERIES = {
     "dim_date": "SELECT * FROM tiempo",
     "sales_daily": "SELECT * FROM diarias",
     "fact_sales_dense": "SELECT * FROM hecho",
+    "fact_runs": """
+        SELECT tienda_id, sku, min(fecha) AS desde, max(fecha) AS hasta, unidades, importe, stock, en_camino, quiebre
+        FROM (SELECT *, sum(nuevo) OVER (PARTITION BY tienda_id, sku ORDER BY fecha) AS g
+              FROM (SELECT *, CASE WHEN (unidades, importe, stock, en_camino, quiebre)
+                                        IS NOT DISTINCT FROM lag((unidades, importe, stock, en_camino, quiebre))
+                                        OVER (PARTITION BY tienda_id, sku ORDER BY fecha) THEN 0 ELSE 1 END AS nuevo
+                    FROM hecho))
+        GROUP BY tienda_id, sku, g, unidades, importe, stock, en_camino, quiebre""",
+    "fact_from_runs": "SELECT * FROM hecho",
+    "dispersion_from_runs": f"""
+        SELECT tienda_id, sku, {rnd('stddev_samp(unidades)', 6)} AS desviacion FROM hecho GROUP BY ALL""",
+    "trailing_from_runs": f"""
+        SELECT tienda_id, sku, {rnd('media_7', 6)} AS media_7, {rnd('media_28', 6)} AS media_28
+        FROM ventanas WHERE fecha = (SELECT d FROM ultimo)""",
+    "refreshed_sales": "SELECT * FROM diarias",
+    "refreshed_forecast": "SELECT * FROM diario",
     "fact_reconciliation": """
         SELECT CASE WHEN fecha IS NULL THEN 'sin fecha'
                     WHEN tienda_id NOT IN (SELECT tienda_id FROM locales) THEN 'tienda desconocida'
@@ -345,6 +384,10 @@ QUERIES = {
         SELECT * REPLACE ({rnd('media_7', 6)} AS media_7, {rnd('media_28', 6)} AS media_28,
                           {rnd('desv_14', 6)} AS desv_14,
                           {rnd('dias_cobertura', 6)} AS dias_cobertura) FROM variables""",
+    "refreshed_features": f"""
+        SELECT * REPLACE ({rnd('media_7', 6)} AS media_7, {rnd('media_28', 6)} AS media_28,
+                          {rnd('desv_14', 6)} AS desv_14,
+                          {rnd('dias_cobertura', 6)} AS dias_cobertura) FROM variables""",
     "labels_next7": "SELECT fecha, tienda_id, sku, etiqueta FROM variables",
     "split_counts": """
         SELECT c AS corte, count(*) FILTER (fecha <= c) AS entrenamiento,
@@ -355,6 +398,18 @@ QUERIES = {
                {rnd('CASE WHEN p > 0 AND p < t THEN (t - p) / p END', 6)} AS peso_positivos
         FROM (SELECT count(*) AS t, count(*) FILTER (etiqueta = 1) AS p
               FROM variables, corte WHERE etiqueta IS NOT NULL AND fecha <= c)""",
+    "rule_auc": _auc("prueba", "lead_time - dias_cobertura"),
+    "stump_nodes": """
+        SELECT arbol, 0::INT AS nodo, arbol AS variable, umbral, 1::INT AS izquierda, 2::INT AS derecha,
+               NULL::DOUBLE AS p FROM tocones
+        UNION ALL
+        SELECT arbol, hoja, NULL, NULL, NULL, NULL, CASE hoja WHEN 1 THEN p1 ELSE p2 END
+        FROM tocones, (SELECT unnest([1::INT, 2::INT]) AS hoja)""",
+    "stump_probability": """
+        SELECT fecha, tienda_id, sku, probabilidad FROM puntuadas WHERE fecha = (SELECT d FROM ultimo)""",
+    "stump_auc": _auc(
+        "puntuadas", "probabilidad"
+    ).replace("FROM puntuadas)", "FROM puntuadas WHERE etiqueta IS NOT NULL AND fecha > (SELECT c FROM corte))"),
     "rule_baseline": f"""
         SELECT *, coalesce({rnd('vp_regla / nullif(vp_regla + fp_regla, 0)', 4)}, 0) AS precision_regla,
                coalesce({rnd('vp_regla / nullif(vp_regla + fn_regla, 0)', 4)}, 0) AS recall_regla

@@ -8,7 +8,8 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from anaquel.operators import star
+from anaquel.operators import silver, star
+from anaquel.session import stage
 from harness.derive import domain
 
 SF_DIR = contract.SMOKE_DIR
@@ -65,7 +66,7 @@ def test_dense_fact_shuffles_series_not_cells(spark):
     grid = next(i for i, line in enumerate(lines) if "Generate" in line and "[fecha" in line)
     above = [line for line in lines[:grid] if "Exchange" in line]
     assert above == []
-    assert plan.count("SortMergeJoin") == 2
+    assert plan.count("SortMergeJoin") == 3  # daily totals, inventory, and the live feed under it
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -90,20 +91,18 @@ def test_short_list_is_unfolded_whichever_side_it_is(spark, monkeypatch):
     assert sorted(map(tuple, star._all_series(d.stores, d.catalog).collect())) == expected
 
 
-def test_inventory_is_shuffled_once(spark):
+def test_stored_inventory_does_not_move(spark):
+    """The live feed goes to the history's buckets; nothing is exchanged above the history's scan."""
     d = domain(spark, SF_DIR)
+    live = stage(d.inventory_live, "viva")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(star.dense_fact(d.calendar, d.stores, d.catalog, d.daily, d.inventory))
+        inventory = silver.merge_inventory(d.inventory_history, live, placed=True)
+        plan = plan_of(inventory)
+        fact = plan_of(star.dense_fact(d.calendar, d.stores, d.catalog, d.daily, inventory))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    lines = plan.splitlines()
-    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
-    at = max(i for i, line in enumerate(lines) if "Union" in line)
-    level, above = depth(lines[at]), []
-    for line in reversed(lines[:at]):
-        if depth(line) < level:
-            level = depth(line)
-            above.append(line)
-    assert sum("Exchange" in line for line in above) == 1
-    assert any("Window" in line for line in above)
+    assert plan.count("Exchange hashpartitioning(tienda_id") == 1
+    assert "Union" not in plan and "Window" in plan
+    # Above it the fact shuffles its series and the daily totals only.
+    assert fact.count("Exchange hashpartitioning(tienda_id") <= 4

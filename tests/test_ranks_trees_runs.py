@@ -1,0 +1,196 @@
+"""Exact AUC, trees as tables and runs of the fact, each against the plain way."""
+
+from __future__ import annotations
+
+import random
+
+
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from anaquel.functions.numeric import rnd
+from anaquel.operators import features, model, ranks, risk, runs, silver, star, trees
+from anaquel.settings import Params
+from anaquel.sources import writers
+from tests.conftest import day, rows
+
+
+def brute_auc(pairs):
+    pos = [s for s, y in pairs if y == 1]
+    neg = [s for s, y in pairs if y == 0]
+    return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+
+
+@pytest.mark.parametrize("distinct", [1, 3, 50, 10_000])
+def test_auc_equals_all_pairs(spark, distinct):
+    rng = random.Random(distinct)
+    data = [(rng.randrange(distinct) / 7, rng.randrange(2)) for _ in range(900)]
+    df = spark.createDataFrame([*data, (None, 1), (0.5, None)], "s double, y int").repartition(5)
+    got = ranks.exact_auc(df, F.col("s"), F.col("y")).first()
+    assert got.auc == pytest.approx(brute_auc(data), abs=1e-12)
+    assert got.positivos + got.negativos == 900
+
+
+def test_auc_without_both_classes_is_null(spark):
+    for data in ([], [(0.1, 1), (0.2, 1)], [(0.1, 0)]):
+        df = spark.createDataFrame(data, "s double, y int")
+        assert ranks.exact_auc(df, F.col("s"), F.col("y")).first().auc is None
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rng = random.Random(5)
+    data = [
+        (day(n), f"T0{s % 3}", f"S{s}", f"C{s % 4}", 3.0, rng.random() * 9, 1.0, rng.random(), 2.0, rng.random(),
+         rng.randrange(4), int(rng.random() * 9 < s % 7), rng.random() * 20)
+        for n in range(1, 61) for s in range(12)
+    ]
+    return spark.createDataFrame(
+        data,
+        "fecha date, tienda_id string, sku string, categoria string, lead_time double, stock double, "
+        "en_camino double, media_7 double, media_28 double, desv_14 double, quiebres_14 long, etiqueta int, "
+        "dias_cobertura double",
+    )
+
+
+def test_stored_nodes_score_like_the_forest(spark, table, tmp_path):
+    params = Params(arboles=7, profundidad=5)
+    trained = model.train(table, params)
+    path = str(tmp_path / "modelo")
+    writers.save_model(trained.model, path)
+    unseen = table.limit(40).withColumn("categoria", F.lit("nueva")).withColumn("sku", F.concat("sku", F.lit("x")))
+    every = table.union(unseen)
+    direct = trained.model.transform(every).select(
+        "tienda_id", "sku", "fecha", rnd(vector_to_array("probability").getItem(1), 6).alias("p")
+    )
+    stored = trees.score_saved(spark, path, every, params.profundidad)
+    assert stored.columns == ["tienda_id", "sku", "fecha", "probabilidad"]
+    mine, theirs = sorted(rows(stored)), sorted(rows(direct))
+    assert [r[:3] for r in mine] == [r[:3] for r in theirs]
+    assert all(abs(a[3] - b[3]) <= 1e-6 for a, b in zip(mine, theirs))
+    assert len({r[3] for r in mine}) > 20
+    nodes = trees.forest_nodes(spark, path)
+    assert nodes.where("categorias IS NOT NULL").count() > 0
+    assert nodes.where("(variable IS NULL) <> (p IS NOT NULL)").count() == 0
+
+
+def test_scoring_moves_no_row(spark, table, tmp_path):
+    stored = writers.materialise_by_series(table, str(tmp_path / "t"), 4)
+    nodes = writers.materialise(trees.stump_nodes(stored), str(tmp_path / "n"))
+    plan = trees.score_nodes(stored, nodes, trees.vector_of(), 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_stumps_split_at_the_mean(spark, table):
+    nodes = trees.stump_nodes(table, ("stock", "lead_time")).collect()
+    assert [(n.arbol, n.nodo, n.variable) for n in nodes] == [
+        (0, 0, 0), (0, 1, None), (0, 2, None), (1, 0, 1), (1, 1, None), (1, 2, None)
+    ]
+    data = table.collect()
+    mean = sum(r.stock for r in data) / len(data)
+    low = [r.etiqueta for r in data if r.stock <= mean]
+    assert nodes[0].umbral == pytest.approx(mean, abs=1e-6)
+    assert nodes[1].p == pytest.approx(sum(low) / len(low), abs=1e-6)
+    # lead_time is 3 everywhere: nothing falls to the right, which has the share of all rows.
+    share = sum(r.etiqueta for r in data) / len(data)
+    assert (nodes[4].p, nodes[5].p) == (pytest.approx(share, abs=1e-6), pytest.approx(share, abs=1e-6))
+
+
+def test_metrics_hold_the_exact_auc(spark, table):
+    trained = model.train(table, Params(arboles=5, profundidad=4))
+    cut = features.split_summary(table).first().corte
+    test = features.split(table, F.lit(cut))[1]
+    scored = trained.model.transform(test).select(
+        vector_to_array("probability").getItem(1), "etiqueta"
+    )
+    assert trained.metrics.first().auc == round(brute_auc([tuple(r) for r in scored.collect()]), 4)
+
+
+# --- Runs --------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def star_inputs(spark):
+    rng = random.Random(8)
+    last = 90
+    calendar = spark.createDataFrame([(day(n),) for n in range(1, last + 1)], "fecha date")
+    stores = spark.createDataFrame([("T01", "a", 2), ("T02", "b", 3)], "tienda_id string, tienda string, lead_time int")
+    products = spark.createDataFrame([(s,) for s in "ABCD"], "sku string")  # D never sells
+    daily = [
+        (day(n), t, s, u, 2.5 * u)
+        for n in range(1, last + 1) for t in ("T01", "T02", "T09") for s in "ABCX"
+        if rng.random() < {"A": 0.05, "B": 0.9, "C": 0.3, "X": 0.5}[s] for u in [rng.choice([0, 1, 1, 4])]
+    ]
+    stock = [
+        (day(n), t, s, rng.choice([0, 5]), 0, rng.random() < 0.1)
+        for n in range(-3, last + 4) for t in ("T01", "T02") for s in "BC" if rng.random() < 0.4
+    ]
+    return (
+        calendar, stores, products,
+        spark.createDataFrame(daily, "fecha date, tienda_id string, sku string, unidades long, importe double"),
+        spark.createDataFrame(
+            stock, "fecha date, tienda_id string, sku string, stock int, en_camino int, quiebre boolean"
+        ),
+    )
+
+
+@pytest.fixture(scope="module")
+def folded(star_inputs, tmp_path_factory):
+    *dims, daily, inventory = star_inputs
+    got = runs.fact_runs(*dims, daily, star.by_series(inventory))
+    return writers.materialise(got, str(tmp_path_factory.mktemp("tramos")))
+
+
+@pytest.fixture(scope="module")
+def dense(star_inputs, tmp_path_factory):
+    *dims, daily, inventory = star_inputs
+    got = star.dense_fact(*dims, daily, star.by_series(inventory))
+    return writers.materialise(got, str(tmp_path_factory.mktemp("denso")))
+
+
+def test_runs_unfold_to_the_dense_fact(folded, dense):
+    assert sorted(rows(runs.unfold(folded))) == sorted(rows(dense, "fecha", "tienda_id", "sku", *runs.MEDIDAS))
+    assert folded.count() < dense.count() / 2
+
+
+def test_runs_are_as_long_as_can_be(folded):
+    by_series = {}
+    for r in sorted(folded.collect()):
+        by_series.setdefault((r.tienda_id, r.sku), []).append(r)
+    assert len(by_series) == 8
+    for series in by_series.values():
+        assert (series[0].desde, series[-1].hasta) == (day(1), day(90))
+        for a, b in zip(series, series[1:]):
+            assert (b.desde - a.hasta).days == 1
+            assert a[4:] != b[4:]
+    assert len(by_series["T01", "D"]) == 1
+
+
+def test_runs_move_series_once(star_inputs):
+    *dims, daily, inventory = star_inputs
+    plan = runs.fact_runs(*dims, daily, star.by_series(inventory))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(tienda_id") <= 6  # three inputs, in both versions of the plan
+
+
+def test_dispersion_and_trailing_means_on_runs(folded, dense):
+    exact = {r[:2]: r[2] for r in rows(risk.demand_dispersion(dense))}
+    for t, s, deviation in rows(runs.dispersion(folded)):
+        assert deviation == pytest.approx(exact[t, s], abs=1e-9)
+    units = {}
+    for r in dense.collect():
+        units.setdefault((r.tienda_id, r.sku), {})[r.fecha] = r.unidades
+    for n in (1, 2, 20, 90):
+        for t, s, *means in rows(runs.trailing_means(folded, F.lit(day(n)))):
+            for width, mean in zip((7, 28), means):
+                past = [units[t, s][day(k)] for k in range(max(1, n - width), n)]
+                assert mean == pytest.approx(sum(past) / len(past) if past else 0.0)
+
+
+def test_upsert_takes_whole_rows_of_the_live_feed(spark):
+    schema = "fecha date, tienda_id string, sku string, stock int, en_camino int, quiebre boolean"
+    history = spark.createDataFrame([(day(n), "T01", "A", n, 1, False) for n in (1, 2, 2, 3)], schema)
+    live = spark.createDataFrame([(day(3), "T01", "A", None, 9, None), (day(4), "T01", "B", 7, 7, True)], schema)
+    got = sorted(rows(silver.merge_inventory(history, live), "fecha", "sku", "stock", "en_camino", "quiebre"))
+    assert got == [
+        (day(1), "A", 1, 1, False), (day(2), "A", 2, 1, False), (day(3), "A", None, 9, None), (day(4), "B", 7, 7, True)
+    ]
