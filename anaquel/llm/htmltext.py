@@ -3,7 +3,9 @@
 Markup is stripped to lines, one per block of the page. What lies in elements that are never article
 text (menus, forms, adverts, comments ...) counts as length 0, and outside the article, where a page
 marks one, so does everything. The text lengths are summed over sliding windows of lines; a surge point
-is where the sum rises, a dive point where it falls to nothing, and the text between them stays.
+is where the sum rises, a dive point where it falls to nothing, and the text between them stays. So do short
+lines beside it in the same element. Of several elements marked as articles, one that is nothing but links stays only
+if it holds a surge.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,6 +50,15 @@ _MARKS = frozenset((
     "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social",
     "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "warning", "widget",
 ))
+# Words that stand beside such a mark in a name and say where or how, not what about.
+_BESIDE = frozenset((
+    "area", "article", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "clearfix",
+    "col", "column", "container", "content", "fixed", "float", "form", "global", "group", "header", "hidden",
+    "icon", "icons", "inline", "inner", "item", "items", "js", "large", "left", "link", "links", "list", "main",
+    "mobile", "outer", "overlay", "page", "panel", "post", "posts", "primary", "right", "row", "secondary",
+    "section", "site", "slot", "small", "sticky", "stories", "story", "text", "thread", "top", "unit", "wrap",
+    "wrapper", "you", "may", "also", "like", "more", "read", "up", "to", "us",
+))
 _MARKED_HEADERS = frozenset(("header",))
 _ARTICLE = frozenset(("main", "articlebody"))
 
@@ -59,6 +71,7 @@ _TOKEN = re.compile(
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in _RAW}
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORD = re.compile(r"[a-z0-9]+")
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)|display\s*:\s*none", re.I)
 
 
@@ -67,25 +80,51 @@ def _role(name: str, attributes: str, in_article: bool) -> str:
     if name in _NEVER or name == "header" and not in_article:
         return "out"
     words: set[str] = set()
+    marked = False
     if attributes:
         for key, *values in _ATTRIBUTE.findall(attributes):
             if key.lower() in ("class", "id", "role", "itemprop"):
-                words.update(_WORD.findall("".join(values).lower()))
+                found = _WORD.findall("".join(values).lower())
+                words.update(found)
+                marked |= _marks(found, in_article)
         if _HIDDEN.search(attributes):
             return "out"
     if name not in ("html", "body") and (
-        words & _MARKS or not in_article and words & _MARKED_HEADERS and name != "main"
+        marked or not in_article and words & _MARKED_HEADERS and name != "main"
     ):
         return "out"
     return "in" if name in ("article", "main") or words & _ARTICLE else ""
 
 
-def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
-    """Lines of a page: text, length that counts, in the article, heading; and whether an article is marked."""
-    found: list[tuple[str, int, bool, bool]] = []
+def _marks(words: list[str], in_article: bool) -> bool:
+    """Whether a class, id or role marks what is not the article.
+
+    One word that does is enough outside the article. In it, all other words must be of those that go with such marks: a
+    section on related work or a table of share prices is text.
+    """
+    return not _MARKS.isdisjoint(words) and (not in_article or all(
+        w in _MARKS or w in _BESIDE or len(w) < 3 or not w.isalpha() for w in words
+    ))
+
+
+class Line(NamedTuple):
+    text: str
+    counts: int  # characters that count as the article's
+    element: int  # number of the outermost element marked as the article, 0 outside
+    heading: bool
+    menu: bool  # mostly linked text
+    holder: int  # number of the innermost element that holds blocks
+
+
+def lines(page: str) -> tuple[list[Line], bool]:
+    """Lines of a page, and whether it marks an article."""
+    found: list[Line] = []
     marked = False
-    stack: list[tuple[str, str]] = []
-    out = inside = anchors = heading = 0
+    stack: list[tuple[str, str, int]] = []  # name, role, number
+    holders: list[int] = [0]
+    out = inside = heading = number = element = 0
+    # The depth of the open link, none is -1; it ends with its block, or with the first block in it.
+    link = -1
     text: list[str] = []
     linked = 0
 
@@ -96,13 +135,15 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
             if words:
                 menu = linked > LINKED * len(words)
                 counts = 0 if out or (menu and not inside) else len(words)
-                found.append((words, counts, inside > 0, heading > 0))
+                found.append(Line(words, counts, element if inside else 0, heading > 0, menu, holders[-1]))
         text, linked = [], 0
 
     def pop(entry):
         nonlocal out, inside
         out -= entry[1] == "out"
         inside -= entry[1] == "in"
+        if holders[-1] == entry[2]:
+            holders.pop()
 
     at, end = 0, len(page)
     while at < end:
@@ -112,7 +153,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
         if open_ > at:
             part = page[at:open_]
             text.append(part)
-            if anchors:
+            if link >= 0:
                 linked += len(part)
             at = open_
             continue
@@ -131,15 +172,17 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
             close_line()
         if closing:
             if name == "a":
-                anchors = max(0, anchors - 1)
+                link = -1
             elif len(name) == 2 and name[0] == "h" and name[1] in "123456":
                 heading = 0
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
                     close_line()
-                    for entry in stack[depth:]:
+                    for entry in reversed(stack[depth:]):
                         pop(entry)
                     del stack[depth:]
+                    if depth <= link:
+                        link = -1
                     break
             continue
         if name in _RAW_END:
@@ -148,20 +191,27 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
             continue
         if name in _VOID:
             continue
+        attributes = token[3] or token[6] or ""
         if name == "a":
-            anchors = 1
+            link = len(stack) if _HREF.search(attributes) else -1
         elif len(name) == 2 and name[0] == "h" and name[1] in "123456":
             heading = 1
-        attributes = token[3] or token[6] or ""
         if name in _BLOCK and stack and stack[-1][0] in _ONCE and (
             stack[-1][0] == name or stack[-1][0] == "p"
         ):
             pop(stack.pop())
+            if len(stack) <= link:
+                link = -1
         role = _role(name, attributes, inside > 0)
         if name in _BLOCK or role:
             close_line()
-            stack.append((name, role))
+            number += 1
+            stack.append((name, role, number))
+            if name not in _ONCE and not (len(name) == 2 and name[0] == "h"):
+                holders.append(number)
             out += role == "out"
+            if role == "in" and not inside:
+                element = number
             inside += role == "in"
             marked |= role == "in" and not out
     close_line()
@@ -193,22 +243,33 @@ def main_text(page: str) -> str:
     """The blocks of the article, joined by one space; empty if the page has no text."""
     found, marked = lines(page)
     if marked:
-        lengths = [count if inside else 0 for _, count, inside, _ in found]
+        lengths = [line.counts if line.element else 0 for line in found]
         if any(lengths):
-            runs = passages(lengths, 1)
-            return " ".join(found[i][0] for a, z in runs for i in range(a, z) if lengths[i])
-    lengths = [count for _, count, _, _ in found]
-    kept: list[str] = []
+            # An element with a surge is an article; so is one without, unless it only points to others.
+            own: dict[int, list[int]] = {}
+            for line, n in zip(found, lengths):
+                own.setdefault(line.element, []).append(n)
+            surges = {element for element, inner in own.items() if element and passages(inner, SURGE)}
+            texts = surges | {line.element for line, n in zip(found, lengths) if n and not line.menu and not line.heading}
+            texts = texts or {line.element for line in found}
+            return " ".join(line.text for line, n in zip(found, lengths) if n and line.element in texts)
+    lengths = [line.counts for line in found]
+    kept: set[int] = set()
+    holders: set[int] = set()
     for a, z in passages(lengths, min(SURGE, max(lengths, default=0))):
         # The passage proper is from its first to its last long line; headings before it belong to it.
         long = [i for i in range(a, z) if lengths[i] >= LONG]
         if long:
             first = long[0]
-            while first > a and found[first - 1][3]:
+            while first > a and found[first - 1].heading:
                 first -= 1
             a, z = first, long[-1] + 1
-        kept += [found[i][0] for i in range(a, z) if lengths[i]]
-    return " ".join(kept)
+            holders.update(found[i].holder for i in long)
+        kept.update(range(a, z))
+    # Short lines of the elements that hold the long ones are of the same text, wherever they stand.
+    return " ".join(
+        line.text for i, line in enumerate(found) if line.counts and (i in kept or line.holder in holders)
+    )
 
 
 def _extract(batches: Iterator[pa.RecordBatch]):

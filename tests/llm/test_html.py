@@ -26,6 +26,21 @@ LONG, MORE = prose(1, 30), prose(2, 30)
     (f"<ul><li><a href=a>One</a><li><a href=b>Two</a></ul><div><h2>Head</h2><p>{LONG}</p><p>short</p>"
      f"<p>{MORE}</p></div><p>(c) 2020</p>", f"Head {LONG} short {MORE}"),
     ("plain text only", "plain text only"),
+    # Short blocks beside long ones, before and after, also behind what is no text.
+    (f"<p>Lead.</p><p>{LONG}</p><p>{MORE}</p><p>The end.</p>", f"Lead. {LONG} {MORE} The end."),
+    (f"<div><p>{LONG}</p><nav>a</nav><nav>b</nav><nav>c</nav><nav>d</nav><p>Thanks.</p></div><p>(c)</p>", f"{LONG} Thanks."),
+    # A named or unclosed link is no menu.
+    (f"<a name='top'><h1>T</h1><p>{LONG}</p><p>{MORE}</p>", f"T {LONG} {MORE}"),
+    (f"<p><a href=x>{LONG}</p><p>{MORE}</p><p>{LONG}</p>", f"{MORE} {LONG}"),
+    ("<a name=top><article><p>x</p></article>", "x"),
+    # In the article, words of a subject beside a mark make it text.
+    ("<article><section id='related-work'><p>a</p></section><div class='share price'>b</div></article>", "a b"),
+    ("<article><p>a</p><div class='share-buttons'>s</div><div class='related posts'>r</div>"
+     "<div id='ad-slot-300x250'>x</div></article>", "a"),
+    # Of several articles one that is only a link to another page is none.
+    (f"<article><a href=x>Teaser</a></article><article><h1>T</h1><p>{LONG}</p><p>{MORE}</p></article>"
+     "<article><p>Short.</p></article>", f"T {LONG} {MORE} Short."),
+    ("<article><a href=x>Only</a></article>", "Only"),
     ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"),
     ("<article>cut off <b", "cut off"),
     ("<article><p title='a>b'>x</p></article>", "x"),
