@@ -27,6 +27,8 @@ from anaquel.llm.common import ship, text_key
 Q = 10
 WINDOW = 96  # characters; shorter items are one window
 EDITS = 0.06  # edits per character of a window
+DIFFERENT = 10  # different q-grams that every match of a window must keep
+PERIOD = 4  # repetitions at up to this distance do not count as different
 MIN_CHARS = 30  # an item of fewer characters is searched for without edits, as words of their own
 ALIGNED = 1 << 14  # windows aligned at once
 BLOCK_CHARS = 2 << 20  # benchmark text broadcast at once
@@ -74,7 +76,8 @@ class Index:
     points: np.ndarray
     begin: np.ndarray
     size: np.ndarray
-    edits: np.ndarray
+    edits: np.ndarray  # the budget of its size
+    allowed: np.ndarray  # the edits it may have, less where q-grams repeat; -1 if it is not searched for
     owner: np.ndarray  # index into ``item``
     first: np.ndarray  # first window of each item that has windows
     count: np.ndarray  # and their number
@@ -85,8 +88,24 @@ class Index:
     short: dict  # by length: sorted hashes of short items, and their indices into ``item``
 
 
+def different(grams: np.ndarray, width: int) -> np.ndarray:
+    """Number of different values in each run of ``width``."""
+    n = len(grams)
+    order = np.argsort(grams, kind="stable")
+    before = np.full(n, -1, dtype=np.int64)
+    same = grams[order[1:]] == grams[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    # A value counts in the runs that begin after its last occurrence and reach it.
+    here = np.arange(n)
+    change = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(change, np.maximum(before, here - width) + 1, 1)
+    np.add.at(change, here + 1, -1)
+    return np.cumsum(change[:-1])[:n - width + 1]
+
+
 def index(items: list[tuple[object, str]]) -> Index:
     points, begin, size, owner, at = [], [], [], [], 0
+    variety = []
     first, count, grams, source, place = [], [], [], [], []
     short: dict[int, list[tuple[np.uint64, int]]] = {}
     windows = 0
@@ -100,6 +119,7 @@ def index(items: list[tuple[object, str]]) -> Index:
         m = min(WINDOW, len(own))
         found = q_grams(own)
         grams.append(found)
+        variety.append(different(found, m - Q + 1))
         source.append(np.full(len(found), len(first), dtype=np.int32))
         place.append(np.arange(len(found), dtype=np.int32))
         first.append(windows)
@@ -118,15 +138,16 @@ def index(items: list[tuple[object, str]]) -> Index:
     order = np.argsort(all_grams, kind="stable")
     seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
     seen[(all_grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-    allowed = np.array([budget(m) for m in range(WINDOW + 1)], dtype=np.int32)
+    budgets = np.array([budget(m) for m in range(WINDOW + 1)], dtype=np.int32)[sizes]
+    spare = np.floor_divide(joined(variety, np.int64) - DIFFERENT, Q)
     by_length = {}
     for length, pairs in short.items():
         hashes = np.array([h for h, _ in pairs], dtype=np.uint64)
         sort = np.argsort(hashes, kind="stable")
         by_length[length] = hashes[sort], np.array([n for _, n in pairs], dtype=np.int64)[sort]
     return Index(
-        [i for i, _ in items], joined(points, np.uint32), joined(begin, np.int64), sizes, allowed[sizes],
-        joined(owner, np.int32), np.array(first, dtype=np.int64), np.array(count, dtype=np.int64),
+        [i for i, _ in items], joined(points, np.uint32), joined(begin, np.int64), sizes, budgets,
+        np.maximum(np.minimum(budgets, spare), -1), joined(owner, np.int32), np.array(first, dtype=np.int64), np.array(count, dtype=np.int64),
         all_grams[order], joined(source, np.int32)[order], joined(place, np.int32)[order], seen, by_length,
     )
 
@@ -146,15 +167,18 @@ def _wordlike(points: np.ndarray) -> np.ndarray:
     return (points >= 0x61) & (points <= 0x7A) | (points >= 0x30) & (points <= 0x39)
 
 
-def whole(points: np.ndarray, text: np.ndarray, known: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def whole(
+    points: np.ndarray, text: np.ndarray, known: Index, edges: tuple[bool, bool] = (False, False)
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Short items in ``points``: item, start and end. ``text``: the text each position belongs to.
 
-    A hit does not begin or end inside a run of letters and digits.
+    A hit does not begin or end inside a run of letters and digits; ``edges`` says whether such a run goes on
+    before the first and after the last position.
     """
     none = np.zeros(0, np.int64)
     found = [(none, none, none)]
     letter = _wordlike(points)
-    glued = np.concatenate([[False], letter[1:] & letter[:-1] & (text[1:] == text[:-1]), [False]])
+    glued = np.concatenate([[edges[0]], letter[1:] & letter[:-1] & (text[1:] == text[:-1]), [edges[1]]])
     for length, hashes in runs(points, max(known.short, default=0)):
         if length not in known.short:
             continue
@@ -187,13 +211,24 @@ def shared(points: np.ndarray, owner_end: np.ndarray, known: Index) -> tuple[np.
     hit = known.filter[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
     hit &= np.arange(len(grams)) + Q <= owner_end[: len(grams)]
     size, edits = known.size[known.first], known.edits[known.first]
-    # A region with fewer hits than the least bound cannot hold any window: no pairs are made there.
+    # A region with fewer hits than the least bound cannot hold any window: no pairs are made there. Nor are they in
+    # one that holds too few different hits, such as a rule or an indentation, however often it repeats them: of a
+    # region's different hits at most ``PERIOD`` are not new when they come up.
     reach = int((size + edits).max()) - Q + 1
-    total = np.concatenate([[0], np.cumsum(hit)])
+    new = hit.copy()
+    for back in range(1, PERIOD + 1):
+        new[back:] &= grams[back:] != grams[:-back]
     here = np.arange(len(grams))
-    ahead = total[np.minimum(here + reach, len(grams))] - total[here]
+    end = np.minimum(here + reach, len(grams))
+
+    def ahead(flags: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(flags)])
+        return total[end] - total[here]
+
     dense = np.zeros(len(grams) + 1, dtype=np.int64)
-    starts = np.flatnonzero(ahead >= (size - Q + 1 - edits * Q).min())
+    starts = np.flatnonzero(
+        (ahead(hit) >= (size - Q + 1 - edits * Q).min()) & (ahead(new) >= DIFFERENT - PERIOD)
+    )
     if not len(starts):
         return none
     np.add.at(dense, starts, 1)
@@ -234,9 +269,16 @@ def exact(item, place, diagonal, known: Index) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((place, diagonal, item))
     item, place, diagonal = item[order], place[order], diagonal[order]
     window, diagonal = _full(item, diagonal, place, known.size[known.first[item]].astype(np.int64) - Q + 1, known)
+    window, diagonal = _searched(window, diagonal, known)
     return window, diagonal + offset_of(known, window)
 
 
+def _searched(window: np.ndarray, group: np.ndarray, known: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Without the windows that are not searched for."""
+    keep = known.allowed[window] >= 0
+    return window[keep], group[keep]
+
+
 def bands(item, place, diagonal, known: Index) -> tuple[np.ndarray, np.ndarray]:
     """Window and band start (a diagonal of the window) of the bands that meet the bound."""
     if not len(item):
@@ -254,7 +296,7 @@ def bands(item, place, diagonal, known: Index) -> tuple[np.ndarray, np.ndarray]:
     item, band, place = item[once], band[once], place[once]
     window = known.first[item]
     bound = known.size[window].astype(np.int64) - Q + 1 - known.edits[window] * Q
-    window, band = _full(item, band, place, bound, known)
+    window, band = _searched(*_full(item, band, place, bound, known), known)
     return window, band * step_of(known, window) + offset_of(known, window)
 
 
@@ -364,7 +406,7 @@ def _search_block(raw, starts, ends, row, stop, table: Index, overlap: int):
         part = points[low:low + CHUNK + overlap]
         text = np.minimum(np.searchsorted(last, np.arange(low, low + len(part)), side="right"), len(last) - 1)
         if table.short:
-            item, begin, end = whole(part, text, table)
+            item, begin, end = whole(part, text, table, (_glued(points, last, low), _glued(points, last, low + len(part))))
             if len(item):
                 doc = text[begin]
                 yield doc + row, item, np.zeros(len(item), np.int64), begin + low - first[doc], end + low - first[doc]
@@ -380,6 +422,11 @@ def _search_block(raw, starts, ends, row, stop, table: Index, overlap: int):
             yield from _verify(part, low, row, first, last, window[a:a + ALIGNED], diagonal[a:a + ALIGNED], table)
 
 
+def _glued(points: np.ndarray, last: np.ndarray, at: int) -> bool:
+    """Whether a run of letters and digits of one text goes over the border before ``at``."""
+    return 0 < at < len(points) and bool(_wordlike(points[at - 1:at + 1]).all()) and at not in last
+
+
 def _rest(window, diagonal, found, start, known: Index):
     """The bands that no exact place of their window lies in."""
     step = step_of(known, found)
@@ -406,7 +453,7 @@ def _verify(part, low, row, first, last, window, diagonal, table: Index):
         part, table, window, diagonal,
         np.maximum(first[doc] - low, 0), np.minimum(last[doc] - low, len(part)),
     )
-    good = edits <= table.edits[window]
+    good = edits <= table.allowed[window]
     if good.any():
         doc, window, end = doc[good], window[good], end[good] + low - first[doc[good]]
         yield doc + row, table.owner[window], edits[good].astype(np.int64), np.maximum(end - table.size[window], 0), end
@@ -430,7 +477,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A window of an item (``WINDOW`` characters from any place, or the whole of a shorter item) is found if
     it aligns with a part of the text with at most ``EDITS`` edits per character; the case of letters and
-    the kind of white space do not count. An item shorter than ``MIN_CHARS`` is found without edits, and not
+    the kind of white space do not count. A window in which q-grams repeat may have fewer edits, so that a match keeps
+    ``DIFFERENT`` of them; one with fewer than that (a rule, an indentation) says nothing and is not searched for. An item shorter than ``MIN_CHARS`` is found without edits, and not
     inside a longer run of ASCII letters and digits. ``edits`` is the least of the windows found,
     ``windows`` the number of places where they begin, ``start`` and ``stop`` the code points from the first
     to the last. Null or empty texts hold nothing; null or empty items are not searched for; equal items

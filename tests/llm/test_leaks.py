@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from anaquel.llm import decontaminate as D
+from anaquel.llm import words as W
 from tests.llm.conftest import CLASHING, prose
 
 
@@ -173,3 +176,50 @@ def test_empty_tables(docs_of, benchmark):
     assert D.find_leaks(docs_of([]), benchmark).collect() == []
     assert D.find_leaks(docs_of([(1, prose(1, 50))]), benchmark.limit(0)).collect() == []
     assert D.without_leaks(docs_of([(1, "a")]), benchmark.limit(0)).count() == 1
+
+
+@pytest.mark.parametrize("chunk", [40, 41, 64, 97, 150, 333, 1000])
+def test_pieces_do_not_change_what_is_found(docs_of, spark, monkeypatch, chunk):
+    """Also of short items, whose borders are seen over those of the pieces."""
+    bench = spark.createDataFrame([(1, "cat dog"), (2, prose(50, 40))], "item_id long, text string")
+    rows = [
+        (1, "con" + "cat dog " * 3 + prose(1, 200)), (2, prose(2, 30) + " cat dog " + prose(3, 50)),
+        (3, "concat dogs " * 40), (4, prose(4, 33) + prose(50, 40) + prose(5, 90)), (5, "cat dog"),
+    ]
+    known = D.index([(r.item_id, r.text) for r in bench.orderBy("item_id").collect()])
+
+    def found():
+        data = pa.array([t for _, t in rows], pa.large_string())
+        raw, starts, ends = W.utf8(data)
+        hits = list(D._search_block(raw, starts, ends, 0, len(rows), known, 110))
+        return [tuple(map(int, r)) for r in zip(*D._by_item(*map(np.concatenate, zip(*hits))))]
+
+    whole = found()
+    assert {r[0] for r in whole} == {0, 1, 3, 4}
+    monkeypatch.setattr(D, "CHUNK", chunk)
+    assert found() == whole
+
+
+def test_rules_and_indentation_cost_nothing_and_are_no_leak():
+    """A megabyte of one character, or of few, against items that hold rules."""
+    items = [(n, prose(n, 12) + " " + mark * 400 + " " + prose(n + 90, 30)) for n, mark in enumerate("=-*#" * 5)]
+    known = D.index(items)
+    began = time.time()
+    for text in ("=" * (1 << 20), "-=" * (1 << 19), " \n" * (1 << 19)):
+        points = D.characters(text.encode())
+        item, *_ = D.shared(points, np.full(len(points), len(points)), known)
+        assert len(item) == 0
+    assert time.time() - began < 5
+    # The words beside the rule are found, with the rule or without.
+    text = "=" * 5000 + " " + items[0][1] + " " + "=" * 5000
+    raw, starts, ends = W.utf8(pa.array([text], pa.large_string()))
+    hits = list(D._search_block(raw, starts, ends, 0, 1, known, 110))
+    owners = np.concatenate([h[1] for h in hits])
+    assert set(owners.tolist()) == {0}
+
+
+def test_different_counts_each_run():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 7, 60).astype(np.uint64)
+    for width in (1, 5, 60):
+        assert D.different(values, width).tolist() == [len(set(values[i:i + width])) for i in range(61 - width)]
