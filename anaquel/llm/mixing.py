@@ -5,7 +5,8 @@ blocks of a last, partial pass it gives; the blocks follow a hash permutation of
 resulting quotas are split among the shards as a tree of multivariate-hypergeometric draws would
 split them: every slot carries a random key, a node sends the lower half of its slots by key to the
 left, so a shard is a run of ranks of the whole permutation, and its quota vector is the count of
-its slots by source. Each shard then draws its own run of every source's permuted blocks.
+its slots by source. Each shard then draws its own run of every source's permuted blocks, and what
+the mix takes of a document is the sum of what the shards draw of it.
 
 DataFrame functions only. Ranks are taken in two levels (counts per key range, then rows within a
 range), so no source and no shard has to fit one task.
@@ -24,7 +25,8 @@ WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 BLOCK_WORDS = 64
 SHARDS = 16
-RANGE_ROWS = 50_000  # rows of a key range on average
+RANGE_ROWS = 5_000  # rows of a key range on average
+GROUP_RANGES = 4096  # ranges whose offsets are summed together
 _KEY_BITS = 60
 
 
@@ -33,7 +35,7 @@ class Mix:
     """``draws``: one row per block drawn: doc_id, text_hash, copy, source, block, pass, words, shard, order.
 
     ``documents``: one row per input row: doc_id, text_hash, copy, source, size, source_size, target,
-    taken. ``quotas``: blocks by source and shard. ``copy`` tells equal rows apart.
+    taken, shards (how many draw from it). ``quotas``: blocks by source and shard. ``copy`` tells equal rows apart.
     """
 
     documents: DataFrame
@@ -102,16 +104,30 @@ def _ranked(
     rows: DataFrame, group: list[str], key: str, ties: list[str], width: int, words: bool
 ) -> DataFrame:
     """Adds ``_rank`` (from 0) in the order of key and ties within a group, ``_before`` the words
-    of the rows before. A key range holds about ``RANGE_ROWS`` rows."""
+    of the rows before. A key range holds about ``RANGE_ROWS`` rows. Offsets of ranges are summed in two
+    levels, so that what one task sums is short whatever the number of ranges."""
     rows = rows.withColumn("_range", (F.col(key) / F.lit(width)).cast("long"))
     at = [*group, "_range"]
     aggregates = [F.count("*").alias("_rows")]
     aggregates += [F.sum("words").alias("_words")] if words else []
-    before = Window.partitionBy(*group).orderBy("_range")
-    offsets = rows.groupBy(*at).agg(*aggregates).select(
+    part = (F.col("_range") / GROUP_RANGES).cast("long")
+    sums = rows.groupBy(*at).agg(*aggregates).withColumn("_part", part)
+    totals = [F.sum("_rows").alias("_rows"), *([F.sum("_words").alias("_words")] if words else [])]
+    measures = ["_rows", *(["_words"] if words else [])]
+    upper = Window.partitionBy(*group).orderBy("_part")
+    lower = Window.partitionBy(*group, "_part").orderBy("_range")
+    parts = sums.groupBy(*group, "_part").agg(*totals).select(
+        *[F.col(c).alias(f"_u{c}") for c in (*group, "_part")],
+        *[(F.sum(m).over(upper) - F.col(m)).alias(f"_u{m}") for m in measures],
+    )
+    within = sums.select(
+        *at, "_part", *[(F.sum(m).over(lower) - F.col(m)).alias(m) for m in measures]
+    )
+    aligned = [F.col(c).eqNullSafe(F.col(f"_u{c}")) for c in (*group, "_part")]
+    named = {"_rows": "_offset", "_words": "_passed"}
+    offsets = within.join(parts, on=aligned).select(
         *[F.col(c).alias(f"_o{c}") for c in at],
-        (F.sum("_rows").over(before) - F.col("_rows")).alias("_offset"),
-        *([(F.sum("_words").over(before) - F.col("_words")).alias("_passed")] if words else []),
+        *[(F.col(m) + F.col(f"_u{m}")).alias(named[m]) for m in measures],
     )
     inside = Window.partitionBy(*at).orderBy(key, *ties)
     rows = rows.withColumn("_in", F.row_number().over(inside) - 1)
@@ -141,9 +157,10 @@ def mix(
     are told apart by ``copy``. An empty table gives empty frames.
     """
     sizes = docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), text_key("text").alias("text_hash")
+        "doc_id", "source", word_count(F.col("text")).alias("size"), text_key("text").alias("text_hash"),
+        F.substring(F.md5(F.coalesce("text", F.lit(""))), 1, 16).alias("_digest"),
     )
-    row = ["doc_id", "source", "size", "text_hash"]
+    row = ["doc_id", "source", "size", "text_hash", "_digest"]
     sizes = sizes.groupBy(*row).agg(F.count("*").alias("_copies"))
     sizes = sizes.select(*row, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("copy"))
     sizes = stored(sizes, "sizes")
@@ -166,8 +183,9 @@ def mix(
         .withColumn(
             "words", F.least(F.lit(block_words), F.col("size") - F.col("block") * block_words).cast("long")
         )
-        .drop("size")
-        .withColumn("_key", _key(F.col("doc_id"), F.col("copy"), F.col("block"), F.lit(seed)))
+        # The text is part of the key: rows without doc_id, or with one in common, are dealt apart as well.
+        .withColumn("_key", _key(F.col("doc_id"), F.col("_digest"), F.col("copy"), F.col("block"), F.lit(seed)))
+        .drop("size", "_digest")
     )
     permuted = _ranked(
         blocks, ["source"], "_key", ["doc_id", "copy", "block", "text_hash"], _width(rows), words=True
@@ -181,12 +199,12 @@ def mix(
         permuted.join(goal, of_source)
         .withColumn("_n", passes).where("_n > 0")
         .select(
-            "doc_id", "text_hash", "copy", "source", "block", "words", "_rank",
+            "doc_id", "text_hash", "copy", "source", "block", "words", "_rank", "_key",
             F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("pass"),
         )
         .withColumn(
             "_urn",
-            _key(F.col("doc_id"), F.col("copy"), F.col("block"), F.col("pass"), F.lit(f"urn{seed}")),
+            _key(F.col("_key"), F.col("pass"), F.lit(f"urn{seed}")),
         ),
         "slots",
     )
@@ -219,8 +237,11 @@ def mix(
             "doc_id", "text_hash", "copy", "source", "block", "pass", "words",
             run["shard"].alias("shard"), F.col("_urn").alias("order"),
         )
+        .where("shard IS NOT NULL")  # no shard draws beyond the quotas
+    )
+    taken = draws.groupBy("doc_id", "text_hash", "copy", "source").agg(
+        F.sum("words").alias("taken"), F.size(F.collect_set("shard")).alias("shards")
     )
-    taken = draws.groupBy("doc_id", "text_hash", "copy", "source").agg(F.sum("words").alias("taken"))
     taken = taken.select(*[F.col(c).alias(f"_t{c}") for c in taken.columns])
     same = [F.col(c).eqNullSafe(F.col(f"_t{c}")) for c in ("doc_id", "text_hash", "copy", "source")]
     mixed = (
@@ -229,6 +250,7 @@ def mix(
         .select(
             "doc_id", "text_hash", "copy", "source", "size", "source_size", "target",
             F.coalesce("_ttaken", F.lit(0)).cast("long").alias("taken"),
+            F.coalesce("_tshards", F.lit(0)).cast("long").alias("shards"),
         )
     )
     return Mix(mixed, draws, quotas)
@@ -250,7 +272,7 @@ def mixed_rows(docs: DataFrame, shards: int = SHARDS, block_words: int = BLOCK_W
     four names give way.
     """
     added = ["size", "source_size", "target", "taken"]
-    mixed = stored(mix(docs, shards, block_words).documents, "mix").where("taken > 0")
+    mixed = stored(mix(docs, shards, block_words).documents.drop("shards"), "mix").where("taken > 0")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added]).alias("row"),
         F.col("doc_id").alias("_d"), F.col("source").alias("_s"), text_key("text").alias("_t"),

@@ -69,7 +69,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).documents.select(
-        "doc_id", "size", "source_size", "target", "taken"
+        "doc_id", "size", "source_size", "target", "taken", "shards"
     )
 
 
@@ -160,11 +160,11 @@ FROM marked GROUP BY r, doc_id
 """,
     "op8_mixing": r"""
 WITH s AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, substr(md5(coalesce(text, '')), 1, 16) AS digest,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
   FROM documents
 ), d AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, source, size) AS copy FROM s
+  SELECT *, row_number() OVER (PARTITION BY doc_id, source, digest) AS copy FROM s
 ), g AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
 ), n AS (
@@ -186,25 +186,41 @@ WITH s AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes
   FROM t
 ), b AS (
-  SELECT doc_id, copy, source, size,
+  SELECT doc_id, copy, source, size, digest,
     unnest(range(0, ((size + 63) // 64)::BIGINT)) AS block FROM d WHERE size > 0
 ), k AS (
   SELECT *, least(64, size - block * 64) AS words,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || copy || ':' || block || ':0'), 1, 15))
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || digest || ':' || copy || ':' || block || ':0'), 1, 15))
       ::BIGINT AS key
   FROM b
 ), r AS (
-  SELECT *, sum(words) OVER (PARTITION BY source ORDER BY key, doc_id, copy, block
-    ROWS UNBOUNDED PRECEDING) - words AS before FROM k
-), taken AS (
-  SELECT r.doc_id, r.copy, r.source, r.size, sum(words * (passes + CASE WHEN passes < 3
-    AND before + words / 2.0::DOUBLE <= target - passes * source_size THEN 1 ELSE 0 END)) AS taken
+  SELECT *, sum(words) OVER o - words AS before, row_number() OVER o - 1 AS rank, count(*) OVER (PARTITION BY source) AS blocks
+  FROM k WINDOW o AS (PARTITION BY source ORDER BY key, doc_id, copy, block ROWS UNBOUNDED PRECEDING)
+), slots AS (
+  -- one per block and pass
+  SELECT r.*, unnest(range(1, passes + 1 + CASE WHEN passes < 3
+    AND before + words / 2.0::DOUBLE <= target - passes * source_size THEN 1 ELSE 0 END)) AS pass
   FROM r JOIN p ON r.source IS NOT DISTINCT FROM p.source
-  GROUP BY r.doc_id, r.copy, r.source, r.size
+), urn AS (
+  SELECT *, ('0x' || substr(md5(key || ':' || pass || ':urn0'), 1, 15))::BIGINT AS urn FROM slots
+), dealt AS (
+  -- the tree's leaves: runs of the urn's order
+  SELECT source, ((row_number() OVER (ORDER BY urn, doc_id, copy, block, pass) - 1) * 16) // count(*) OVER () AS shard
+  FROM urn
+), quotas AS (
+  SELECT source, shard, count(*) AS n FROM dealt GROUP BY source, shard
+), runs AS (
+  SELECT *, sum(n) OVER (PARTITION BY source ORDER BY shard) AS stop FROM quotas
+), taken AS (
+  SELECT doc_id, copy, u.source, digest, sum(words) AS taken, count(DISTINCT shard) AS shards
+  FROM urn u JOIN runs q ON u.source IS NOT DISTINCT FROM q.source
+    AND (pass - 1) * blocks + rank >= stop - n AND (pass - 1) * blocks + rank < stop
+  GROUP BY doc_id, copy, u.source, digest
 )
-SELECT d.doc_id, d.size, p.source_size, p.target, coalesce(t.taken, 0)::BIGINT AS taken
+SELECT d.doc_id, d.size, p.source_size, p.target, coalesce(t.taken, 0)::BIGINT AS taken,
+  coalesce(t.shards, 0)::BIGINT AS shards
 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 LEFT JOIN taken t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.copy = t.copy
-  AND d.source IS NOT DISTINCT FROM t.source AND d.size = t.size
+  AND d.source IS NOT DISTINCT FROM t.source AND d.digest = t.digest
 """,
 }

@@ -114,3 +114,39 @@ def test_shards_are_written(corpus, spark, tmp_path):
     mixed = mixing.mix(corpus, shards=4)
     mixing.write_shards(mixed, str(tmp_path / "shards"))
     assert spark.read.parquet(str(tmp_path / "shards")).count() == mixed.draws.count()
+
+
+def test_what_is_taken_is_what_the_shards_draw(corpus):
+    mixed = mixing.mix(corpus, shards=8)
+    drawn = {}
+    for r in mixed.draws.collect():
+        words, shards = drawn.setdefault((r.doc_id, r.copy), [0, set()])
+        drawn[r.doc_id, r.copy][0] += r.words
+        shards.add(r.shard)
+    for r in mixed.documents.collect():
+        words, shards = drawn.get((r.doc_id, r.copy), (0, ()))
+        assert (r.taken, r.shards) == (words, len(shards))
+    blocks = {(r.source, r.shard): r.blocks for r in mixed.quotas.collect()}
+    per_shard = {}
+    for r in mixed.draws.collect():
+        per_shard[r.source, r.shard] = per_shard.get((r.source, r.shard), 0) + 1
+    assert per_shard == blocks
+
+
+def test_rows_that_share_a_doc_id_are_dealt_apart(docs_of):
+    """A third of all rows has no doc_id: their blocks lie all over the permutation."""
+    rows = [(None if i % 3 else i, prose(i, 130)) for i in range(300)]
+    keys = [r.order for r in mixing.mix(docs_of(rows)).draws.where("doc_id IS NULL").collect()]
+    assert len(set(keys)) == len(keys)
+
+
+def test_ranks_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP_RANGES", 3)
+    rows = spark.createDataFrame(
+        [(("a", "b", None)[i % 3], i * 7919 % 1000, 1 + i % 5) for i in range(400)], "source string, k long, words long"
+    )
+    got = mixing._ranked(rows, ["source"], "k", ["words"], 17, words=True).collect()
+    for source in ("a", "b", None):
+        mine = sorted(((r.k, r.words, r._rank, r._before) for r in got if r.source == source))
+        assert [r[2] for r in mine] == list(range(len(mine)))
+        assert [r[3] for r in mine] == [sum(x[1] for x in mine[:i]) for i in range(len(mine))]
