@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,8 +162,8 @@ def _derive(draft: snapshots.Draft, fixed: Fixed, changed: set[dt.date] | None,
         """
         def of(days: list[dt.date]) -> DataFrame:
             needed = _around(days, reach) & all_days
-            source = draft.table("hecho", _periods(needed)).where(F.col("fecha").isin(sorted(needed)))
-            return rows(star.by_series(source)).where(F.col("fecha").isin(days))
+            source = draft.table("hecho", _periods(needed)).where(_among(needed))
+            return rows(star.by_series(source)).where(_among(days))
         return of
 
     rebuilt("hecho", touched, fact)
@@ -202,5 +203,21 @@ def _around(days: Iterable[dt.date], reach: tuple[int, int]) -> set[dt.date]:
     return {d + dt.timedelta(n) for d in days for n in range(-back, ahead + 1)}
 
 
-def _array(days: list[dt.date]) -> Column:
-    return F.array(*(F.lit(d) for d in days)).cast("array<date>")
+def _spans(days: Iterable[dt.date]) -> list[tuple[Column, Column]]:
+    """First and last day of each unbroken span."""
+    spans: list[list[dt.date]] = []
+    for d in sorted(days):
+        if spans and d - spans[-1][1] == dt.timedelta(1):
+            spans[-1][1] = d
+        else:
+            spans.append([d, d])
+    return [(F.lit(a), F.lit(b)) for a, b in spans]
+
+
+def _array(days: Iterable[dt.date]) -> Column:
+    spans = [F.sequence(a, b) for a, b in _spans(days)]
+    return F.flatten(F.array(*spans)) if spans else F.array().cast("array<date>")
+
+
+def _among(days: Iterable[dt.date]) -> Column:
+    return reduce(Column.__or__, (F.col("fecha").between(a, b) for a, b in _spans(days)), F.lit(False))

@@ -45,6 +45,40 @@ def read_sales_history(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schemas.VENTA)
 
 
+ILEGIBLE = "linea ilegible"
+
+
+def read_sales_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Sales of a CSV feed, and the lines that are none: ``fichero, linea, motivo``.
+
+    A line with a wrong number of fields, or with a field that is not of its column's type, is kept
+    with its whole text instead of turning into NULLs that pass for missing values. Every data line is in exactly
+    one of the two frames, so their counts add up to the lines read.
+    """
+    return _checked(spark, path, schemas.VENTA)
+
+
+def read_inventory_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The same for an inventory feed."""
+    return _checked(spark, path, schemas.INVENTARIO)
+
+
+def _checked(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    shape = StructType([*schema.fields]).add("_corrupta", "string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupta"}
+    header = ",".join(schema.fieldNames())
+    lines = (
+        spark.read.text(path).select("value", F.col("_metadata.file_name").alias("fichero"))
+        .where((F.col("value") != header) & (F.col("value") != ""))
+        .withColumn("v", F.from_csv("value", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shape), options))
+    )
+    broken = F.col("v").isNull() | F.col("v._corrupta").isNotNull()
+    good = lines.where(~broken).select(*(F.col(f"v.{c}").alias(c) for c in schema.fieldNames()))
+    return good, lines.where(broken).select(
+        "fichero", F.col("value").alias("linea"), F.lit(ILEGIBLE).alias("motivo")
+    )
+
+
 def read_inventory_history(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schemas.INVENTARIO)
 

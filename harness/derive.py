@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from anaquel import schemas
 from anaquel.functions.numeric import rnd
-from anaquel.operators import features, forecast, model, risk, runs, season, silver, star, trees
+from anaquel.operators import features, forecast, model, moments, risk, runs, season, silver, star, trees
 from anaquel.plans import incremental
 from anaquel.session import (
     configure,
@@ -235,6 +235,15 @@ class Domain:
             runs.fact_runs(self.calendar, self.stores, self.catalog, self.daily, self.inventory), "tramos"
         )
 
+    @cached_property
+    def moments(self) -> DataFrame:
+        """Moments by month of the first half of the fact, with those of the rest put in afterwards, stored."""
+        middle = self.calendar.agg(F.date_add(F.min("fecha"), F.floor(F.count("*") / 2).cast("int"))).scalar()
+        early = stage(moments.month_moments(self.fact.where(F.col("fecha") <= middle)), "momentos_antes")
+        month = F.trunc(middle, "month")
+        late = moments.month_moments(self.fact.where(F.col("fecha") >= month))
+        return stage(moments.replace_months(early, late), "momentos")
+
     @cached_property
     def refreshed(self) -> snapshots.Version:
         """Daily tables built from what landed until 30 days before the end, then refreshed with the rest.

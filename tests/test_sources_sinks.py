@@ -190,3 +190,18 @@ def test_another_header_order_is_an_error(spark, tmp_path):
     path.write_text(SALES_CSV.replace("precio,importe", "importe,precio", 1))
     with pytest.raises(Exception, match="(?i)header"):
         readers.read_sales_history(spark, str(path)).collect()
+
+
+def test_broken_lines_are_kept_with_their_text(spark, tmp_path):
+    header = ",".join(schemas.VENTA.fieldNames())
+    good = ["a,2024-01-01T10:00:00.000Z,T01,A,2,1.5,3.0", "b,,T01,A,,1.5,", ",2024-01-01T10:00:00.000Z,T01,A,2,1.5,3.0"]
+    bad = [
+        "c,2024-01-01T10:00:00.000Z,T01,A,muchas,1.5,3.0", "d,2024-01-01T10:00:00.000Z,T01", "e,ayer,T01,A,2,1.5,3.0",
+        "f,2024-01-01T10:00:00.000Z,T01,A,2,1.5,3.0,9",
+    ]
+    (tmp_path / "v.csv").write_text("\n".join([header, *good, *bad]) + "\n")
+    sales, broken = readers.read_sales_checked(spark, str(tmp_path / "v.csv"))
+    assert [r.venta_id for r in sales.collect()] == ["a", "b", None]
+    assert sales.columns == schemas.VENTA.fieldNames()
+    assert sorted(rows(broken)) == sorted(("v.csv", line, readers.ILEGIBLE) for line in bad)
+    assert sales.count() + broken.count() == len(good) + len(bad)
