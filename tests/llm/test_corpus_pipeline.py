@@ -69,5 +69,5 @@ def test_empty_documents(spark, sf_dir, docs_of):
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(queries.SQL) <= set(queries.QUERIES)
