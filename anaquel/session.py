@@ -26,6 +26,8 @@ def configure(spark: SparkSession) -> SparkSession:
         # Streaming dedupe state goes to disk, not to the executor heap.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # Deliveries of one sale are settled in the map task before they are shuffled.
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     for key, value in conf.items():
         spark.conf.set(key, value)

@@ -137,7 +137,7 @@ class Draft:
         number = 1 if self.base is None else self.base.number + 1
         version = Version(number, self.root, self.entries, self.notes)
         body = json.dumps({"entries": {n: asdict(e) for n, e in self.entries.items()}, "notes": self.notes})
-        _publish(self.spark, f"{self.root}/_commits", f"{number:012d}.json", body)
+        publish(self.spark, f"{self.root}/_commits", f"{number:012d}.json", body)
         return version
 
     def _typed(self, name: str, df: DataFrame, buckets: int = 0) -> None:
@@ -217,7 +217,7 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
 
 
-def _publish(spark: SparkSession, folder: str, name: str, body: str) -> None:
+def publish(spark: SparkSession, folder: str, name: str, body: str) -> None:
     """Put a whole file in place under a name that must be new."""
     jvm = spark._jvm
     files, aside = _files(spark, f"{folder}/.{uuid.uuid4().hex}")

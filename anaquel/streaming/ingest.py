@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -36,14 +36,17 @@ def kafka_messages(
     )
 
 
-def parse_sales(messages: DataFrame) -> DataFrame:
+def parse_sales(messages: DataFrame, arrival: Column | None = None) -> DataFrame:
     """Messages (value, partition, offset) as sales with their origin and arrival time.
 
+    ``arrival`` is the time of arrival where the messages carry one, such as a log's timestamp; where it is
+    missing, it is now.
+
     A message that does not parse is kept with ``estado = 'cuarentena'`` and its raw text, so
     one bad message neither stops the query nor disappears.
     """
     shape = StructType([*schemas.VENTA.fields]).add("_corrupta", "string")
-    raw = F.col("value").cast("string")
+    raw, now = F.col("value").cast("string"), F.current_timestamp()
     parsed = messages.select(
         raw.alias("mensaje"),
         F.from_json(
@@ -51,13 +54,14 @@ def parse_sales(messages: DataFrame) -> DataFrame:
         ).alias("v"),
         F.col("partition").cast("int").alias("particion"),
         F.col("offset").cast("bigint").alias("offset_kafka"),
+        (now if arrival is None else F.coalesce(arrival, now)).alias("recibido"),
     )
     good = F.col("v").isNotNull() & F.col("v._corrupta").isNull()
     return parsed.select(
         *(F.col(f"v.{c}").alias(c) for c in schemas.VENTA.fieldNames()),
         "particion",
         "offset_kafka",
-        F.current_timestamp().alias("recibido"),
+        "recibido",
         F.when(good, ACEPTADA).otherwise(CUARENTENA).alias("estado"),
         F.when(~good, F.col("mensaje")).alias("mensaje"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anaquel import schemas
@@ -10,7 +10,7 @@ from anaquel.operators import serving
 from anaquel.plans import pipeline
 from anaquel.session import scratch_path
 from anaquel.sources import readers, writers
-from anaquel.streaming import ingest
+from anaquel.streaming import ingest, log, replay, settle
 from harness.derive import Domain
 from harness.oracle import TABLES
 
@@ -126,10 +126,19 @@ def _event_messages(d: Domain) -> DataFrame:
         .option("pathGlobFilter", "events.parquet")
         .parquet(d.sf_dir)
     )
-    body = F.to_json(
+    return events.select(
+        _event_body(F.col("ts")).alias("value"),
+        (F.col("event_type") == "error").alias("roto"),
+        (F.col("user_id") % 3).alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+
+
+def _event_body(moment: Column) -> Column:
+    return F.to_json(
         F.struct(
             F.col("event_id").cast("string").alias("venta_id"),
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("momento"),
+            F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("momento"),
             F.concat(F.lit("T0"), F.col("user_id") % 5 + 1).alias("tienda_id"),
             F.col("event_type").alias("sku"),
             F.lit(1).alias("unidades"),
@@ -137,12 +146,6 @@ def _event_messages(d: Domain) -> DataFrame:
             F.col("value").alias("importe"),
         )
     )
-    return events.select(
-        body.alias("value"),
-        (F.col("event_type") == "error").alias("roto"),
-        (F.col("user_id") % 3).alias("partition"),
-        F.col("event_id").alias("offset"),
-    )
 
 
 def _landed(d: Domain, sales: DataFrame, name: str) -> str:
@@ -191,3 +194,86 @@ def stream_dedup(d: Domain) -> DataFrame:
         "venta_id", "momento", "sku", "precio", "estado",
         F.when(place, F.col("offset_kafka")).alias("offset_kafka"),
     )
+
+
+def _deliveries(d: Domain) -> DataFrame:
+    """The events as messages of a log: broken texts for errors, arrival up to two minutes after the event."""
+    body = _event_body(F.col("ts"))
+    return d.table("events").select(
+        F.when(F.col("event_type") == "error", F.concat(F.lit("x"), body)).otherwise(body).alias("value"),
+        (F.col("user_id") % 3).alias("partition"),
+        F.col("event_id").alias("offset"),
+        (F.col("ts").cast("timestamp") + F.make_dt_interval(secs=F.col("event_id") % 120)).alias("timestamp"),
+        "event_id",
+    )
+
+
+def _log_sales(d: Domain, path: str) -> DataFrame:
+    return ingest.parse_sales(log.messages(d.spark, path), arrival=F.col("timestamp"))
+
+
+def stream_log(d: Domain) -> DataFrame:
+    """The events written to a log in two commits; the ingest reads the first, stops, and goes on from its checkpoint."""
+    path, sent = scratch_path(d.spark, "registro"), _deliveries(d)
+    half = sent.agg(F.max("event_id")).first()[0] // 2
+    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+        log.append(sent.where(part), path)
+        query = ingest.land(_log_sales(d, path), f"{path}/datos", f"{path}/control", available_now=True)
+        query.awaitTermination()
+    return readers.read_stream_landed(d.spark, f"{path}/datos")
+
+
+def stream_preferred(d: Domain) -> DataFrame:
+    """Every event delivered twice, five minutes apart; of every third the second delivery is the better one.
+
+    A nameless message a day later lets the watermark pass the last sale; it is still open itself.
+    """
+    path, body = scratch_path(d.spark, "registro"), _event_body(F.col("momento"))
+    broken = F.col("event_type") == "error"
+    events = d.table("events")
+    first = events.withColumn("momento", F.col("ts")).withColumn("n", F.lit(0))
+    earlier = F.col("ts") - F.make_dt_interval(secs=F.when(F.col("event_id") % 3 == 0, 1).otherwise(-1))
+    again = events.withColumn("momento", earlier).withColumn("n", F.lit(1))
+    sent = first.unionByName(again).select(
+        F.when(broken, F.concat(F.lit("x"), body)).otherwise(body).alias("value"),
+        (F.col("user_id") % 3).alias("partition"),
+        (F.col("event_id") * 2 + F.col("n")).alias("offset"),
+        (F.col("ts").cast("timestamp") + F.make_dt_interval(mins=F.col("n") * 5)).alias("timestamp"),
+    )
+    later = sent.agg(
+        F.lit("").alias("value"), F.lit(3).alias("partition"), F.lit(0).alias("offset"),
+        (F.max("timestamp") + F.make_dt_interval(days=F.lit(1))).alias("timestamp"),
+    )
+    log.append(sent.unionByName(later), path)
+    sales = settle.preferred_deliveries(_log_sales(d, path))
+    replay.drain(replay.land_batches(sales, f"{path}/datos", f"{path}/control", seconds=0))
+    return d.spark.read.schema(sales.schema).parquet(f"{path}/datos").drop("mensaje", "ejecucion", "lote")
+
+
+def _minutes(d: Domain) -> DataFrame:
+    path = scratch_path(d.spark, "registro")
+    log.append(_deliveries(d), path)
+    updates = settle.latency_by_minute(_log_sales(d, path))
+    replay.land_batches(updates, f"{path}/datos", f"{path}/control", "update", available_now=True).awaitTermination()
+    return settle.current_minutes(replay.read_batches(d.spark, f"{path}/datos", updates.schema))
+
+
+def stream_latency(d: Domain) -> DataFrame:
+    return _minutes(d)
+
+
+def stream_latency_total(d: Domain) -> DataFrame:
+    return settle.latency_total(_minutes(d))
+
+
+def stream_replay(d: Domain) -> DataFrame:
+    """Broken texts mended in two goes, the first of which can't mend all, each go run again with a new checkpoint."""
+    path = scratch_path(d.spark, "registro")
+    log.append(_deliveries(d), path)
+    landed, mended = f"{path}/datos", f"{path}/reparadas"
+    ingest.land(_log_sales(d, path), landed, f"{path}/control", available_now=True).awaitTermination()
+    one_store = lambda text: F.regexp_replace(text, '^x(.*"tienda_id":"T01")', "$1")
+    every = lambda text: F.regexp_replace(text, "^x", "")
+    for n, mend in enumerate((one_store, one_store, every, every)):
+        replay.replay(d.spark, landed, mended, f"{path}/control-{n}", mend, available_now=True).awaitTermination()
+    return replay.mended_sales(d.spark, mended)

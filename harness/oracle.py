@@ -275,6 +275,13 @@ CTES = {
                CAST(1 AS INTEGER) AS unidades, value AS precio, value AS importe,
                CAST(user_id % 3 AS INTEGER) AS particion, event_id AS offset_kafka
         FROM events""",
+    "entregas": """
+        SELECT *, momento + to_seconds(CAST(offset_kafka % 120 AS INTEGER)) AS recibido FROM eventos""",
+    "latencia": """
+        SELECT date_trunc('minute', recibido) AS minuto, count(*) AS ventas, count(momento) AS medidas,
+               CAST(sum(epoch_us(recibido) - epoch_us(momento)) AS BIGINT) AS espera_us,
+               max(epoch_us(recibido) - epoch_us(momento)) AS espera_max_us, max(momento) AS ultima_venta
+        FROM entregas WHERE sku <> 'error' GROUP BY 1""",
 }
 
 _SALE_COLS = "venta_id, momento, tienda_id, sku, unidades, precio, importe"
@@ -500,6 +507,27 @@ QUERIES = {
                CASE WHEN sku = 'error' THEN 'cuarentena' ELSE 'ok' END, o
         FROM (SELECT *, unnest([offset_kafka, -offset_kafka - 1]) AS o FROM eventos)
         WHERE sku = 'error' OR offset_kafka % 7 = 0""",
+    "stream_log": f"""
+        SELECT {_SALE_COLS}, particion, offset_kafka, recibido FROM entregas WHERE sku <> 'error'""",
+    "stream_preferred": f"""
+        SELECT venta_id, momento - to_seconds(CAST(segunda AS INTEGER)) AS momento, tienda_id, sku, unidades,
+               precio, importe, particion, 2 * offset_kafka + segunda AS offset_kafka,
+               momento + to_minutes(CAST(5 * segunda AS INTEGER)) AS recibido, 'ok' AS estado,
+               CAST(2 AS BIGINT) AS entregas
+        FROM (SELECT *, CASE WHEN offset_kafka % 3 = 0 THEN 1 ELSE 0 END AS segunda FROM eventos)
+        WHERE sku <> 'error'
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, particion, 2 * offset_kafka + n,
+               momento + to_minutes(CAST(5 * n AS INTEGER)), 'cuarentena', 1
+        FROM eventos, (VALUES (0), (1)) AS veces(n) WHERE sku = 'error'""",
+    "stream_latency": "SELECT * FROM latencia",
+    "stream_latency_total": f"""
+        SELECT coalesce(CAST(sum(ventas) AS BIGINT), 0) AS ventas,
+               {rnd('sum(espera_us) / (nullif(sum(medidas), 0) * 1000000)', 6)} AS latencia_seg,
+               max(espera_max_us) / 1000000 AS latencia_max_seg, max(ultima_venta) AS ultima_venta
+        FROM latencia""",
+    "stream_replay": f"""
+        SELECT {_SALE_COLS}, particion, offset_kafka, recibido FROM entregas WHERE sku = 'error'""",
 }
 
 
