@@ -1,9 +1,10 @@
 """License scan: TF-IDF cosine of headers and licence files to templates, then inheritance by directory.
 
 DataFrame functions only. A header is a line with one of the templates' anchor words, alone and with its
-neighbours, wherever it stands in the text; a text with a header may as a whole be a licence file. The
-anchors are words of which a text must have one to reach the threshold, so texts without them are read by
-one pattern and go no further. A file without a licence of its own takes that of the nearest directory
+neighbours, wherever it stands in the text; a text with a header may as a whole be a licence file. A
+template asks for terms besides its cosine: a name, a version, the elements of a Creative Commons licence; a text that
+gives another version or one more element is not that licence, however near. The anchors are the names,
+so texts without any are read by one pattern and go no further. A file without a licence of its own takes that of the nearest directory
 above it that holds a licence file. A notice that reserves all rights is a licence of its own, too, but
 goes behind any that grants some.
 """
@@ -21,64 +22,116 @@ from anaquel.llm.common import stored, text_key
 
 THRESHOLD = 0.6
 RESERVED = "LicenseRef-All-Rights-Reserved"
+SETS = 6  # sets of terms in which the words of a text are looked up
 BEFORE, AFTER = 1, 2  # lines taken with a line that has an anchor
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.\-_][^/]*)?$"
 
-# Short notices of public licences, by SPDX identifier.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
+# Short notices of public licences, by SPDX identifier, and what a text must have to be one of them:
+# a term of each group (a|b), the first of which names the licence, and none behind an exclamation mark.
+_NOTICES = [
+    ("Apache-2.0", "apache 2.0|2", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "apache 2.0|2", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
      "file except in compliance with the License. You may obtain a copy of the License at "
      "http://www.apache.org/licenses/LICENSE-2.0"),
-    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND "
+    ("Apache-2.0", "apache 2.0|2", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND "
      "CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
-     "and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of "
-     "the GNU General Public License as published by the Free Software Foundation, either version 3 of the "
-     "License, or (at your option) any later version."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+    ("MIT", "mit !0|attribution", "Released under the MIT License."),
+    ("MIT", "mit !0|attribution", "Licensed under the MIT License."),
+    ("MIT", "hereby deal|restriction", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+     "software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("MPL-2.0", "mozilla|mpl 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
      "copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are "
-     "permitted provided that the following conditions are met"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-     "International License."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights "
-     "to this work under CC0 1.0."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
-     "without fee is hereby granted"),
-    (RESERVED, "All rights reserved."),
-    (RESERVED, "Copyright (c). All rights reserved. All rights reserved."),  # twice: names and years may come too
-)
-# Everyday words: 1 are anchors only where a template has too few others, 2 never.
-_EVERYDAY = {
-    **dict.fromkeys((
-        "any", "associated", "been", "code", "copy", "either", "file", "files", "following", "form", "forms",
-        "general", "if", "into", "january", "later", "law", "made", "may", "met", "obtain", "one", "only", "option",
-        "person", "possible", "program", "provided", "public", "purpose", "related", "released", "rights", "source",
-        "subject", "terms", "under", "use", "version", "without", "work", "your", "1.0", "2.0", "3.0", "4.0", "2004",
-    ), 1),
-    **dict.fromkeys((
-        "a", "all", "and", "are", "as", "at", "by", "c", "can", "for", "free", "from", "has", "in", "is", "it", "not", "of", "or",
-        "that", "the", "this", "to", "v", "was", "with", "you", "2", "3",
-    ), 2),
+    ("MPL-1.1", "mozilla|mpl 1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+    ("BSD-3-Clause", "bsd 3|three|new|revised", "Released under the BSD 3-Clause License."),
+    ("BSD-2-Clause", "bsd 2|two|simplified", "Released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "endorse promote", "Neither the name of the copyright holder nor the names of its contributors may be "
+     "used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", "redistributions disclaimer damages !endorse|advertising", "Redistribution and use in source and binary "
+     "forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of "
+     "source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+     "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+     "disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY "
+     "THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED. IN NO EVENT "
+     "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DAMAGES"),
+    ("LicenseRef-BSD", "redistribution forms", "Redistribution and use in source and binary forms, with or without "
+     "modification, are permitted provided that the following conditions are met"),
+    ("CC0-1.0", "cc0|waived 1.0|cc0", "To the extent possible under law, the author has waived all copyright and related "
+     "rights to this work under CC0 1.0."),
+    ("Unlicense", "unencumbered|unlicense", "This is free and unencumbered software released into the public domain."),
+    ("ISC", "fee provided|appear", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+     "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("EPL-1.0", "eclipse|epl 1.0|v1.0", "made available under the terms of the Eclipse Public License v1.0"),
+    ("EPL-2.0", "eclipse|epl 2.0|v2.0", "made available under the terms of the Eclipse Public License 2.0"),
+    ("BSL-1.0", "boost|bsl 1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "zlib", "Licensed under the zlib License."),
+    (RESERVED, "reserved", "All rights reserved."),
+    (RESERVED, "reserved", "Copyright (c). All rights reserved. All rights reserved."),  # twice: names and years may come too
+]
+# Families of one wording: the GNU licences by name and version, Creative Commons by elements and version.
+_GNU = {
+    "GPL": ("General", "gnu|gpl", "!lesser|library|affero|lgpl|agpl", ("2", "3")),
+    "LGPL": ("Lesser General", "lesser|lgpl", "!affero|agpl", ("2.1", "3")),
+    "AGPL": ("Affero General", "affero|agpl", "", ("3",)),
 }
+_CC_PARTS = {
+    "NC": ("NonCommercial", "nc|noncommercial|non"), "ND": ("NoDerivatives", "nd|noderivatives|noderivs|derivatives"),
+    "SA": ("ShareAlike", "sa|sharealike|alike"),
+}
+_CC_KINDS = ("", "SA", "NC", "ND", "NC SA", "NC ND")
+_CC_VERSIONS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic"}
+#: Licences that go behind those that say more about the same text.
+_RANK = {RESERVED: 0, "LicenseRef-BSD": 1}
+_BARRED = 1 << 30
+
+
+def _gnu():
+    for short, (name, named, barred, versions) in _GNU.items():
+        for v in versions:
+            spdx, low = f"{short}-{v if '.' in v else v + '.0'}", short.lower()
+            needs = f"{named}|{low}v{v}|{low}{v} {v}|{v}.0|v{v}|{low}v{v}|{low}{v} {barred}"
+            notice = f"This work is licensed under the GNU {name} Public License, version {v}."
+            for text in (notice, f"SPDX-License-Identifier: {spdx}-only", spdx):
+                yield spdx, f"{needs} !later", text
+            program = (
+                "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                f"{name} Public License as published by the Free Software Foundation, either version {v} of the License, "
+                "or (at your option) any later version."
+            )
+            for text in (program, f"{notice[:-1]} or any later version.", f"SPDX-License-Identifier: {spdx}-or-later"):
+                yield f"{spdx}-or-later", f"{needs} later", text
+
+
+def _creative_commons():
+    for kind in _CC_KINDS:
+        own = kind.split()
+        spdx = "-".join(["BY", *own])
+        words = "-".join(["Attribution", *(_CC_PARTS[p][0] for p in own)])
+        rules = " ".join(terms if p in own else f"!{terms}" for p, (_, terms) in _CC_PARTS.items())
+        for v, edition in _CC_VERSIONS.items():
+            needs = f"cc|creative|creativecommons.org|creativecommons by|attribution {v}|{v.removesuffix('.0')} {rules}"
+            yield f"CC-{spdx}-{v}", needs, f"Licensed under CC {spdx} {v}."
+            yield f"CC-{spdx}-{v}", needs, (
+                f"This work is licensed under a Creative Commons {words} {v} {edition} License."
+            )
+
+
+def _spdx():
+    first = {}
+    for name, needs, _ in _NOTICES:
+        if not name.startswith("LicenseRef"):
+            first.setdefault(name, needs)
+    for name, needs in first.items():
+        named, *rest = needs.split()
+        tag = name.lower().split("-")[0]
+        own = " ".join([named if tag in named.split("|") else f"{named}|{tag}", *rest])
+        if name in ("ISC", "CC0-1.0", "Unlicense"):  # the notice's other words are not in the identifier
+            own = tag
+        yield name, own, f"SPDX-License-Identifier: {name}"
+
+
+_FAMILIES = [_NOTICES, list(_gnu()), list(_creative_commons()), list(_spdx())]
+TEMPLATES = tuple((name, text) for family in _FAMILIES for name, _, text in family)
+NEEDS = tuple(needs.split() for family in _FAMILIES for _, needs, _ in family)
 _NO_TERM = r"[^a-z0-9.]+"
 
 
@@ -89,10 +142,18 @@ def terms(text: str) -> list[str]:
 
 
 def _weights() -> tuple[dict[str, float], float, list[dict[str, float]]]:
-    """idf by term, idf of a term in no template, and each template as a unit vector."""
+    """idf by term, idf of a term in no template, and each template as a unit vector.
+
+    A family of one wording counts like a few templates, however many versions it has.
+    """
     counts = [Counter(terms(text)) for _, text in TEMPLATES]
-    df = Counter(t for c in counts for t in c)
-    n = len(TEMPLATES)
+    df: Counter[str] = Counter()
+    at = n = 0
+    for family in _FAMILIES:
+        share = 1 if family is _NOTICES else FAMILY / len(family)
+        for c in counts[at:at + len(family)]:
+            df.update({t: share for t in c})
+        at, n = at + len(family), n + share * len(family)
     idf = {t: math.log((1 + n) / (1 + k)) + 1 for t, k in df.items()}
     vectors = []
     for c in counts:
@@ -102,44 +163,40 @@ def _weights() -> tuple[dict[str, float], float, list[dict[str, float]]]:
     return idf, math.log(1 + n) + 1, vectors
 
 
+FAMILY = 4
 IDF, IDF_ELSE, VECTORS = _weights()
 
-
-def anchors(threshold: float) -> tuple[str, ...]:
-    """Terms of which any text has one whose cosine to a template reaches the threshold.
-
-    By Cauchy and Schwarz the squared cosine is at most the sum of the squared weights that the template
-    has in the text's terms. So the weightiest terms are taken from each template, everyday words last,
-    until the others' squares sum to less than the squared threshold. Left out are only texts that share
-    nothing with a template but words of which all prose is made ('of the', 'to'): they name no licence.
-    """
-    taken: set[str] = set()
-    for vector in VECTORS:
-        left = sum(w * w for t, w in vector.items() if t not in taken)
-        open_ = [t for t in vector if t not in taken and _EVERYDAY.get(t) != 2]
-        for term in sorted(open_, key=lambda t: (_EVERYDAY.get(t, 0), -vector[t], t)):
-            if left < (threshold - 1e-6) ** 2:
-                break
-            taken.add(term)
-            left -= vector[term] ** 2
-    return tuple(sorted(taken))
+#: Terms of which a text must have one to be any licence: each template's first group.
+ANCHORS = tuple(sorted({term for needs in NEEDS for term in needs[0].split("|")}))
+_ANCHOR = r"(?i)(?<![a-z0-9])(" + "|".join(map(re.escape, ANCHORS)) + r")(?![a-z0-9])"
 
 
-def _pattern(threshold: float) -> str:
-    return r"(?i)(?<![a-z0-9])(" + "|".join(map(re.escape, anchors(threshold))) + r")(?![a-z0-9])"
-
-
-ANCHORS = anchors(THRESHOLD)
-_ANCHOR = _pattern(THRESHOLD)
+def _bits(template: int) -> tuple[dict[str, int], int]:
+    """What each term says about a template's needs, as bits, and the bits that a text must have together."""
+    bits: dict[str, int] = {}
+    full = 0
+    for n, group in enumerate(g for g in NEEDS[template] if g[0] != "!"):
+        full |= 1 << n
+        for term in group.split("|"):
+            bits[term] = bits.get(term, 0) | 1 << n
+    for group in (g[1:] for g in NEEDS[template] if g[0] == "!"):
+        for term in group.split("|"):
+            bits[term] = bits.get(term, 0) | _BARRED
+    return bits, full
 
 
 def _table(spark: SparkSession) -> DataFrame:
-    """A row per term of the templates: its idf, and its weight in each template. Fixed size."""
+    """A row per term of the templates and their needs: idf, and by template its weight and bits. Fixed size."""
+    bits = [_bits(i)[0] for i in range(len(TEMPLATES))]
     rows = [
-        (term, idf, [(i, v[term]) for i, v in enumerate(VECTORS) if term in v])
-        for term, idf in sorted(IDF.items())
+        (term, IDF.get(term, IDF_ELSE), [
+            (i, v.get(term, 0.0), bits[i].get(term, 0)) for i, v in enumerate(VECTORS) if term in v or term in bits[i]
+        ])
+        for term in sorted(IDF.keys() | {t for b in bits for t in b})
     ]
-    return spark.createDataFrame(rows, "term string, idf double, in array<struct<template: int, weight: double>>")
+    return spark.createDataFrame(
+        rows, "term string, idf double, in array<struct<template: int, weight: double, bits: int>>"
+    )
 
 
 def _terms(text: Column) -> Column:
@@ -151,23 +208,30 @@ def _reachable(text: Column, threshold: float) -> Column:
     """False for texts whose cosine to every template is under the threshold, seen without counting terms.
 
     The product with a template is at most the sum, over the text's words, of idf times the greatest weight
-    in any template; the squared norm is at least the sum of the words' squared idf.
+    in any template; the squared norm is at least the sum of the words' squared idf. Words are looked up in a few sets
+    by that product, each taken for its set's greatest.
     """
-    top = {t: IDF[t] * max(v.get(t, 0.0) for v in VECTORS) for t in sorted(IDF)}
-    table = F.create_map(*[F.lit(x) for pair in top.items() for x in pair])
-    weights = F.transform(_terms(text), lambda w: F.coalesce(F.try_element_at(table, w), F.lit(0.0)))
+    top = sorted(((IDF[t] * max(v.get(t, 0.0) for v in VECTORS), t) for t in IDF), reverse=True)
+    size = -(-len(top) // SETS)
+    weight = F.when(F.lit(False), F.lit(0.0))
+
+    def weigh(w: Column) -> Column:
+        found = weight
+        for at in range(0, len(top), size):
+            found = found.when(w.isin(*[t for _, t in top[at:at + size]]), F.lit(top[at][0]))
+        return found.otherwise(F.lit(0.0))
+
     least, most = F.lit(min(IDF.values()) ** 2), F.lit(IDF_ELSE**2)
-    # One walk over the words: each is looked up once.
     return F.aggregate(
-        weights, F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2")),
+        F.transform(_terms(text), weigh), F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2")),
         lambda a, x: F.struct((a["dot"] + x).alias("dot"), (a["norm2"] + F.when(x > 0, least).otherwise(most)).alias("norm2")),
         lambda a: a["dot"] * a["dot"] >= a["norm2"] * F.lit((threshold - 1e-6) ** 2),
     )
 
 
 def _best(units: DataFrame) -> DataFrame:
-    """``file, unit, reserved, score, template``: the template with the greatest cosine, of ``file, unit, text``,
-    once of those that grant rights and once of those that reserve them."""
+    """``file, unit, rank, score, template``: of ``file, unit, text``, the template with the greatest cosine among those
+    whose needs the text meets, for each rank of licences."""
     spark = units.sparkSession
     counted = (
         units.select("file", "unit", F.explode(_terms(F.col("text"))).alias("term"))
@@ -177,18 +241,21 @@ def _best(units: DataFrame) -> DataFrame:
         "w", F.col("n") * F.coalesce("idf", F.lit(IDF_ELSE))
     )
     norms = weighed.groupBy("file", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    # A text that meets a template's needs and no more has each bit that is asked for and none that is barred.
+    met = F.array(*[F.lit(_bits(i)[1]) for i in range(len(TEMPLATES))])
     dots = (
         weighed.where("in IS NOT NULL").select("file", "unit", "w", F.explode("in").alias("t"))
         .groupBy("file", "unit", F.col("t.template").alias("template"))
-        .agg(F.sum(F.col("w") * F.col("t.weight")).alias("dot"))
+        .agg(F.sum(F.col("w") * F.col("t.weight")).alias("dot"), F.bit_or("t.bits").alias("bits"))
+        .where(F.col("bits") == F.element_at(met, F.col("template") + 1))
     )
     score = F.round(F.col("dot") / F.col("norm"), 9)
-    reserved = F.col("template").isin([i for i, (name, _) in enumerate(TEMPLATES) if name == RESERVED])
+    ranks = F.array(*[F.lit(_RANK.get(name, 2)) for name, _ in TEMPLATES])
     return (
         dots.join(norms, ["file", "unit"])
-        .groupBy("file", "unit", reserved.alias("reserved"))
+        .groupBy("file", "unit", F.element_at(ranks, F.col("template") + 1).alias("rank"))
         .agg(F.max(F.struct(score.alias("score"), (-F.col("template")).alias("t"))).alias("b"))
-        .select("file", "unit", "reserved", "b.score", (-F.col("b.t")).alias("template"))
+        .select("file", "unit", "rank", "b.score", (-F.col("b.t")).alias("template"))
     )
 
 
@@ -204,12 +271,13 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     above (its own included) with a licence file, with that ``directory``; else all three are null. A licence
     file is one named so, or one whose whole text reaches the threshold. A notice that reserves all rights
     (``RESERVED``) counts only where the text, or the directory's files, grant none; it keeps a file from
-    inheriting, and speaks for a directory only from a file named as licence file. Of equal scores the
+    inheriting, and speaks for a directory only from a file named as licence file. The sentence that all BSD licences
+    share is ``LicenseRef-BSD`` unless the text tells which. A notice of a licence or version without template is none. Of equal scores the
     template listed first wins; of several licence files in a directory the best, then the first
     licence by name. ``file`` names a file: rows that share it are one, and return one row. A null text has no licence of its own, a null
     path inherits nothing. Other columns are not read.
     """
-    spark, pattern = files.sparkSession, _pattern(threshold)
+    pattern = _ANCHOR
     licences = F.array(*[F.lit(name) for name, _ in TEMPLATES])
     named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     hits = stored(
@@ -227,16 +295,16 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ).where(_reachable(F.col("text"), threshold))
     best = stored(_best(units).where(F.col("score") >= threshold), "scores")
     own = best.groupBy("file").agg(
-        F.max(F.struct((~F.col("reserved")).alias("grants"), "score", (-F.col("template")).alias("t"))).alias("b")
-    ).select("file", "b.grants", "b.score", F.element_at(licences, (1 - F.col("b.t")).cast("int")).alias("license"))
+        F.max(F.struct("rank", "score", (-F.col("template")).alias("t"))).alias("b")
+    ).select("file", "b.rank", "b.score", F.element_at(licences, (1 - F.col("b.t")).cast("int")).alias("license"))
 
     licence_files = own.join(
-        hits.where("named").select("file").union(best.where("unit = 'whole' AND NOT reserved").select("file")).distinct(), "file"
+        hits.where("named").select("file").union(best.where("unit = 'whole' AND rank > 0").select("file")).distinct(), "file"
     ).join(hits.select("file", "path"), "file").where("path IS NOT NULL")
     of_directory = stored(
-        licence_files.select(parent(F.col("path")).alias("directory"), "grants", "score", "license")
+        licence_files.select(parent(F.col("path")).alias("directory"), "rank", "score", "license")
         .groupBy("directory").agg(
-            F.min(F.struct((~F.col("grants")).alias("r"), (-F.col("score")).alias("s"), "license")).alias("b")
+            F.min(F.struct((-F.col("rank")).alias("r"), (-F.col("score")).alias("s"), "license")).alias("b")
         ).select("directory", F.col("b.license").alias("given")), "directories",
     )
     placed = files.select("file", "path").dropDuplicates(["file"]).select("file", "path", parent(F.col("path")).alias("dir"))
