@@ -234,7 +234,8 @@ def _best(units: DataFrame) -> DataFrame:
     whose needs the text meets, for each rank of licences."""
     spark = units.sparkSession
     counted = (
-        units.select("file", "unit", F.explode(_terms(F.col("text"))).alias("term"))
+        # Placed by text once: terms, norms and products are then summed where they are.
+        units.repartition("file", "unit").select("file", "unit", F.explode(_terms(F.col("text"))).alias("term"))
         .groupBy("file", "unit", "term").agg(F.count("*").alias("n"))
     )
     weighed = counted.join(F.broadcast(_table(spark)), "term", "left").withColumn(
