@@ -3,6 +3,10 @@
 The lines are exploded, normalised and hashed (128 bits); distinct documents are counted per hash;
 lines over the threshold are dropped; what is left is put together again by position. Only hashes,
 ids and positions are shuffled for the count; each text moves once, to meet its dropped positions.
+
+A line that a third of all documents hold is one row per map task in the count. The list of shared
+lines is then stored and measured: up to ``LIST_BYTES`` it is broadcast and no line moves; a longer one is joined by
+shuffle, where adaptive execution can split the partition of such a line, as both sides come straight from their shuffle.
 """
 
 from __future__ import annotations
@@ -12,10 +16,12 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anaquel.functions.joins import fits
 from anaquel.llm.common import SPACE, stored, text_key
 
 MIN_CHARS = 40
 MIN_DOCS = 5
+LIST_BYTES = 16 << 20  # shared lines that are broadcast, measured
 
 
 def line_key(line: Column) -> Column:
@@ -43,8 +49,10 @@ def _dropped(base: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
         .where(F.col("_docs") >= min_docs)
         .select("_h1", "_h2", "_keeper")
     )
+    shared = stored(shared, "shared_lines")
+    side = F.broadcast(shared) if fits(shared, LIST_BYTES) else shared.hint("merge")
     return (
-        lines.join(shared, ["_h1", "_h2"])
+        lines.join(side, ["_h1", "_h2"])
         .where(F.col("doc_id") != F.col("_keeper"))
         .select("doc_id", "_row", "_pos").distinct()
         .groupBy("doc_id", "_row").agg(F.collect_set("_pos").alias("_dropped"))
@@ -52,9 +60,23 @@ def _dropped(base: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
 
 
 def _kept(text: Column) -> Column:
-    """The text without the lines at the positions in ``_dropped``."""
-    left = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(F.col("_dropped"), i))
-    return F.when(F.col("_dropped").isNull(), text).otherwise(F.array_join(left, "\n"))
+    """The text without the lines at the positions in ``_dropped``.
+
+    The runs of lines between dropped ones are sliced out, so the work is that of the lines, however
+    many of them go. The array of one struct is there to split the text once, not once per run.
+    """
+    lines = F.split(text, "\n", -1)
+    cuts = F.concat(F.array(F.lit(-1)), F.array_sort("_dropped"), F.array(F.size(lines)))
+    parts = F.transform(
+        F.array(F.struct(lines.alias("lines"), cuts.alias("cuts"))),
+        lambda t: F.flatten(F.transform(
+            F.sequence(F.lit(1), F.size(t["cuts"]) - 1),
+            lambda i: F.slice(
+                t["lines"], F.get(t["cuts"], i - 1) + 2, F.get(t["cuts"], i) - F.get(t["cuts"], i - 1) - 1
+            ),
+        )),
+    )
+    return F.when(F.col("_dropped").isNull(), text).otherwise(F.array_join(F.get(parts, F.lit(0)), "\n"))
 
 
 def drop_repeated_lines(

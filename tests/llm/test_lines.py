@@ -71,3 +71,42 @@ def test_stage_keeps_columns_and_counts_characters(docs_of, with_clashes):
 def test_empty_table(docs_of):
     assert ours(docs_of([])) == []
     assert linededup.without_repeated_lines(docs_of([])).collect() == []
+
+
+def test_long_list_is_joined_by_shuffle(docs_of, monkeypatch):
+    rows = [(i, f"{LINE % (i % 2)}\n{prose(i, 9)}\n{LINE % 0}\n\n{LINE % 3}") for i in range(30)]
+    docs = docs_of(rows)
+    plan = lambda: linededup.drop_repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    assert ours(docs) == brute(rows) and "BroadcastHashJoin [_h1" in plan()
+    monkeypatch.setattr(linededup, "LIST_BYTES", 0)
+    assert ours(docs) == brute(rows) and "SortMergeJoin [_h1" in plan()
+
+
+def test_hot_line_is_split_among_tasks(spark, docs_of, monkeypatch):
+    """A line that every document holds fills one partition, which adaptive execution splits."""
+    monkeypatch.setattr(linededup, "LIST_BYTES", 0)
+    docs = spark.range(60_000).selectExpr("id AS doc_id", f"concat('{LINE % 0}\\n', id) AS text").repartition(8)
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = linededup.drop_repeated_lines(docs).select("doc_id", "n_dropped")
+        assert sum(r.n_dropped for r in out.collect()) == 59_999
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_text_that_loses_most_of_many_lines(docs_of):
+    """Linear in the lines: filtering each line against the dropped ones would take 10 ** 10 steps."""
+    many = [LINE % i for i in range(100_000)]
+    rows = [(i, "\n".join(many)) for i in range(5)] + [(9, "\n".join([*many[:3], "own", *many[3:], "", "end"]))]
+    got = {r[0]: r for r in ours(docs_of(rows))}
+    assert got[0][2:] == (99_999 + 1, "") and got[9][2] == 0 and got[9][3] == rows[5][1]
+    rows[-1] = (-1, rows[-1][1])
+    assert {r[0]: r for r in ours(docs_of(rows))}[-1][2:] == (100_000, "own\n\nend")
