@@ -115,3 +115,21 @@ def test_stage_drops_what_is_called_toxic(corpus, scored):
     docs, labels = corpus
     left = {r.doc_id for r in T.without_toxic(docs, labels).select(F.col("doc_id")).collect()}
     assert left == {i for i, r in scored.items() if not r.toxic}
+
+
+def test_conflicting_labels_are_taken_together(spark, docs_of):
+    docs = docs_of([(1, prose(1, 20)), (2, prose(2, 20)), (3, None)])
+    labels = spark.createDataFrame([(1, 0, 1), (1, 1, 0), (2, 0, 0), (2, 0, 0), (3, 1, None)], "doc_id long, a int, b int")
+    for rows in (labels, labels.orderBy(F.desc("a")).repartition(3)):
+        got = T.training_rows(docs, rows, ["a", "b"], 10).collect()
+        assert sorted((r.doc_id, r.a, r.b) for r in got) == [(1, 1.0, 1.0), (2, 0.0, 0.0)]
+
+
+def test_held_out_counts(spark, corpus):
+    docs, labels = corpus
+    odd = labels.union(spark.createDataFrame([(None, 1, 1), (99999, 1, 1)], LABELS))
+    got = {r.threshold: r for r in T.held_out(docs, T.label_categories(odd), ["low_quality", "toxic"], [0.0, 0.4, 1.1]).collect()}
+    n, toxic = got[0.0].documents, got[0.0].hits
+    assert 200 < n < labels.count() and 0 < toxic < n and got[0.0].misses == 0 and got[0.0].false_alarms == n - toxic
+    assert got[0.4].hits + got[0.4].misses == toxic and got[0.4].precision > 0.95 and got[0.4].recall > 0.95
+    assert (got[1.1].hits, got[1.1].misses, got[1.1].precision, got[1.1].recall) == (0, toxic, None, 0.0)
