@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +29,8 @@ from anaquel.sources import snapshots
 FORMATO = "registro"
 SCHEMA = "value binary, partition int, offset bigint, timestamp timestamp"
 SEGMENT_ROWS = 1_000_000
+#: Rows of a batch and bytes of a column that a task reading a segment holds.
+READ_ROWS, READ_BYTES = 10_000, 1 << 20
 
 
 def append(messages: DataFrame, path: str, segment_rows: int = SEGMENT_ROWS) -> int:
@@ -162,21 +164,38 @@ class LogReader(DataSourceStreamReader):
         return out
 
     def read(self, partition: Segment) -> Iterator[pa.RecordBatch]:
+        """Rows are decoded as they are read, a page at a time: a task holds a batch, however large the segment."""
         files, path = _files(partition.file)
-        wanted = (pc.field("offset") >= partition.start) & (pc.field("offset") < partition.end)
-        micros = ds.ParquetReadOptions(coerce_int96_timestamp_unit="us")
-        source = ds.dataset(path, format=ds.ParquetFileFormat(read_options=micros), filesystem=files)
-        for batch in source.to_batches(["value", "offset", "timestamp"], filter=wanted, batch_size=10_000):
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("value"),
-                        pa.array([partition.partition] * batch.num_rows, pa.int32()),
-                        batch.column("offset"),
-                        batch.column("timestamp").cast(pa.timestamp("us", "UTC")),
-                    ],
-                    names=["value", "partition", "offset", "timestamp"],
-                )
+        with files.open_input_file(path) as source:
+            segment = pq.ParquetFile(
+                source, pre_buffer=False, buffer_size=READ_BYTES, coerce_int96_timestamp_unit="us"
+            )
+            # The writer's row groups hold consecutive offsets: those without a wanted one are not read.
+            groups = [n for n in range(segment.num_row_groups) if _may_hold(segment.metadata.row_group(n), partition)]
+            columns = ["value", "offset", "timestamp"]
+            for batch in segment.iter_batches(READ_ROWS, groups, columns, use_threads=False):
+                offset = batch.column("offset")
+                within = pc.and_(pc.greater_equal(offset, partition.start), pc.less(offset, partition.end))
+                batch = batch.filter(within)
+                if batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("value"),
+                            pa.array([partition.partition] * batch.num_rows, pa.int32()),
+                            batch.column("offset"),
+                            batch.column("timestamp").cast(pa.timestamp("us", "UTC")),
+                        ],
+                        names=["value", "partition", "offset", "timestamp"],
+                    )
+
+
+def _may_hold(group: pq.RowGroupMetaData, segment: Segment) -> bool:
+    """Whether a row group can hold offsets of a segment, by its statistics."""
+    for n in range(group.num_columns):
+        column = group.column(n)
+        if column.path_in_schema == "offset" and column.statistics is not None and column.statistics.has_min_max:
+            return column.statistics.max >= segment.start and column.statistics.min < segment.end
+    return True
 
 
 def _files(path: str) -> tuple[fs.FileSystem, str]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,3 +221,37 @@ def test_missing_arrival_is_now(spark, tmp_path):
     ingest.land(sales(spark, tmp_path / "log"), path, str(tmp_path / "control"), available_now=True).awaitTermination()
     (row,) = readers.read_stream_landed(spark, path).collect()
     assert row.recibido is not None and json.loads(sale("a"))["venta_id"] == row.venta_id
+
+
+def test_a_task_holds_a_batch_of_a_segment_not_all_of_it(tmp_path):
+    """One row group of 60 MB is read page by page, and only the offsets asked for are sent."""
+    n = 300_000
+    pq.write_table(
+        pa.table({
+            "value": pa.array([f"{i:07d}".encode() * 28 for i in range(n)], pa.binary()),
+            "offset": pa.array(range(n), pa.int64()),
+            "timestamp": pa.array(range(n), pa.timestamp("us")),
+        }),
+        f"{tmp_path}/segment.parquet", row_group_size=n, use_dictionary=False,
+    )
+    before, most, offsets = pa.total_allocated_bytes(), 0, []
+    reader = log.LogReader(str(tmp_path), "earliest")
+    for batch in reader.read(log.Segment(f"{tmp_path}/segment.parquet", 2, 5, n - 5)):
+        most = max(most, pa.total_allocated_bytes() - before)
+        assert set(batch.column("partition").to_pylist()) == {2}
+        offsets += batch.column("offset").to_pylist()
+    assert offsets == list(range(5, n - 5))
+    assert most < 24 << 20
+
+
+def test_row_groups_without_a_wanted_offset_are_not_read(tmp_path):
+    table = pa.table({
+        "value": pa.array([b"x"] * 100, pa.binary()), "offset": pa.array(range(100), pa.int64()),
+        "timestamp": pa.array([None] * 100, pa.timestamp("us")),
+    })
+    pq.write_table(table, f"{tmp_path}/segment.parquet", row_group_size=10)
+    meta = pq.read_metadata(f"{tmp_path}/segment.parquet")
+    asked = log.Segment(f"{tmp_path}/segment.parquet", 0, 35, 52)
+    assert [i for i in range(10) if log._may_hold(meta.row_group(i), asked)] == [3, 4, 5]
+    (got,) = [b.column("offset").to_pylist() for b in log.LogReader("", "earliest").read(asked)]
+    assert got == list(range(35, 52))
