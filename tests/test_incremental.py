@@ -143,3 +143,35 @@ def test_calendar_can_start_earlier_and_end_earlier(spark, tmp_path, fixed, hist
 def test_refresh_needs_a_version(spark, tmp_path, fixed):
     with pytest.raises(ValueError):
         incremental.refresh(spark, str(tmp_path), fixed, feed(spark, []))
+
+
+def test_sales_that_stay_are_not_shuffled(spark, tmp_path, fixed, history, inventory, built, monkeypatch):
+    """They go from their period's files to its new files; many small files are put together instead."""
+    new = [
+        sale(20, "T02", "A", name="late", arrives=104),
+        sale(41, "T01", "B", name="41-T01-A", units=4, arrives=105, hour=1),
+    ]
+    seen, save = [], snapshots.Draft.save_periods
+
+    def noted(draft, name, df, periods=None, *rest, placed=None, **options):
+        if name == "ventas" and periods is not None:
+            plan = placed._jdf.queryExecution().executedPlan().toString() if placed is not None else "Exchange"
+            seen.append("Exchange hashpartitioning" in plan or "SortMergeJoin" in plan or placed is None)
+        save(draft, name, df, periods, *rest, **options, **({} if placed is None else {"placed": placed}))
+
+    monkeypatch.setattr(snapshots.Draft, "save_periods", noted)
+    got, base, whole = both(spark, tmp_path / "1", fixed, history, inventory, built, OLD, new)
+    assert content(spark, got) == content(spark, whole) and seen == [False]
+    monkeypatch.setattr(snapshots, "MAX_FILES", 0)
+    got, _, _ = both(spark, tmp_path / "2", fixed, history, inventory, built, OLD, new)
+    assert content(spark, got) == content(spark, whole) and seen == [False, True]
+
+
+def test_ids_too_many_for_a_broadcast_change_nothing(spark, tmp_path, fixed, history, inventory, built, monkeypatch):
+    new = [sale(41, "T01", "B", name="41-T01-A", units=4, arrives=105, hour=1), sale(30, "T02", "B", name="h31", arrives=105)]
+    got, _, _ = both(spark, tmp_path / "1", fixed, history, inventory, built, OLD, new)
+    expected = content(spark, got)
+    joined = []
+    monkeypatch.setattr(incremental, "fits", lambda df: joined.append(df.columns) and False)
+    got, _, _ = both(spark, tmp_path / "2", fixed, history, inventory, built, OLD, new)
+    assert content(spark, got) == expected and joined
