@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anaquel.llm import words as W
-from anaquel.llm.common import ship, stored
+from anaquel.llm.common import lean, ship, stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -97,15 +97,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches):
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-        waiting, held = [], 0
         for _, _, _, (codes, _, _) in _rows(batches, "text"):
-            waiting.append(_cell(codes).astype(np.int32))
-            held += len(codes)
-            if held > len(sketch):
-                sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch)).astype(np.uint32)
-                waiting, held = [], 0
-        if held:
-            sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch)).astype(np.uint32)
+            np.add.at(sketch, _cell(codes), _U32(1))  # in place: no second array of counters
         for at in range(0, len(sketch), CELLS):
             part = sketch[at:at + CELLS]
             if part.any():
@@ -129,7 +122,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     schema = "part int, counts binary"
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sums = docs.select("text").mapInArrow(count, schema).repartition(tasks, "part").mapInArrow(add, schema)
+    sums = docs.select("text").mapInArrow(lean(count), schema).repartition(tasks, "part").mapInArrow(lean(add), schema)
     sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint64)
     for part, counts in sums.toLocalIterator():  # 32 MB in all, whatever the corpus
         values = np.frombuffer(bytes(counts), dtype=np.uint64)
@@ -230,7 +223,7 @@ def _signatures(base: DataFrame, weights) -> DataFrame:
             })
 
     schema = "doc_id long, _h1 long, _h2 long, bands array<long>"
-    return base.select(*names, "text").mapInArrow(sign, schema)
+    return base.select(*names, "text").mapInArrow(lean(sign), schema)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
@@ -260,7 +253,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
     of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     return (
         pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b")
-        .mapInArrow(measure, "a long, b long, distance double")
+        .mapInArrow(lean(measure), "a long, b long, distance double")
     )
 
 
@@ -276,7 +269,7 @@ def _profiles(texts: DataFrame) -> DataFrame:
                 "times": pa.array([times[a:z].astype(np.int32).tobytes() for a, z in at], pa.binary()),
             })
 
-    return texts.select("node", "text").mapInArrow(describe, "node long, codes binary, times binary")
+    return texts.select("node", "text").mapInArrow(lean(describe), "node long, codes binary, times binary")
 
 
 def similarities(codes: list[np.ndarray], weights: list[np.ndarray], n_left: int) -> np.ndarray:

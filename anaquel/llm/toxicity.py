@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anaquel.llm import words as W
-from anaquel.llm.common import ship, stored
+from anaquel.llm.common import lean, ship, stored
 
 MAX_TRAINING = 20_000
 FOLDS = 3
@@ -140,7 +140,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: list[str], lim
     rows = (
         texts.join(F.broadcast(drawn), "doc_id")
         .select(F.col("doc_id").cast("long").alias("doc_id"), "fold", *categories, "text")
-        .mapInArrow(_sparse, schema)
+        .mapInArrow(lean(_sparse), schema)
     )
     return stored(rows, "training")
 
@@ -269,7 +269,7 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
     schema = "doc_id long, " + ", ".join(f"`p_{c}` double" for c in chain.categories)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    ).mapInArrow(_score(model), schema)
+    ).mapInArrow(lean(_score(model)), schema)
 
 
 def label_categories(labels: DataFrame) -> DataFrame:
@@ -333,4 +333,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
             if stays:
                 yield batch.filter(pa.array(np.concatenate(stays)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

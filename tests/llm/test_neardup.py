@@ -12,6 +12,7 @@ import pytest
 
 from anaquel.llm import neardup
 from anaquel.llm import words as W
+from anaquel.llm.common import BATCH_BYTES, lean
 from tests.llm.conftest import CLASHING, prose
 
 
@@ -153,3 +154,27 @@ def test_blocks_give_the_same_similarities(monkeypatch):
         for j in range(5):
             exact = neardup.similarity((codes[i], weights[i]), (codes[4 + j], weights[4 + j]))
             assert abs(got[i, j] - exact) < 1e-9
+
+
+def test_python_batches_are_bounded_by_bytes(spark, docs_of):
+    """Ten thousand rows of 20 kB are no bound on what a task's Python holds."""
+    docs = docs_of([(n, "word " * 4000) for n in range(1000)])
+    neardup.near_duplicates(docs).count()
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    most = docs.coalesce(1).select("text").mapInArrow(sizes, "bytes long").agg({"bytes": "max"}).first()[0]
+    assert most <= 2 * BATCH_BYTES
+
+
+def test_document_frequencies_count_each_document_once(spark, docs_of):
+    docs = docs_of([(1, "a b c d e"), (2, "a b c d e"), (3, "a b c d e f"), (4, None), (5, "a b c d e a b c d e")])
+    sketch, n = neardup.document_frequencies(docs)
+    assert n == 5 and sketch.max() == 4 and sketch.sum() == 1 + 1 + 2 + 5
+
+
+def test_a_lean_task_passes_on_its_batches():
+    batch = pa.RecordBatch.from_pydict({"x": [1, 2]})
+    assert list(lean(lambda batches: (b for b in batches))(iter([batch, batch]))) == [batch, batch]
