@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from anaquel import schemas
+from anaquel.operators import silver, star
 from anaquel.plans import incremental
 from anaquel.plans.incremental import Fixed
 from anaquel.sources import readers, snapshots
@@ -175,3 +176,63 @@ def test_ids_too_many_for_a_broadcast_change_nothing(spark, tmp_path, fixed, his
     monkeypatch.setattr(incremental, "fits", lambda df: joined.append(df.columns) and False)
     got, _, _ = both(spark, tmp_path / "2", fixed, history, inventory, built, OLD, new)
     assert content(spark, got) == expected and joined
+
+
+def test_sales_come_beside_those_of_periods_that_lose_none(spark, tmp_path, fixed, history, inventory, built):
+    new = [
+        sale(20, "T02", "A", name="late", arrives=104),
+        sale(42, "T01", "B", name="42-T01-A", units=4, arrives=105, hour=1),  # beats a stored one of month 2
+    ]
+    got, base, whole = both(spark, tmp_path, fixed, history, inventory, built, OLD, new)
+    assert content(spark, got) == content(spark, whole)
+    old, now = base.entries["ventas"], got.entries["ventas"]
+    assert now.periods["2024-01"] == old.periods["2024-01"] and list(now.more) == ["2024-01"]
+    assert rows(spark.read.parquet(f"{got.root}/{now.more['2024-01'][0]}"), "venta_id") == [("late",)]
+    assert now.periods["2024-02"] != old.periods["2024-02"]
+    # Another refresh keeps both folders of the month, and adds one; the clean-up leaves them all.
+    new += [sale(21, "T02", "A", name="later", arrives=110)]
+    third = incremental.refresh(spark, got.root, fixed, feed(spark, OLD + new))
+    assert third.entries["ventas"].more["2024-01"][0] == now.more["2024-01"][0]
+    assert len(third.entries["ventas"].more["2024-01"]) == 2
+    snapshots.expire(spark, got.root, keep=1)
+    whole = incremental.build(spark, f"{tmp_path}/c", fixed, history, feed(spark, OLD + new), inventory)
+    assert content(spark, snapshots.latest(spark, got.root)) == content(spark, whole)
+    # A sale of it that is beaten has the month written again, in one folder.
+    new += [sale(20, "T02", "B", name="late", units=5, arrives=115, hour=1)]
+    fourth = incremental.refresh(spark, got.root, fixed, feed(spark, OLD + new))
+    assert fourth.entries["ventas"].more is None
+    whole = incremental.build(spark, f"{tmp_path}/d", fixed, history, feed(spark, OLD + new), inventory)
+    assert content(spark, fourth) == content(spark, whole)
+
+
+def test_sales_clean_so_far_and_landed_ones_are_as_all_cleaned_at_once(spark, fixed, history):
+    late = [
+        sale(20, "T02", "A", name="late", arrives=104), sale(20, "T02", "A", name="late", units=9, arrives=104, hour=11),
+        sale(42, "T01", "B", name="42-T01-A", units=4, arrives=105, hour=1),
+        sale(70, "T01", "A", name="70-T01-A", units=5, arrives=105, hour=22),
+        sale(30, "T02", "B", name="h31", units=9, arrives=105),
+        sale(50, "T01", "SIN", name="bad", arrives=105),
+        (None, moment(51), "T01", "A", 1, 2.0, 2.0, moment(105), 0, 1), ("no day", None, "T01", "A", 1, 2.0, 2.0, None, 0, 1),
+    ]
+    products = star.dim_product(fixed.catalog)
+
+    def clean(landed):
+        return silver.clean_sales(silver.review_sales(silver.unify_sales(history, landed), products))
+
+    got = incremental.with_landed(clean(feed(spark, OLD)), feed(spark, late), products)
+    expected = clean(feed(spark, OLD + late))
+    assert got.columns == expected.columns
+    assert sorted(map(str, rows(got))) == sorted(map(str, rows(expected)))
+
+
+def test_inventory_can_be_made_from_the_clean_sales(spark, tmp_path, fixed, history, inventory):
+    seen = []
+
+    def made(sales):
+        seen.append(sales.count())
+        return inventory
+
+    got = incremental.build(spark, f"{tmp_path}/a", fixed, history, feed(spark, OLD), made)
+    whole = incremental.build(spark, f"{tmp_path}/b", fixed, history, feed(spark, OLD), inventory)
+    assert content(spark, got) == content(spark, whole)
+    assert seen == [whole.table(spark, "ventas").count()]
